@@ -45,12 +45,7 @@ def clamp_sql(x: str, lo: str, hi: str) -> str:
 
 def load_all() -> None:
     """Import every query module so that it registers itself."""
-    from corridor.plans import (  # noqa: F401
-        construction_queries,
-        incident_queries,
-        ingest_queries,
-        model_queries,
-        reading_queries,
-        segment_queries,
-        weather_queries,
-    )
+    import importlib
+    for m in ("reading_queries", "ingest_queries", "segment_queries", "weather_queries",
+              "incident_queries", "construction_queries", "model_queries"):
+        importlib.import_module(f"corridor.plans.{m}")
