@@ -1 +1,104 @@
-"""Query module (filled in below)."""
+"""Queries over the `weather` view: validate, alias, transform, nearest, distance, EWKT."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corridor.functions import geometry as geo
+from corridor.functions.geodesy import spheroid_distance_m
+from corridor.functions.numeric import rnd
+from corridor.operators import spatial, transform, validate
+from corridor.plans.catalog import register, rnd_sql
+from corridor.plans.views import duck_with, view
+
+# The query point of the nearest-weather lookup (lon, lat).
+QUERY_LON, QUERY_LAT = -122.42, 37.75
+_QLON, _QLAT = "-12242e-2", "3775e-2"
+
+WEATHER_COLS = ["snapshot_id", "latitude", "longitude", "temperature", "rain_intensity",
+                "visibility", "observed_at"]
+
+
+def validated_weather(spark, sf):
+    return validate.validate_weather(view(spark, sf, "weather"), ts="observed_at",
+                                     keep=("snapshot_id",)).valid
+
+
+def weather_table(spark, sf):
+    """Loaded weather snapshots: validated, then transformed (rain NULL -> 0)."""
+    return transform.transform_weather(validated_weather(spark, sf), ts="observed_at", keep=["snapshot_id"])
+
+
+# Validated weather in SQL: range rules, precipitation alias.
+WV_SQL = duck_with("weather").rstrip() + """,
+wv AS (SELECT snapshot_id, latitude, longitude, temperature,
+    COALESCE(rain_intensity, precipitation) AS rain_intensity, CAST(NULL AS DOUBLE) AS visibility, observed_at
+  FROM weather
+  WHERE latitude IS NOT NULL AND NOT isnan(latitude) AND latitude BETWEEN -9e1 AND 9e1
+    AND longitude IS NOT NULL AND NOT isnan(longitude) AND longitude BETWEEN -18e1 AND 18e1
+    AND (COALESCE(rain_intensity, precipitation) IS NULL
+         OR (NOT isnan(COALESCE(rain_intensity, precipitation)) AND COALESCE(rain_intensity, precipitation) >= 0))),
+wt AS (SELECT snapshot_id, latitude, longitude,
+    'SRID=4326;POINT(' || CAST(longitude AS VARCHAR) || ' ' || CAST(latitude AS VARCHAR) || ')' AS geometry,
+    temperature, COALESCE(rain_intensity, 0e0) AS rain_intensity, visibility, observed_at FROM wv)
+"""
+
+
+@register("weather_validate", WV_SQL + "SELECT * FROM wv")
+def q_weather_validate(spark, sf):
+    return validated_weather(spark, sf).select(*WEATHER_COLS)
+
+
+@register("rain_alias", WV_SQL + "SELECT snapshot_id, rain_intensity FROM wv")
+def q_rain_alias(spark, sf):
+    return validated_weather(spark, sf).select("snapshot_id", "rain_intensity")
+
+
+@register("weather_transform", WV_SQL + "SELECT * FROM wt")
+def q_weather_transform(spark, sf):
+    return weather_table(spark, sf)
+
+
+@register("ewkt_point", WV_SQL + "SELECT snapshot_id, geometry AS ewkt FROM wt")
+def q_ewkt_point(spark, sf):
+    w = validated_weather(spark, sf)
+    return w.select("snapshot_id", geo.ewkt_point(F.col("longitude"), F.col("latitude")).alias("ewkt"))
+
+
+_NEAREST_ORDER = (f"(longitude - {_QLON}) * (longitude - {_QLON}) + (latitude - {_QLAT}) * (latitude - {_QLAT}), "
+                  "observed_at DESC, snapshot_id")
+
+
+@register("nearest_weather", WV_SQL + "SELECT snapshot_id, latitude, longitude, temperature, rain_intensity, "
+          f"visibility, observed_at FROM wt ORDER BY {_NEAREST_ORDER} LIMIT 1")
+def q_nearest_weather(spark, sf):
+    w = weather_table(spark, sf).select(*WEATHER_COLS)
+    return spatial.nearest_to_point(w, QUERY_LON, QUERY_LAT, ts="observed_at", tiebreak="snapshot_id")
+
+
+def _haversine_sql(lon: str, lat: str, lon0: str, lat0: str) -> str:
+    return (f"(2e0 * 63710088e-1 * asin(sqrt(pow(sin(radians({lat0} - {lat}) / 2), 2) + "
+            f"cos(radians({lat})) * cos(radians({lat0})) * pow(sin(radians({lon0} - {lon}) / 2), 2))))")
+
+
+@register("weather_distance", WV_SQL + "SELECT snapshot_id, "
+          f"{rnd_sql(_haversine_sql('longitude', 'latitude', _QLON, _QLAT), 3)} AS distance_m FROM wt")
+def q_weather_distance(spark, sf):
+    """Great-circle distance (m) from the query point to every snapshot."""
+    w = weather_table(spark, sf)
+    d = geo.haversine_m(F.col("longitude"), F.col("latitude"), F.lit(QUERY_LON), F.lit(QUERY_LAT))
+    return w.select("snapshot_id", rnd(d, 3).alias("distance_m"))
+
+
+@register("nearest_weather_geodesic")
+def q_nearest_weather_geodesic(spark, sf):
+    """The nearest snapshot with its spheroid (WGS84) distance in metres.
+
+    Planar order picks the row; the Arrow UDF then runs on that one row.
+    No SQL oracle (DuckDB has no spheroid distance); unit-tested against the
+    published Flinders Peak - Buninyong geodesic.
+    """
+    w = weather_table(spark, sf).select(*WEATHER_COLS)
+    best = spatial.nearest_to_point(w, QUERY_LON, QUERY_LAT, ts="observed_at", tiebreak="snapshot_id")
+    return best.withColumn("distance_meters", spheroid_distance_m(
+        F.col("longitude"), F.col("latitude"), F.lit(QUERY_LON), F.lit(QUERY_LAT)))
