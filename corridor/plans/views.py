@@ -127,3 +127,26 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @lru_cache(maxsize=None)
 def view_names() -> tuple[str, ...]:
     return tuple(VIEW_SQL)
+
+
+def construction_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`raw_construction` plus a JSON `coordinates` payload built from the id.
+
+    Polygon-typed plans carry one ring of the first n = 3 + id % 3 corners of
+    a 0.01-degree square (3 is too short, 4 is open, 5 is closed); every 7th
+    carries a flat list instead (wrong nesting). Other plans carry a flat line
+    of n = 1 + id % 4 points (1 is too short).
+    """
+    rc = view(spark, sf_dir, "raw_construction")
+    zid, x, y = F.col("zone_id"), F.col("x"), F.col("y")
+    poly = F.lower(F.col("geometry_type")).contains("polygon")
+    nested = poly & (zid % 7 != 0)
+    n = F.when(nested, F.lit(3) + zid % 3).otherwise(F.lit(1) + zid % 4).cast("int")
+    k = F.sequence(F.lit(0), n - 1)
+    ring = F.transform(k, lambda i: F.array(
+        x + F.when(i.isin(1, 2), F.lit(1e-2)).otherwise(F.lit(0.0)),
+        y + F.when(i.isin(2, 3), F.lit(1e-2)).otherwise(F.lit(0.0))))
+    line = F.transform(k, lambda i: F.array(x + i.cast("double") * F.lit(1e-2),
+                                            y + (i % 2).cast("double") * F.lit(1e-2)))
+    coords = F.when(nested, F.to_json(F.array(ring))).otherwise(F.to_json(line))
+    return rc.withColumn("coordinates", coords)
