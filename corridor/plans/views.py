@@ -104,9 +104,14 @@ def duck_view(name: str) -> str:
     return VIEW_SQL[name].format(**{t: t for t in _tables_of(VIEW_SQL[name])})
 
 
+def duck_ctes(*names: str) -> str:
+    """``name AS (body)`` entries for the named views, comma-separated."""
+    return ",\n".join(f"{n} AS ({duck_view(n)})" for n in names)
+
+
 def duck_with(*names: str) -> str:
     """A ``WITH`` prefix defining the named views for an oracle query."""
-    return "WITH " + ",\n".join(f"{n} AS ({duck_view(n)})" for n in names) + "\n"
+    return "WITH " + duck_ctes(*names) + "\n"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
