@@ -70,8 +70,8 @@ def nearest_to_point(df: DataFrame, lon: float, lat: float, x: str = "longitude"
 def latest_per_location(stations: DataFrame, x: str, y: str, ts: str, tiebreak: str) -> DataFrame:
     """One row per (x, y): the latest, ties by the smaller ``tiebreak``."""
     others = [c for c in stations.columns if c not in (x, y)]
-    best = F.max_by(F.struct(*[F.col(c) for c in others]),
-                    F.struct(F.col(ts), (-F.col(tiebreak)).alias("_neg")))
+    best = F.max(F.struct(F.col(ts).alias("_t"), (-F.col(tiebreak)).alias("_neg"),
+                          *[F.col(c) for c in others]))
     return (stations.groupBy(x, y).agg(best.alias("_s"))
             .select(x, y, *[F.col(f"_s.{c}").alias(c) for c in others]))
 
@@ -113,8 +113,7 @@ def _probe(points: DataFrame, grid: DataFrame, size: float, radius: Column, orde
                      (F.col("_pcx") + F.col("_dx")).alias("cx"), (F.col("_pcy") + F.col("_dy")).alias("cy")))
     cand = cells.join(grid, ["cx", "cy"], "inner")
     d2 = geo.planar_d2(F.col("_gx"), F.col("_gy"), F.col("_px"), F.col("_py"))
-    best = F.min_by(F.struct(d2.alias("d2"), *[F.col(c) for c in payload]),
-                    F.struct(d2, order))
+    best = F.min(F.struct(d2.alias("d2"), order.alias("_o"), *[F.col(c) for c in payload]))
     return cand.groupBy(pid, "_px", "_py", "_pcx", "_pcy", "_r", "_cap").agg(best.alias("_b"))
 
 
@@ -154,7 +153,7 @@ def nearest_join(points: DataFrame, stations: DataFrame, pid: str, px: str, py:
         res = _probe(pending, grid, size, F.col("_r"), order, pid, payload).checkpoint()
         d = F.sqrt(F.col("_b.d2"))
         is_final = (d <= F.col("_r") * F.lit(size) - F.lit(eps)) | (F.col("_r") >= F.col("_cap"))
-        out = res.filter(is_final).select(pid, "_b.*")
+        out = res.filter(is_final).select(pid, "_b.*").drop("_o")
         done = out if done is None else done.unionByName(out)
         # Unresolved: a candidate farther than the block radius (the next
         # radius covers it exactly), or no candidate yet (radius doubles).

@@ -21,13 +21,15 @@ CONSTRUCTION_DESCRIPTION = "Active construction zone"
 def keep_last(df: DataFrame, keys: Sequence[str], ordinal: str) -> DataFrame:
     """One row per key: the one with the largest input ordinal.
 
-    A plain aggregate (``max_by``) with map-side combining: a key holding a
-    third of the rows sends one candidate per task through the shuffle.
-    ``dropDuplicates`` would keep an arbitrary row.
+    A plain aggregate (``max`` of a struct led by the ordinal) with map-side
+    combining: a key holding a third of the rows sends one candidate per
+    task through the shuffle. ``dropDuplicates`` would keep an arbitrary row.
     """
-    others = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*[F.col(c) for c in others]), F.col(ordinal))
-    return df.groupBy(*keys).agg(best.alias("_k")).select(*keys, *[F.col(f"_k.{c}").alias(c) for c in others])
+    others = [c for c in df.columns if c not in keys and c != ordinal]
+    best = F.max(F.struct(F.col(ordinal).alias("_ord"), *[F.col(c) for c in others]))
+    out = df.groupBy(*keys).agg(best.alias("_k"))
+    return out.select(*keys, F.col("_k._ord").alias(ordinal), *[F.col(f"_k.{c}").alias(c) for c in others]) \
+        .select(*df.columns)
 
 
 def transform_traffic(valid: DataFrame, ts: str = "timestamp", ordinal: str = "ordinal") -> DataFrame:

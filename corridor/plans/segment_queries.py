@@ -274,7 +274,7 @@ def q_network_kpis(spark, sf):
     """Network-wide speed/congestion over each segment's latest reading, plus volume."""
     r = view(spark, sf, "readings")
     per_seg = r.groupBy("segment_id").agg(
-        F.max_by(F.struct("current_speed", "congestion_score"), F.struct("reading_ts", "reading_id")).alias("l"),
+        F.max(F.struct("reading_ts", "reading_id", "current_speed", "congestion_score")).alias("l"),
         F.count(F.lit(1)).alias("n"))
     c = F.col("l.congestion_score")
     return per_seg.agg(rnd(exact_avg(F.col("l.current_speed")), 2).alias("avg_speed"),
