@@ -80,90 +80,115 @@ def _cell(c: Column, size: float) -> Column:
     return F.floor(c / F.lit(size)).cast("long")
 
 
-def choose_cell_size(locs: DataFrame, x: str, y: str, max_cell: int = 64, target: float = 4.0) -> float:
-    """Grid cell size from one aggregate row, halved while a cell is over-full."""
-    st = locs.agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("x0"), F.max(x).alias("x1"),
-                  F.min(y).alias("y0"), F.max(y).alias("y1")).first()
+def _stats(locs: DataFrame, x: str, y: str):
+    return locs.agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("x0"), F.max(x).alias("x1"),
+                    F.min(y).alias("y0"), F.max(y).alias("y1")).first()
+
+
+def choose_cell_size(locs: DataFrame, x: str, y: str, st=None, max_cell: int = 64, target: float = 4.0,
+                     halvings: int = 12) -> float:
+    """Grid cell size: mean-density start, halved until no cell holds more
+    than ``max_cell`` locations. All candidate sizes are tested in one job."""
+    st = st or _stats(locs, x, y)
     n = st["n"] or 0
     if n == 0:
         return 1.0
     w, h = (st["x1"] - st["x0"]), (st["y1"] - st["y0"])
-    area = w * h
-    if area > 0:
-        size = math.sqrt(area * target / n)
+    if w * h > 0:
+        size = math.sqrt(w * h * target / n)
     else:
         size = max(w, h) * target / n if max(w, h) > 0 else 1.0
-    for _ in range(30):
-        fullest = (locs.groupBy(_cell(F.col(x), size).alias("cx"), _cell(F.col(y), size).alias("cy"))
-                   .count().agg(F.max("count")).first()[0])
-        if fullest <= max_cell or size < 1e-9:
-            break
-        size /= 2.0
-    return size
-
-
-def _probe(points: DataFrame, grid: DataFrame, size: float, radius: Column, order: Column,
+    sizes = [size / (2 ** k) for k in range(halvings)]
+    cand = locs.select(F.posexplode(F.array(*[F.lit(v) for v in sizes])).alias("k", "_s"), x, y)
+    fullest = dict(cand.groupBy("k", F.floor(F.col(x) / F.col("_s")).alias("cx"),
+                                F.floor(F.col(y) / F.col("_s")).alias("cy")).count()
+                   .groupBy("k").agg(F.max("count").alias("m")).collect())
+    for k, v in enumerate(sizes):
+        if fullest.get(k, 0) <= max_cell:
+            return v
+    return sizes[-1]
+
+
+def _probe(points: DataFrame, grid: DataFrame, radius: Column, order: Column,
            pid: str, payload: list[str]) -> DataFrame:
-    """Best candidate per point among grid cells within ``radius`` cells."""
+    """Best candidate per point among grid cells within ``radius`` cells.
+
+    Left join: a point whose block holds no station keeps a row with a NULL
+    candidate, so one pass tells resolved from unresolved points.
+    """
     offs = F.sequence(-radius, radius)
     cells = (points
              .withColumn("_dx", F.explode(offs))
              .withColumn("_dy", F.explode(offs))
              .select(pid, "_px", "_py", "_pcx", "_pcy", "_r", "_cap",
                      (F.col("_pcx") + F.col("_dx")).alias("cx"), (F.col("_pcy") + F.col("_dy")).alias("cy")))
-    cand = cells.join(grid, ["cx", "cy"], "inner")
+    cand = cells.join(grid, ["cx", "cy"], "left")
     d2 = geo.planar_d2(F.col("_gx"), F.col("_gy"), F.col("_px"), F.col("_py"))
-    best = F.min(F.struct(d2.alias("d2"), order.alias("_o"), *[F.col(c) for c in payload]))
+    best = F.min(F.when(F.col("_gx").isNotNull(),
+                        F.struct(d2.alias("d2"), order.alias("_o"), *[F.col(c) for c in payload])))
     return cand.groupBy(pid, "_px", "_py", "_pcx", "_pcy", "_r", "_cap").agg(best.alias("_b"))
 
 
 def nearest_join(points: DataFrame, stations: DataFrame, pid: str, px: str, py: str,
                  sx: str = "longitude", sy: str = "latitude", ts: str = "timestamp",
                  tiebreak: str = "id", cell: float | None = None, max_cell: int = 64,
-                 max_rounds: int = 40) -> DataFrame:
+                 max_rounds: int = 64) -> DataFrame:
     """For each point the nearest station row (planar), exactly.
 
     Ties: smaller distance, then later ``ts``, then smaller ``tiebreak``.
     Returns ``pid`` plus the station columns and ``d2``; points with no
     station at all are absent (the caller left-joins for defaults).
+
+    Driver work: one statistics row, one row per candidate cell size, and
+    one count per round (usually a single round). Round results are
+    persisted; from the third round on they are checkpointed to the shared
+    checkpoint folder so the lineage stays short.
     """
+    from pyspark.sql import types as T
     spark = points.sparkSession
-    checkpoint_dir(spark)
-    locs = latest_per_location(stations, sx, sy, ts, tiebreak)
-    size = cell or choose_cell_size(locs, sx, sy, max_cell=max_cell)
-    payload = [c for c in locs.columns]
+    # One row per distinct location: reused by the statistics, the cell-size
+    # test and every round, so it is computed once and kept.
+    locs = latest_per_location(stations, sx, sy, ts, tiebreak).persist()
+    st = _stats(locs, sx, sy)
+    if not st["n"]:
+        fields = [points.schema[pid], T.StructField("d2", T.DoubleType())] + list(locs.schema.fields)
+        return spark.createDataFrame([], T.StructType(fields))
+    size = cell or choose_cell_size(locs, sx, sy, st=st, max_cell=max_cell)
+    payload = list(locs.columns)
     grid = locs.select(_cell(F.col(sx), size).alias("cx"), _cell(F.col(sy), size).alias("cy"),
                        F.col(sx).alias("_gx"), F.col(sy).alias("_gy"), *payload)
     order = F.struct((-F.unix_micros(F.col(ts).cast("timestamp"))).alias("_t"), F.col(tiebreak))
-    ext = grid.agg(F.min("cx"), F.max("cx"), F.min("cy"), F.max("cy")).first()
-    if ext[0] is None:
-        from pyspark.sql import types as T
-        fields = [points.schema[pid], T.StructField("d2", T.DoubleType())] + list(locs.schema.fields)
-        return spark.createDataFrame([], T.StructType(fields))
+    cx0, cx1 = math.floor(st["x0"] / size), math.floor(st["x1"] / size)
+    cy0, cy1 = math.floor(st["y0"] / size), math.floor(st["y1"] / size)
     pcx, pcy = _cell(F.col(px), size), _cell(F.col(py), size)
     # Radius at which a point's block covers every station cell.
-    cap = F.greatest(F.abs(F.lit(ext[1]) - pcx), F.abs(pcx - F.lit(ext[0])),
-                     F.abs(F.lit(ext[3]) - pcy), F.abs(pcy - F.lit(ext[2]))).cast("int")
+    cap = F.greatest(F.abs(F.lit(cx1) - pcx), F.abs(pcx - F.lit(cx0)),
+                     F.abs(F.lit(cy1) - pcy), F.abs(pcy - F.lit(cy0))).cast("int")
     pending = points.select(
         F.col(pid), F.col(px).cast("double").alias("_px"), F.col(py).cast("double").alias("_py"),
         pcx.alias("_pcx"), pcy.alias("_pcy"), F.least(F.lit(1), cap).alias("_r"), cap.alias("_cap"))
     done: DataFrame | None = None
     eps = size * 1e-9
-    for _ in range(max_rounds):
-        res = _probe(pending, grid, size, F.col("_r"), order, pid, payload).checkpoint()
+    for rnd_no in range(max_rounds):
+        res = _probe(pending, grid, F.col("_r"), order, pid, payload)
+        if rnd_no >= 2:
+            checkpoint_dir(spark)
+            res = res.checkpoint()
+        else:
+            res = res.persist()
         d = F.sqrt(F.col("_b.d2"))
-        is_final = (d <= F.col("_r") * F.lit(size) - F.lit(eps)) | (F.col("_r") >= F.col("_cap"))
+        found = F.col("_b").isNotNull()
+        # Final: the best candidate is nearer than the block edge, or the
+        # block already covers every station cell.
+        is_final = found & ((d <= F.col("_r") * F.lit(size) - F.lit(eps)) | (F.col("_r") >= F.col("_cap")))
         out = res.filter(is_final).select(pid, "_b.*").drop("_o")
         done = out if done is None else done.unionByName(out)
-        # Unresolved: a candidate farther than the block radius (the next
-        # radius covers it exactly), or no candidate yet (radius doubles).
-        far = (res.filter(~is_final)
-               .select(pid, "_px", "_py", "_pcx", "_pcy",
-                       F.least(F.ceil(d / F.lit(size)).cast("int") + 1, F.col("_cap")).alias("_r"), "_cap"))
-        missing = (pending.join(res.select(pid), pid, "left_anti")
-                   .filter(F.col("_r") < F.col("_cap"))
-                   .withColumn("_r", F.least(F.col("_r") * 2, F.col("_cap"))))
-        pending = far.unionByName(missing).checkpoint()
-        if pending.isEmpty():
+        left = res.filter(~is_final)
+        if left.isEmpty():
             break
+        # A candidate at distance d: radius ceil(d/size) is final. None yet:
+        # double the radius. Both capped at the covering radius.
+        new_r = F.when(found, F.ceil(d / F.lit(size)).cast("int") + 1).otherwise(F.col("_r") * 2)
+        pending = left.select(pid, "_px", "_py", "_pcx", "_pcy",
+                              F.least(new_r, F.col("_cap")).alias("_r"), "_cap")
     return done

@@ -49,10 +49,15 @@ def _split(df: DataFrame, out: dict[str, Column], rules: Sequence[tuple[str, Col
            keep: Sequence[str] = ()) -> Validated:
     reason = F.concat_ws(";", *[F.when(F.coalesce(bad, F.lit(False)), F.lit(r)) for r, bad in rules])
     keep = [c for c in keep if c in df.columns]
-    staged = df.select("*", *[c.alias(f"__{n}") for n, c in out.items()], reason.alias("__reason"))
-    valid = (staged.filter(F.col("__reason") == "")
+    # ``spark_partition_id()`` is non-deterministic, so Catalyst keeps the
+    # valid/rejected filters above this projection instead of inlining the
+    # rules into them: each row is validated once, not once per consumer.
+    staged = df.select("*", *[c.alias(f"__{n}") for n, c in out.items()], reason.alias("__reason"),
+                       F.spark_partition_id().alias("__part"))
+    barrier = F.col("__part") >= 0
+    valid = (staged.filter((F.col("__reason") == "") & barrier)
              .select(*keep, *[F.col(f"__{n}").alias(n) for n in out]))
-    rejected = (staged.filter(F.col("__reason") != "")
+    rejected = (staged.filter((F.col("__reason") != "") & barrier)
                 .select(*df.columns, F.col("__reason").alias("reason")))
     return Validated(valid, rejected, staged)
 
