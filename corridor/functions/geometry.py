@@ -146,7 +146,9 @@ def parse_ewkt(text: Column) -> Column:
 # --- boxes, intersection, distance ----------------------------------------
 
 def bbox(pts: Column) -> tuple[Column, Column, Column, Column]:
-    xs, ys = F.transform(pts, lambda p: p.x), F.transform(pts, lambda p: p.y)
+    """(min_x, min_y, max_x, max_y). ``pts.x`` extracts a field from every
+    element without a lambda, so this stays in generated code."""
+    xs, ys = pts.getField("x"), pts.getField("y")
     return F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys)
 
 
@@ -183,9 +185,14 @@ def segment_box_intersects(a: Column, b: Column, box) -> Column:
 
 
 def line_box_intersects(pts: Column, box) -> Column:
-    """Does any piece of the line touch the closed box?"""
+    """Does any piece of the line touch the closed box?
+
+    The pieces are ``arrays_zip`` of the line with itself shifted by one, so
+    the line is evaluated once per row, outside the lambda.
+    """
     n = F.size(pts)
-    pieces = F.exists(F.sequence(F.lit(0), n - 2), lambda i: segment_box_intersects(pts[i], pts[i + 1], box))
+    pairs = F.arrays_zip(F.slice(pts, 1, n - 1).alias("a"), F.slice(pts, 2, n - 1).alias("b"))
+    pieces = F.exists(pairs, lambda z: segment_box_intersects(z.getField("a"), z.getField("b"), box))
     return F.when(n >= 2, pieces).when(n == 1, point_in_box(pts[0].x, pts[0].y, box)) \
         .otherwise(F.lit(False))
 
