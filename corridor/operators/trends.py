@@ -82,11 +82,15 @@ def speed_rank(by: Sequence[str] = ()) -> Column:
 
 
 def traffic_trends(readings: DataFrame, segment_id: int | None = None,
-                   by: Sequence[str] = (), **cols) -> DataFrame:
-    """The full trend report (network-wide, one segment, or per ``by`` key)."""
+                   by: Sequence[str] = (), ordered: bool = False, **cols) -> DataFrame:
+    """The full trend report (network-wide, one segment, or per ``by`` key).
+
+    ``ordered`` sorts by (``by``..., day, hour) for presentation; leave it off
+    when the result feeds another operator (a sort is a range shuffle).
+    """
     r = filter_segment(readings, segment_id)
     h = hourly_profile(r, by=by, keep_raw=True, **cols)
-    return h.select(
+    out = h.select(
         *by, "day_of_week", day_name(F.col("day_of_week")).alias("day_name"), "hour_of_day",
         "avg_speed", "avg_congestion", "reading_count",
         daily_baseline(by).alias("daily_avg_speed"),
@@ -94,3 +98,4 @@ def traffic_trends(readings: DataFrame, segment_id: int | None = None,
         speed_change_prev_hour(by).alias("speed_change_from_prev_hour"),
         speed_rank(by).alias("speed_rank"),
     )
+    return out.orderBy(*by, "day_of_week", "hour_of_day") if ordered else out

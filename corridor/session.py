@@ -45,17 +45,21 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder.
+    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    The folder named by ``spark.checkpoint.dir`` is used as is. Only when it
-    is unset (local tests) a scratch folder is created and registered.
+    The configured folder is used as is. Only a local-mode session (tests,
+    single-machine runs) may get a scratch folder when none is set; on a
+    cluster a missing setting is an error, never a machine-local folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if d:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(d)
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(d)
         return d
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at the cluster's shared folder")
     d = tempfile.mkdtemp(prefix="corridor-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(d)
+    sc.setCheckpointDir(d)
     spark.conf.set("spark.checkpoint.dir", d)
     return d

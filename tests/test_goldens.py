@@ -232,3 +232,17 @@ def test_nearest_to_point_ties(spark):
     df = spark.createDataFrame([(1, 0.0, 0.0, t1), (2, 0.0, 0.0, t2), (3, 0.0, 0.0, t2), (4, 5.0, 5.0, t2)],
                                "id long, longitude double, latitude double, timestamp timestamp")
     assert spatial.nearest_to_point(df, 0.1, 0.1).first().id == 2
+
+
+def test_feature_collection_bounded(spark):
+    from corridor.operators import incidents as inc
+    df = spark.createDataFrame([(1, 0.5, 1.0), (2, 2.0, 3.0)], "id long, lon double, lat double")
+    feats = df.select("id", inc.point_feature(F.col("lon"), F.col("lat"), {"id": F.col("id")}).alias("feature"))
+    doc = inc.feature_collection(feats, order="id").first().collection
+    import json
+    parsed = json.loads(doc)
+    assert parsed["type"] == "FeatureCollection"
+    assert [f["properties"]["id"] for f in parsed["features"]] == [1, 2]
+    assert parsed["features"][0]["geometry"] == {"type": "Point", "coordinates": [0.5, 1.0]}
+    with pytest.raises(ValueError):
+        inc.feature_collection(feats, max_features=1)

@@ -95,3 +95,21 @@ def test_keep_last_idempotent_and_matches_pandas(spark, rows):
     p = pd.DataFrame(data, columns=["ordinal", "segment_id", "ts", "v"]).sort_values("ordinal")
     exp = p.groupby(["segment_id", "ts"], as_index=False).last()
     assert a == sorted((int(r.segment_id), r.ts.to_pydatetime(), r.v) for r in exp.itertuples())
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.decimals(min_value=-10000, max_value=10000, places=4, allow_nan=False,
+                            allow_infinity=False), min_size=20, max_size=80))
+def test_rnd_half_away_from_zero(spark, values):
+    """rnd(x, 2) equals decimal half-up rounding of the printed value, and is
+    within half a unit of x."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from corridor.functions.numeric import rnd
+    xs = [float(v) for v in values]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i long, x double")
+    got = {r.i: r.r for r in df.select("i", rnd(F.col("x"), 2).alias("r")).collect()}
+    for i, x in enumerate(xs):
+        exp = float(Decimal(repr(x)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+        assert got[i] == exp, (x, got[i], exp)
+        assert abs(got[i] - x) <= 0.005 + 1e-9
