@@ -116,3 +116,19 @@ def upsert_touch(base: DataFrame, incoming: DataFrame, key: str, touch: str = "u
             v = F.when(F.col("i._in"), F.col(f"i.{c}")).otherwise(F.col(f"b.{c}"))
         out.append(v.alias(c))
     return j.select(*out)
+
+
+def write_segments(segments: DataFrame, path: str, pts: str = "pts") -> None:
+    """Road segments as a new table version, with stored bbox columns.
+
+    ``min_x..max_y`` next to the line make the viewport's bbox test a parquet
+    filter; sorting rows by their bbox corner inside each task (no shuffle)
+    keeps row-group min/max ranges narrow, which is what lets that filter
+    skip row groups.
+    """
+    from corridor.functions.geometry import bbox
+    out = segments
+    if not {"min_x", "min_y", "max_x", "max_y"} <= set(out.columns):
+        mnx, mny, mxx, mxy = bbox(F.col(pts))
+        out = out.select("*", mnx.alias("min_x"), mny.alias("min_y"), mxx.alias("max_x"), mxy.alias("max_y"))
+    out.sortWithinPartitions("min_x", "min_y").write.mode("overwrite").parquet(path)

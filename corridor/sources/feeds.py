@@ -87,6 +87,14 @@ def lookup(df: DataFrame, key: str, value) -> DataFrame:
     return df.filter(F.col(key) == F.lit(value))
 
 
+def lookup_one(df: DataFrame, key: str, value):
+    """The single row with ``key == value``; ``LookupError`` when absent."""
+    rows = lookup(df, key, value).limit(2).collect()
+    if not rows:
+        raise LookupError(f"{key}={value} not found")
+    return rows[0]
+
+
 def missing_keys(requested: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Batch form of the not-found check: requested keys absent from the table."""
     return requested.select(key).distinct().join(table.select(key), key, "left_anti")

@@ -105,3 +105,26 @@ def test_upsert_touch(spark):
     assert out[1].status == "active" and out[1].updated_at == t0
     assert out[2].status == "cleared" and out[2].created_at == t0 and out[2].updated_at == now
     assert out[3].created_at == now
+
+
+def test_segments_table_and_lookup(spark, tmpdir_path):
+    from corridor.functions import geometry as geo
+    from corridor.operators import spatial
+    from corridor.sources.feeds import lookup_one, read_table
+    df = spark.createDataFrame([(1, 0.0, 0.0, 1.0, 1.0), (2, 5.0, 5.0, 6.0, 6.0)],
+                               "segment_id long, x0 double, y0 double, x1 double, y1 double")
+    seg = df.select("segment_id", geo.line_from_columns("x0", "y0", "x1", "y1").alias("pts"))
+    p = os.path.join(tmpdir_path, "road_segments")
+    tables.write_segments(seg, p)
+    stored = read_table(spark, p)
+    assert {"min_x", "max_y"} <= set(stored.columns)
+    hits = spatial.segments_in_viewport(stored, (0.5, 0.5, 2.0, 2.0))
+    assert [r.segment_id for r in hits.collect()] == [1]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plan = spark.read.parquet(p).transform(lambda d: spatial.segments_in_viewport(d, (0.5, 0.5, 2.0, 2.0))) \
+        ._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(max_x,0.5)" in plan and "LessThanOrEqual(min_x,2.0)" in plan, plan
+    assert lookup_one(stored, "segment_id", 2).segment_id == 2
+    with pytest.raises(LookupError):
+        lookup_one(stored, "segment_id", 99)
