@@ -29,11 +29,19 @@ def latest_per_segment(readings: DataFrame, key: str = "segment_id", ts: str = "
 
 
 def segments_with_latest(segments: DataFrame, readings: DataFrame,
-                         key: str = "segment_id") -> DataFrame:
+                         key: str = "segment_id", selective: bool = False) -> DataFrame:
     """Every segment with its latest reading; segments without one keep NULLs.
 
     The aggregated side is already hash-partitioned on ``key``; Spark only
     shuffles (or, when AQE measures it small, broadcasts) the segments.
+
+    ``selective=True`` is for a filtered segment set (a viewport, one id):
+    readings are first semi-joined with the selected ids, so only their
+    readings are aggregated instead of the whole table. The id list is
+    broadcast when its measured size is under the threshold, otherwise the
+    semi-join shuffles on the key like any join.
     """
+    if selective:
+        readings = readings.join(segments.select(key), key, "left_semi")
     latest = latest_per_segment(readings, key=key)
     return segments.join(latest, key, "left")

@@ -175,6 +175,11 @@ def validate_construction(raw: DataFrame, ordinal: str | None = "ordinal",
     ring has >= 4 pairs. An open outer ring is closed by appending its first
     point (inner rings untouched).
     """
+    if fl.kind(raw, "coordinates") == fl.STRING:
+        # Parse JSON text once; the nesting checks read the VARIANT several
+        # times (Spark keeps an expensive expression used more than once in
+        # its own projection instead of inlining it).
+        raw = raw.withColumn("coordinates", F.try_parse_json(F.col("coordinates")))
     gtype = nz.normalize_geometry_type(raw, "geometry_type")
     depth, pts2, rings3 = geo.coordinate_nesting(raw, "coordinates")
     start = fl.as_timestamp(raw, "start_date")

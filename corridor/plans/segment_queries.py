@@ -171,7 +171,7 @@ def q_traffic_geojson(spark, sf):
     """Viewport segments with their latest reading as GeoJSON Feature text,
     read back into columns (checks the text, compares numbers)."""
     s = spatial.segments_in_viewport(segment_table(spark, sf), VIEWPORT)
-    j = latest.segments_with_latest(s, view(spark, sf, "readings"))
+    j = latest.segments_with_latest(s, view(spark, sf, "readings"), selective=True)
     props = {k: F.col(k) for k in ("segment_id", "osm_id", "name", "speed_limit", "length",
                                    "current_speed", "congestion_score")}
     props["reading_timestamp"] = F.col("reading_ts")
