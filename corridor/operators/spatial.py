@@ -188,7 +188,11 @@ def nearest_join(points: DataFrame, stations: DataFrame, pid: str, px: str, py:
             break
         # A candidate at distance d: radius ceil(d/size) is final. None yet:
         # double the radius. Both capped at the covering radius.
+        # The last allowed round probes the covering radius, which is always
+        # final, so no point is ever dropped.
         new_r = F.when(found, F.ceil(d / F.lit(size)).cast("int") + 1).otherwise(F.col("_r") * 2)
+        if rnd_no >= max_rounds - 2:
+            new_r = F.col("_cap")
         pending = left.select(pid, "_px", "_py", "_pcx", "_pcy",
                               F.least(new_r, F.col("_cap")).alias("_r"), "_cap")
     return done

@@ -120,6 +120,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Build one derived view as a lazy DataFrame over the parquet tables."""
+    # Hours, days and date truncation are defined in UTC.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     sql = VIEW_SQL[name]
     frames = {t: read_table(spark, sf_dir, t) for t in _tables_of(sql)}
     df = spark.sql(sql, **frames)

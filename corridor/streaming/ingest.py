@@ -73,6 +73,19 @@ PROCESSORS: dict[str, Callable[..., dict]] = {
 }
 
 
+def write_ingest_log(spark: SparkSession, out: str, feed: str, batch_id: int, res: dict) -> None:
+    """One accounting row per micro-batch (received = loaded + deduped + rejected).
+
+    Keyed by (feed, batch_id) with dynamic partition overwrite, so a replayed
+    batch rewrites its own row.
+    """
+    row = [(feed, int(batch_id), int(res["loaded"]), int(res["rejected"]))]
+    (spark.createDataFrame(row, "feed string, batch_id long, loaded long, rejected long")
+     .withColumn("logged_at", F.current_timestamp())
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("feed", "batch_id").parquet(f"{out}/ingest_log"))
+
+
 def batch_function(feed: str, out: str, strict: bool = False):
     """The ``foreachBatch`` callback: persist the micro-batch once, then load."""
     proc = PROCESSORS[feed]
@@ -81,6 +94,7 @@ def batch_function(feed: str, out: str, strict: bool = False):
         batch = batch.persist()
         try:
             res = proc(batch, batch_id, out, strict=strict)
+            write_ingest_log(batch.sparkSession, out, feed, batch_id, res)
             log.info("feed %s batch %s: %s", feed, batch_id, res)
         finally:
             batch.unpersist()

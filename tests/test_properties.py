@@ -113,3 +113,21 @@ def test_rnd_half_away_from_zero(spark, values):
         exp = float(Decimal(repr(x)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
         assert got[i] == exp, (x, got[i], exp)
         assert abs(got[i] - x) <= 0.005 + 1e-9
+
+
+def test_knn_round_limit_keeps_every_point(spark):
+    """With tiny cells and only two rounds, the last round probes the covering
+    radius: every point is still answered, exactly."""
+    rnd = random.Random(3)
+    base = dt.datetime(2024, 1, 1)
+    stations = [(sid, rnd.uniform(0, 10), rnd.uniform(0, 10), base, 0.0) for sid in range(30)]
+    points = [(pid, rnd.uniform(-20, 30), rnd.uniform(-20, 30)) for pid in range(60)]
+    sdf = spark.createDataFrame(stations, "snapshot_id long, longitude double, latitude double, "
+                                          "observed_at timestamp, temperature double")
+    pdf = spark.createDataFrame(points, "pid long, x double, y double")
+    got = {r.pid: r.snapshot_id for r in spatial.nearest_join(
+        pdf, sdf, "pid", "x", "y", ts="observed_at", tiebreak="snapshot_id", cell=0.05, max_rounds=2).collect()}
+    assert len(got) == len(points)
+    for pid, x, y in points:
+        best = min(stations, key=lambda s: ((s[1] - x) ** 2 + (s[2] - y) ** 2, s[0]))
+        assert got[pid] == best[0]

@@ -38,6 +38,8 @@ def test_stream_equals_batch_and_replay(spark, tmpdir_path):
     got = sorted((r.segment_id, r.current_speed) for r in streamed.collect())
     assert got == [(1, 25.0), (3, 12.0), (4, 55.0)]   # keep-last, reject 'bad', late row kept
     assert spark.read.parquet(f"{out}/quarantine/traffic").count() == 1
+    acc = spark.read.parquet(f"{out}/ingest_log").collect()
+    assert [(r.feed, r.loaded, r.rejected) for r in acc] == [("traffic", 3, 1)]
 
     # Batch path over the same files gives the same rows.
     out2 = os.path.join(tmpdir_path, "out2")
