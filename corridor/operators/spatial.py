@@ -9,9 +9,10 @@ Nearest-neighbour join (``nearest_join``), exact, without a cross join:
 1. Snapshots are collapsed to one row per location (the latest; ties by
    smaller id). Every snapshot at a location has the same distance to any
    query point, so only that row can win. This is a partial aggregate.
-2. Locations are put on a square grid. The cell size starts from the mean
-   density and is halved until no cell holds more than ``max_cell`` locations,
-   so a dense city cannot turn one cell into an all-pairs hot spot.
+2. Locations are put on a square grid: the largest power-of-two cell size
+   whose fullest cell holds at most ``max_cell`` locations (all sizes tested
+   in one job), so a dense city cannot turn one cell into an all-pairs hot
+   spot.
 3. Round 1: each query point probes its 3x3 block of cells through an
    equi-join on the cell key. A point whose best candidate lies within
    ``r * cell`` of it is final: every location outside the block is farther.
@@ -24,7 +25,6 @@ Nearest-neighbour join (``nearest_join``), exact, without a cross join:
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,33 +80,37 @@ def _cell(c: Column, size: float) -> Column:
     return F.floor(c / F.lit(size)).cast("long")
 
 
-def _stats(locs: DataFrame, x: str, y: str):
-    return locs.agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("x0"), F.max(x).alias("x1"),
-                    F.min(y).alias("y0"), F.max(y).alias("y1")).first()
-
-
-def choose_cell_size(locs: DataFrame, x: str, y: str, st=None, max_cell: int = 64, target: float = 4.0,
-                     halvings: int = 12) -> float:
-    """Grid cell size: mean-density start, halved until no cell holds more
-    than ``max_cell`` locations. All candidate sizes are tested in one job."""
-    st = st or _stats(locs, x, y)
-    n = st["n"] or 0
-    if n == 0:
-        return 1.0
-    w, h = (st["x1"] - st["x0"]), (st["y1"] - st["y0"])
-    if w * h > 0:
-        size = math.sqrt(w * h * target / n)
-    else:
-        size = max(w, h) * target / n if max(w, h) > 0 else 1.0
-    sizes = [size / (2 ** k) for k in range(halvings)]
-    cand = locs.select(F.posexplode(F.array(*[F.lit(v) for v in sizes])).alias("k", "_s"), x, y)
-    fullest = dict(cand.groupBy("k", F.floor(F.col(x) / F.col("_s")).alias("cx"),
-                                F.floor(F.col(y) / F.col("_s")).alias("cy")).count()
-                   .groupBy("k").agg(F.max("count").alias("m")).collect())
-    for k, v in enumerate(sizes):
-        if fullest.get(k, 0) <= max_cell:
-            return v
-    return sizes[-1]
+def choose_grid(locs: DataFrame, x: str, y: str, max_cell: int = 64,
+                sizes: tuple[float, ...] = tuple(2.0 ** k for k in range(10, -25, -1))):
+    """Pick the grid in one job: the largest power-of-two cell size (degrees)
+    whose fullest cell holds at most ``max_cell`` locations.
+
+    Returns ``(size, cx0, cx1, cy0, cy1)`` (cell extents of the locations) or
+    None when there is no location. Large cells mean few probe rounds; the
+    occupancy bound keeps any one cell (a dense city) from turning into an
+    all-pairs hot spot. If even the finest size is over-full, the finest is
+    used (locations are distinct points, so cells that small are rare).
+    """
+    arr = F.array(*[F.lit(v) for v in sizes])
+    cand = locs.select(F.posexplode(arr).alias("k", "_s"), x, y)
+    per_cell = cand.groupBy("k", F.floor(F.col(x) / F.col("_s")).alias("cx"),
+                            F.floor(F.col(y) / F.col("_s")).alias("cy")).count()
+    rows = per_cell.groupBy("k").agg(F.max("count").alias("m"), F.min("cx").alias("cx0"),
+                                     F.max("cx").alias("cx1"), F.min("cy").alias("cy0"),
+                                     F.max("cy").alias("cy1")).collect()
+    if not rows:
+        return None
+    by_k = {r.k: r for r in rows}
+    ok = [k for k in sorted(by_k) if by_k[k].m <= max_cell]
+    k = ok[0] if ok else max(by_k)
+    r = by_k[k]
+    return sizes[k], r.cx0, r.cx1, r.cy0, r.cy1
+
+
+def _extents(locs: DataFrame, x: str, y: str, size: float):
+    r = locs.agg(F.min(_cell(F.col(x), size)), F.max(_cell(F.col(x), size)),
+                 F.min(_cell(F.col(y), size)), F.max(_cell(F.col(y), size))).first()
+    return r[0], r[1], r[2], r[3]
 
 
 def _probe(points: DataFrame, grid: DataFrame, radius: Column, order: Column,
@@ -139,27 +143,28 @@ def nearest_join(points: DataFrame, stations: DataFrame, pid: str, px: str, py:
     Returns ``pid`` plus the station columns and ``d2``; points with no
     station at all are absent (the caller left-joins for defaults).
 
-    Driver work: one statistics row, one row per candidate cell size, and
-    one count per round (usually a single round). Round results are
+    Driver work: one row per candidate cell size (one job) and one emptiness
+    check per round (usually a single round). Round results are
     persisted; from the third round on they are checkpointed to the shared
     checkpoint folder so the lineage stays short.
     """
     from pyspark.sql import types as T
     spark = points.sparkSession
-    # One row per distinct location: reused by the statistics, the cell-size
-    # test and every round, so it is computed once and kept.
+    # One row per distinct location: reused by the grid choice and every
+    # round, so it is computed once and kept.
     locs = latest_per_location(stations, sx, sy, ts, tiebreak).persist()
-    st = _stats(locs, sx, sy)
-    if not st["n"]:
+    g = choose_grid(locs, sx, sy, max_cell=max_cell)
+    if g is None:
         fields = [points.schema[pid], T.StructField("d2", T.DoubleType())] + list(locs.schema.fields)
         return spark.createDataFrame([], T.StructType(fields))
-    size = cell or choose_cell_size(locs, sx, sy, st=st, max_cell=max_cell)
+    size, cx0, cx1, cy0, cy1 = g
+    if cell:
+        size = cell
+        cx0, cx1, cy0, cy1 = _extents(locs, sx, sy, size)
     payload = list(locs.columns)
     grid = locs.select(_cell(F.col(sx), size).alias("cx"), _cell(F.col(sy), size).alias("cy"),
                        F.col(sx).alias("_gx"), F.col(sy).alias("_gy"), *payload)
     order = F.struct((-F.unix_micros(F.col(ts).cast("timestamp"))).alias("_t"), F.col(tiebreak))
-    cx0, cx1 = math.floor(st["x0"] / size), math.floor(st["x1"] / size)
-    cy0, cy1 = math.floor(st["y0"] / size), math.floor(st["y1"] / size)
     pcx, pcy = _cell(F.col(px), size), _cell(F.col(py), size)
     # Radius at which a point's block covers every station cell.
     cap = F.greatest(F.abs(F.lit(cx1) - pcx), F.abs(pcx - F.lit(cx0)),
