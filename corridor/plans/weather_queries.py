@@ -90,15 +90,52 @@ def q_weather_distance(spark, sf):
     return w.select("snapshot_id", rnd(d, 3).alias("distance_m"))
 
 
-@register("nearest_weather_geodesic")
+def _vincenty_sql(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
+    """Vincenty's inverse formula as a recursive CTE over one row (``nw``).
+
+    The iteration mirrors ``functions.geodesy.vincenty_np``: lambda is updated
+    until it moves less than 1e-12; the final row's terms give the distance.
+    """
+    a, f = "6378137e0", "(1e0 / 298257223563e-9)"
+    b = f"((1e0 - {f}) * {a})"
+    return f"""geo0 AS (SELECT radians({lon2} - {lon1}) AS L,
+    atan((1e0 - {f}) * tan(radians({lat1}))) AS U1, atan((1e0 - {f}) * tan(radians({lat2}))) AS U2 FROM nw),
+geo1 AS (SELECT L, sin(U1) AS sU1, cos(U1) AS cU1, sin(U2) AS sU2, cos(U2) AS cU2 FROM geo0),
+it(k, lam, L, sU1, cU1, sU2, cU2, sS, cS, sig, cA2, c2m, done) AS (
+  SELECT 0, L, L, sU1, cU1, sU2, cU2, 0e0, 0e0, 0e0, 0e0, 0e0, false FROM geo1
+  UNION ALL
+  SELECT k + 1, nl, L, sU1, cU1, sU2, cU2, sS, cS, sig, cA2, c2m, abs(nl - lam) < 1e-12 FROM (
+    SELECT *, L + (1e0 - C) * {f} * sA * (sig + C * sS * (c2m + C * cS * (-1e0 + 2e0 * c2m * c2m))) AS nl FROM (
+      SELECT *, {f} / 16e0 * cA2 * (4e0 + {f} * (4e0 - 3e0 * cA2)) AS C FROM (
+        SELECT *, CASE WHEN cA2 = 0 THEN 0e0 ELSE cS - 2e0 * sU1 * sU2 / cA2 END AS c2m FROM (
+          SELECT *, 1e0 - sA * sA AS cA2 FROM (
+            SELECT *, CASE WHEN sS = 0 THEN 0e0 ELSE cU1 * cU2 * sin(lam) / sS END AS sA FROM (
+              SELECT *, atan2(sS, cS) AS sig FROM (
+                SELECT k, lam, L, sU1, cU1, sU2, cU2,
+                  sqrt(pow(cU2 * sin(lam), 2) + pow(cU1 * sU2 - sU1 * cU2 * cos(lam), 2)) AS sS,
+                  sU1 * sU2 + cU1 * cU2 * cos(lam) AS cS FROM it WHERE NOT done AND k < 200) t1) t2) t3) t4) t5) t6) t7),
+fin AS (SELECT * FROM it WHERE done ORDER BY k LIMIT 1),
+dist AS (SELECT CASE WHEN sS = 0 THEN 0e0 ELSE {b} * A * (sig - dS) END AS s FROM (
+  SELECT *, Bc * sS * (c2m + Bc / 4e0 * (cS * (-1e0 + 2e0 * c2m * c2m)
+      - Bc / 6e0 * c2m * (-3e0 + 4e0 * sS * sS) * (-3e0 + 4e0 * c2m * c2m))) AS dS FROM (
+    SELECT *, 1e0 + u2 / 16384e0 * (4096e0 + u2 * (-768e0 + u2 * (320e0 - 175e0 * u2))) AS A,
+      u2 / 1024e0 * (256e0 + u2 * (-128e0 + u2 * (74e0 - 47e0 * u2))) AS Bc FROM (
+      SELECT *, cA2 * ({a} * {a} - {b} * {b}) / ({b} * {b}) AS u2 FROM fin) x) y) z)
+"""
+
+
+@register("nearest_weather_geodesic", WV_SQL.replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + ",\n" +
+          "nw AS (SELECT snapshot_id, latitude, longitude, temperature, rain_intensity, visibility, observed_at "
+          f"FROM wt ORDER BY {_NEAREST_ORDER} LIMIT 1),\n" +
+          _vincenty_sql("longitude", "latitude", _QLON, _QLAT) +
+          f"SELECT nw.*, {rnd_sql('dist.s', 3)} AS distance_meters FROM nw, dist")
 def q_nearest_weather_geodesic(spark, sf):
-    """The nearest snapshot with its spheroid (WGS84) distance in metres.
+    """The nearest snapshot with its spheroid (WGS84) distance in metres (to the mm).
 
     Planar order picks the row; the Arrow UDF then runs on that one row.
-    No SQL oracle (DuckDB has no spheroid distance); unit-tested against the
-    published Flinders Peak - Buninyong geodesic.
+    The oracle iterates the same formula in a recursive CTE.
     """
     w = weather_table(spark, sf).select(*WEATHER_COLS)
     best = spatial.nearest_to_point(w, QUERY_LON, QUERY_LAT, ts="observed_at", tiebreak="snapshot_id")
-    return best.withColumn("distance_meters", spheroid_distance_m(
-        F.col("longitude"), F.col("latitude"), F.lit(QUERY_LON), F.lit(QUERY_LAT)))
+    d = spheroid_distance_m(F.col("longitude"), F.col("latitude"), F.lit(QUERY_LON), F.lit(QUERY_LAT))
+    return best.withColumn("distance_meters", rnd(d, 3))
