@@ -6,6 +6,12 @@ Each validator is a single projection: typed output columns plus a
 is never lost: it is either loaded or quarantined with its reasons. All
 rules are column expressions, evaluated inside whole-stage codegen.
 
+The projection carries a non-deterministic marker so Catalyst does not
+inline the rules into the ``valid``/``rejected`` filters (which would run
+every conversion twice). The price: later filters do not move below the
+validation either, so filters on raw pass-through columns (an id, a date)
+belong on the input frame, before validating.
+
 Output contract: ``(valid_df, rejected_df)``. ``valid_df`` keeps the
 pass-through columns (ids, ordinals) followed by the typed fields;
 ``rejected_df`` keeps the original input columns plus ``reason``.

@@ -106,7 +106,9 @@ def q_traffic_trends_segment(spark, sf):
 
 @register("traffic_trends_one_segment", _trend_sql(where=f"WHERE segment_id = {TREND_SEGMENT}"))
 def q_traffic_trends_one_segment(spark, sf):
-    """Point form: existence check, then the report for one segment."""
+    """Point form: existence check (raises when the id is unknown), then the
+    report for one segment; the id filter reaches the parquet scan."""
+    trends.require_segment(view(spark, sf, "segments"), TREND_SEGMENT)
     readings = view(spark, sf, "readings")
     return trends.traffic_trends(readings, segment_id=TREND_SEGMENT)
 

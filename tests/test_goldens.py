@@ -246,3 +246,11 @@ def test_feature_collection_bounded(spark):
     assert parsed["features"][0]["geometry"] == {"type": "Point", "coordinates": [0.5, 1.0]}
     with pytest.raises(ValueError):
         inc.feature_collection(feats, max_features=1)
+
+
+def test_require_segment(spark):
+    from corridor.operators import trends
+    segs = spark.createDataFrame([(1,), (2,)], "segment_id long")
+    trends.require_segment(segs, 2)
+    with pytest.raises(LookupError):
+        trends.require_segment(segs, 3)
