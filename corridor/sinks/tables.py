@@ -59,7 +59,11 @@ def write_batch(df: DataFrame, path: str, table: str, batch_id: int | None = Non
 
 
 def load_traffic_readings(df: DataFrame, path: str, batch_id: int | None = None, **kw) -> int:
-    return write_batch(df.select("segment_id", "current_speed",
+    """Readings with a deterministic ``reading_id`` (a hash of the row), so a
+    retried task or a replayed batch writes the same ids; the id breaks ties
+    between readings of a segment with the same timestamp."""
+    rid = F.xxhash64("segment_id", "timestamp", "current_speed", "congestion_score")
+    return write_batch(df.select(rid.alias("reading_id"), "segment_id", "current_speed",
                                  F.col("congestion_score").cast("decimal(3,2)").alias("congestion_score"),
                                  "timestamp"), path, "traffic_readings", batch_id, **kw)
 

@@ -38,6 +38,11 @@ def test_stream_equals_batch_and_replay(spark, tmpdir_path):
     got = sorted((r.segment_id, r.current_speed) for r in streamed.collect())
     assert got == [(1, 25.0), (3, 12.0), (4, 55.0)]   # keep-last, reject 'bad', late row kept
     assert spark.read.parquet(f"{out}/quarantine/traffic").count() == 1
+    from corridor.operators.latest import latest_per_segment
+    from corridor.operators.trends import traffic_trends
+    lat = latest_per_segment(streamed, ts="timestamp", cols=("current_speed", "timestamp", "reading_id"))
+    assert sorted(r.segment_id for r in lat.collect()) == [1, 3, 4]
+    assert traffic_trends(streamed, ts="timestamp").count() == 3
     acc = spark.read.parquet(f"{out}/ingest_log").collect()
     assert [(r.feed, r.loaded, r.rejected) for r in acc] == [("traffic", 3, 1)]
 
