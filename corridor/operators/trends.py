@@ -60,13 +60,20 @@ def _day_window(by: Sequence[str]):
     return Window.partitionBy(*by, "day_of_week")
 
 
+def _whole_day(by: Sequence[str]):
+    """The whole day, ordered by hour: the same partitioning and order as the
+    LAG window, so Spark evaluates both in one Window operator (one sort)."""
+    return (_day_window(by).orderBy("hour_of_day")
+            .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+
+
 def daily_baseline(by: Sequence[str] = ()) -> Column:
     """Unweighted mean of the hourly means of the same day of week."""
-    return rnd(F.avg("_speed").over(_day_window(by)), 2)
+    return rnd(F.avg("_speed").over(_whole_day(by)), 2)
 
 
 def speed_vs_daily(by: Sequence[str] = ()) -> Column:
-    return rnd(F.col("_speed") - F.avg("_speed").over(_day_window(by)), 2)
+    return rnd(F.col("_speed") - F.avg("_speed").over(_whole_day(by)), 2)
 
 
 def speed_change_prev_hour(by: Sequence[str] = ()) -> Column:
