@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corridor.functions import geometry as geo
 from corridor.operators import incidents as inc
 from corridor.operators import spatial, transform, validate
 from corridor.plans.catalog import register
