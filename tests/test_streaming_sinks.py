@@ -135,3 +135,22 @@ def test_segments_table_and_lookup(spark, tmpdir_path):
     assert lookup_one(stored, "segment_id", 2).segment_id == 2
     with pytest.raises(LookupError):
         lookup_one(stored, "segment_id", 99)
+
+
+def test_start_all_isolates_feeds(spark, tmpdir_path):
+    """Four independent queries; a feed whose landing folder is missing fails
+    alone and the other feeds still load."""
+    root, out, ck = (os.path.join(tmpdir_path, p) for p in ("landing", "out", "ck"))
+    _land(os.path.join(root, "traffic"), TRAFFIC_FILES[:1])
+    _land(os.path.join(root, "weather"), [{"snapshots": [{"latitude": 37.7, "longitude": -122.4}]}])
+    _land(os.path.join(root, "incidents"), [{"incidents": [{"incident_type": "debris", "latitude": 37.7,
+                                                             "longitude": -122.4}]}])
+    # no construction folder at all
+    queries = ingest.start_all(spark, root, out, ck, available_now=True)
+    for q in queries.values():
+        q.awaitTermination(120)
+    assert {"traffic", "weather", "incidents"} <= set(queries)
+    assert spark.read.parquet(f"{out}/traffic_readings").count() == 2
+    assert spark.read.parquet(f"{out}/weather_snapshots").count() == 1
+    assert spark.read.parquet(f"{out}/incidents").count() == 1
+    assert not os.path.exists(f"{out}/construction_zones")
