@@ -13,24 +13,25 @@ Nearest-neighbour join (``nearest_join``), exact, without a cross join:
    whose fullest cell holds at most ``max_cell`` locations (all sizes tested
    in one job), so a dense city cannot turn one cell into an all-pairs hot
    spot.
-3. Round 1: each query point probes its 3x3 block of cells through an
-   equi-join on the cell key. A point whose best candidate lies within
-   ``r * cell`` of it is final: every location outside the block is farther.
-4. Points with a candidate at distance d re-probe the block of radius
-   ceil(d / cell), which is final; points with none double the radius. Each
-   round runs only on the unresolved points and is checkpointed to the
-   shared checkpoint folder, so lineage stays short and a lost executor
-   recomputes one round.
+3. First pass: each query point probes its 3x3 block of cells through an
+   equi-join on the cell key. A point whose best candidate lies within one
+   cell width of it is final: every location outside the block is farther.
+4. The few points not settled get a fixed two-step far pass (see
+   ``_far_pass``): an upper bound from one representative per coarse cell at
+   every coarser level, then an exact comparison with the stations of the
+   fine cells whose bbox lies within that bound. No radius loop, so a point
+   far from every station costs rows in proportion to nearby stations, not to
+   the empty area around it.
 """
 
 from __future__ import annotations
 
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corridor.functions import geometry as geo
-from corridor.session import checkpoint_dir
 
 
 def within_box(df: DataFrame, box, x: str = "longitude", y: str = "latitude") -> DataFrame:
@@ -86,9 +87,9 @@ def choose_grid(locs: DataFrame, x: str, y: str, max_cell: int = 64,
     whose fullest cell holds at most ``max_cell`` locations.
 
     Returns ``(size, cx0, cx1, cy0, cy1)`` (cell extents of the locations) or
-    None when there is no location. Large cells mean few probe rounds; the
-    occupancy bound keeps any one cell (a dense city) from turning into an
-    all-pairs hot spot. If even the finest size is over-full, the finest is
+    None when there is no location. Large cells settle more points in the
+    first pass; the occupancy bound keeps any one cell (a dense city) from
+    turning into an all-pairs hot spot. If even the finest size is over-full, the finest is
     used (locations are distinct points, so cells that small are rare).
     """
     arr = F.array(*[F.lit(v) for v in sizes])
@@ -107,12 +108,6 @@ def choose_grid(locs: DataFrame, x: str, y: str, max_cell: int = 64,
     return sizes[k], r.cx0, r.cx1, r.cy0, r.cy1
 
 
-def _extents(locs: DataFrame, x: str, y: str, size: float):
-    r = locs.agg(F.min(_cell(F.col(x), size)), F.max(_cell(F.col(x), size)),
-                 F.min(_cell(F.col(y), size)), F.max(_cell(F.col(y), size))).first()
-    return r[0], r[1], r[2], r[3]
-
-
 def _probe(points: DataFrame, grid: DataFrame, radius: Column, order: Column,
            pid: str, payload: list[str]) -> DataFrame:
     """Best candidate per point among grid cells within ``radius`` cells.
@@ -133,71 +128,107 @@ def _probe(points: DataFrame, grid: DataFrame, radius: Column, order: Column,
     return cand.groupBy(pid, "_px", "_py", "_pcx", "_pcy", "_r", "_cap").agg(best.alias("_b"))
 
 
+def _far_pass(pending: DataFrame, locs: DataFrame, grid: DataFrame, size: float, order: Column,
+              pid: str, payload: list[str], sx: str, sy: str) -> DataFrame:
+    """Exact nearest station for points the 3x3 fine block did not settle.
+
+    (A) Upper bound: at every coarser level (cell size ``size * 2**j``, up to
+        1024 degrees, which covers the globe) the point probes its 3x3 block of
+        coarse cells, each carrying one representative station: at most 9 rows
+        per point and level. The nearest representative (and any round-1
+        candidate) gives ``ub``, a real station distance.
+    (B) Exact: every station within ``ub`` lies in the 3x3 block of the
+        smallest level whose cells are at least ``ub`` wide. The point joins
+        the non-empty fine cells inside that block, keeps those whose bbox is
+        within ``ub`` (a lower bound on any of their stations), and compares
+        with their stations (at most ``max_cell`` per cell).
+    Work per point follows the stations near it, not the empty area around it.
+    """
+    n_lv = max(1, math.ceil(math.log2(1024.0 / size)))
+    levels = [size * 2.0 ** j for j in range(1, n_lv + 1)]
+    lv = F.array(*[F.lit(v) for v in levels])
+    offs = F.array(F.lit(-1), F.lit(0), F.lit(1))
+
+    def block(df, s_col, x, y):
+        return (df.withColumn("_dx", F.explode(offs)).withColumn("_dy", F.explode(offs))
+                .withColumn("ccx", F.floor(F.col(x) / F.col(s_col)) + F.col("_dx"))
+                .withColumn("ccy", F.floor(F.col(y) / F.col(s_col)) + F.col("_dy"))
+                .drop("_dx", "_dy"))
+
+    # One representative station per coarse cell and level.
+    reps = (locs.select(F.posexplode(lv).alias("j", "_s"), F.col(sx).alias("_rx"), F.col(sy).alias("_ry"))
+            .groupBy("j", F.floor(F.col("_rx") / F.col("_s")).alias("ccx"),
+                     F.floor(F.col("_ry") / F.col("_s")).alias("ccy"))
+            .agg(F.min(F.struct("_rx", "_ry")).alias("_rep")))
+    pa = block(pending.select(pid, "_px", "_py", "_ub0", F.posexplode(lv).alias("j", "_s")), "_s", "_px", "_py")
+    ub = (pa.join(reps, ["j", "ccx", "ccy"])
+          .groupBy(pid, "_px", "_py", "_ub0")
+          .agg(F.min(geo.planar_d2(F.col("_rep._rx"), F.col("_rep._ry"), F.col("_px"), F.col("_py")))
+               .alias("_ubr"))
+          .select(pid, "_px", "_py", F.least("_ub0", "_ubr").alias("_ub2")))
+    # Smallest level whose cell width covers the bound.
+    ratio = F.sqrt(F.col("_ub2")) / F.lit(size)
+    jstar = F.greatest(F.lit(1), F.ceil(F.log2(F.greatest(ratio, F.lit(1.0))))).cast("int")
+    jstar = F.when(F.lit(size) * F.pow(F.lit(2.0), jstar) < F.sqrt(F.col("_ub2")), jstar + 1).otherwise(jstar)
+    pb = block(ub.withColumn("j", F.least(jstar, F.lit(n_lv)))
+               .withColumn("_s", F.lit(size) * F.pow(F.lit(2.0), F.col("j"))), "_s", "_px", "_py")
+    # Non-empty fine cells with their station bbox and their ancestor per level.
+    fine = grid.groupBy("cx", "cy").agg(F.min("_gx").alias("_x0"), F.max("_gx").alias("_x1"),
+                                        F.min("_gy").alias("_y0"), F.max("_gy").alias("_y1"))
+    anc = (fine.select("*", F.posexplode(F.array(*[F.lit(2.0 ** j) for j in range(1, n_lv + 1)]))
+                       .alias("_j0", "_f"))
+           .select((F.col("_j0") + 1).alias("j"), F.floor(F.col("cx") / F.col("_f")).alias("ccx"),
+                   F.floor(F.col("cy") / F.col("_f")).alias("ccy"), "cx", "cy", "_x0", "_x1", "_y0", "_y1"))
+    lbx = F.greatest(F.lit(0.0), F.col("_x0") - F.col("_px"), F.col("_px") - F.col("_x1"))
+    lby = F.greatest(F.lit(0.0), F.col("_y0") - F.col("_py"), F.col("_py") - F.col("_y1"))
+    near = (pb.join(anc, ["j", "ccx", "ccy"])
+            .filter(lbx * lbx + lby * lby <= F.col("_ub2"))
+            .select(pid, "_px", "_py", "cx", "cy"))
+    cand = near.join(grid, ["cx", "cy"])
+    d2 = geo.planar_d2(F.col("_gx"), F.col("_gy"), F.col("_px"), F.col("_py"))
+    best = F.min(F.struct(d2.alias("d2"), order.alias("_o"), *[F.col(c) for c in payload]))
+    return cand.groupBy(pid).agg(best.alias("_b")).select(pid, "_b.*").drop("_o")
+
+
 def nearest_join(points: DataFrame, stations: DataFrame, pid: str, px: str, py: str,
                  sx: str = "longitude", sy: str = "latitude", ts: str = "timestamp",
-                 tiebreak: str = "id", cell: float | None = None, max_cell: int = 64,
-                 max_rounds: int = 64) -> DataFrame:
+                 tiebreak: str = "id", cell: float | None = None, max_cell: int = 64) -> DataFrame:
     """For each point the nearest station row (planar), exactly.
 
     Ties: smaller distance, then later ``ts``, then smaller ``tiebreak``.
     Returns ``pid`` plus the station columns and ``d2``; points with no
-    station at all are absent (the caller left-joins for defaults).
+    station at all (or NULL coordinates) are absent (the caller left-joins
+    for defaults).
 
     Driver work: one row per candidate cell size (one job) and one emptiness
-    check per round (usually a single round). Round results are
-    persisted; from the third round on they are checkpointed to the shared
-    checkpoint folder so the lineage stays short.
+    check after the first pass. The first pass is persisted (it feeds both
+    the answer and the far pass).
     """
     from pyspark.sql import types as T
     spark = points.sparkSession
-    # One row per distinct location: reused by the grid choice and every
-    # round, so it is computed once and kept.
+    # One row per distinct location: reused by the grid choice and both
+    # passes, so it is computed once and kept.
     locs = latest_per_location(stations, sx, sy, ts, tiebreak).persist()
     g = choose_grid(locs, sx, sy, max_cell=max_cell)
     if g is None:
         fields = [points.schema[pid], T.StructField("d2", T.DoubleType())] + list(locs.schema.fields)
         return spark.createDataFrame([], T.StructType(fields))
-    size, cx0, cx1, cy0, cy1 = g
-    if cell:
-        size = cell
-        cx0, cx1, cy0, cy1 = _extents(locs, sx, sy, size)
+    size = cell or g[0]
     payload = list(locs.columns)
     grid = locs.select(_cell(F.col(sx), size).alias("cx"), _cell(F.col(sy), size).alias("cy"),
                        F.col(sx).alias("_gx"), F.col(sy).alias("_gy"), *payload)
     order = F.struct((-F.unix_micros(F.col(ts).cast("timestamp"))).alias("_t"), F.col(tiebreak))
-    pcx, pcy = _cell(F.col(px), size), _cell(F.col(py), size)
-    # Radius at which a point's block covers every station cell.
-    cap = F.greatest(F.abs(F.lit(cx1) - pcx), F.abs(pcx - F.lit(cx0)),
-                     F.abs(F.lit(cy1) - pcy), F.abs(pcy - F.lit(cy0))).cast("int")
     pending = points.select(
         F.col(pid), F.col(px).cast("double").alias("_px"), F.col(py).cast("double").alias("_py"),
-        pcx.alias("_pcx"), pcy.alias("_pcy"), F.least(F.lit(1), cap).alias("_r"), cap.alias("_cap"))
-    done: DataFrame | None = None
-    eps = size * 1e-9
-    for rnd_no in range(max_rounds):
-        res = _probe(pending, grid, F.col("_r"), order, pid, payload)
-        if rnd_no >= 2:
-            checkpoint_dir(spark)
-            res = res.checkpoint()
-        else:
-            res = res.persist()
-        d = F.sqrt(F.col("_b.d2"))
-        found = F.col("_b").isNotNull()
-        # Final: the best candidate is nearer than the block edge, or the
-        # block already covers every station cell.
-        is_final = found & ((d <= F.col("_r") * F.lit(size) - F.lit(eps)) | (F.col("_r") >= F.col("_cap")))
-        out = res.filter(is_final).select(pid, "_b.*").drop("_o")
-        done = out if done is None else done.unionByName(out)
-        left = res.filter(~is_final)
-        if left.isEmpty():
-            break
-        # A candidate at distance d: radius ceil(d/size) is final. None yet:
-        # double the radius. Both capped at the covering radius.
-        # The last allowed round probes the covering radius, which is always
-        # final, so no point is ever dropped.
-        new_r = F.when(found, F.ceil(d / F.lit(size)).cast("int") + 1).otherwise(F.col("_r") * 2)
-        if rnd_no >= max_rounds - 2:
-            new_r = F.col("_cap")
-        pending = left.select(pid, "_px", "_py", "_pcx", "_pcy",
-                              F.least(new_r, F.col("_cap")).alias("_r"), "_cap")
-    return done
+        _cell(F.col(px), size).alias("_pcx"), _cell(F.col(py), size).alias("_pcy"),
+        F.lit(1).alias("_r"), F.lit(0).alias("_cap")).filter(F.col("_px").isNotNull() & F.col("_py").isNotNull())
+    res = _probe(pending, grid, F.col("_r"), order, pid, payload).persist()
+    d = F.sqrt(F.col("_b.d2"))
+    # Final when the best candidate is nearer than the block edge: every
+    # location outside the 3x3 block is farther than one cell width.
+    is_final = F.col("_b").isNotNull() & (d <= F.lit(size) - F.lit(size * 1e-9))
+    done = res.filter(is_final).select(pid, "_b.*").drop("_o")
+    left = res.filter(~is_final).select(pid, "_px", "_py", F.col("_b.d2").alias("_ub0"))
+    if left.isEmpty():
+        return done
+    return done.unionByName(_far_pass(left, locs, grid, size, order, pid, payload, sx, sy))

@@ -115,9 +115,9 @@ def test_rnd_half_away_from_zero(spark, values):
         assert abs(got[i] - x) <= 0.005 + 1e-9
 
 
-def test_knn_round_limit_keeps_every_point(spark):
-    """With tiny cells and only two rounds, the last round probes the covering
-    radius: every point is still answered, exactly."""
+def test_knn_far_pass_is_exact(spark):
+    """With tiny cells almost every point misses its 3x3 block and goes
+    through the far pass (coarse upper bound, then fine cells within it)."""
     rnd = random.Random(3)
     base = dt.datetime(2024, 1, 1)
     stations = [(sid, rnd.uniform(0, 10), rnd.uniform(0, 10), base, 0.0) for sid in range(30)]
@@ -126,8 +126,29 @@ def test_knn_round_limit_keeps_every_point(spark):
                                           "observed_at timestamp, temperature double")
     pdf = spark.createDataFrame(points, "pid long, x double, y double")
     got = {r.pid: r.snapshot_id for r in spatial.nearest_join(
-        pdf, sdf, "pid", "x", "y", ts="observed_at", tiebreak="snapshot_id", cell=0.05, max_rounds=2).collect()}
+        pdf, sdf, "pid", "x", "y", ts="observed_at", tiebreak="snapshot_id", cell=0.05).collect()}
     assert len(got) == len(points)
     for pid, x, y in points:
         best = min(stations, key=lambda s: ((s[1] - x) ** 2 + (s[2] - y) ** 2, s[0]))
         assert got[pid] == best[0]
+
+
+def test_knn_dense_cluster_and_remote_points(spark):
+    """A dense cluster forces small cells (max_cell=4); remote points and
+    points just outside the cluster are still answered exactly."""
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    cluster = [(i, 10 + rnd.uniform(0, 0.01), 50 + rnd.uniform(0, 0.01)) for i in range(300)]
+    sparse = [(300 + i, rnd.uniform(-170, 170), rnd.uniform(-80, 80)) for i in range(20)]
+    stations = [(sid, x, y, base + dt.timedelta(seconds=sid % 7)) for sid, x, y in cluster + sparse]
+    points = ([(i, rnd.uniform(-179, 179), rnd.uniform(-89, 89)) for i in range(80)] +
+              [(100 + i, 10 + rnd.uniform(-0.02, 0.03), 50 + rnd.uniform(-0.02, 0.03)) for i in range(80)])
+    sdf = spark.createDataFrame(stations, "snapshot_id long, longitude double, latitude double, observed_at timestamp")
+    pdf = spark.createDataFrame(points, "pid long, x double, y double")
+    got = {r.pid: r.snapshot_id for r in spatial.nearest_join(
+        pdf, sdf, "pid", "x", "y", ts="observed_at", tiebreak="snapshot_id", max_cell=4).collect()}
+    assert len(got) == len(points)
+    for pid, x, y in points:
+        best = min(stations, key=lambda s: ((s[1] - x) * (s[1] - x) + (s[2] - y) * (s[2] - y),
+                                            -s[3].timestamp(), s[0]))
+        assert got[pid] == best[0], pid
