@@ -154,3 +154,33 @@ def test_start_all_isolates_feeds(spark, tmpdir_path):
     assert spark.read.parquet(f"{out}/weather_snapshots").count() == 1
     assert spark.read.parquet(f"{out}/incidents").count() == 1
     assert not os.path.exists(f"{out}/construction_zones")
+
+
+def test_reload_prediction_log_and_score_storage(spark, tmpdir_path):
+    import datetime as dt
+    from corridor.operators import segments as sg
+    # K8: full reload replaces the table.
+    p = os.path.join(tmpdir_path, "t")
+    tables.full_reload(spark.createDataFrame([(1,), (2,)], "a long"), p)
+    tables.full_reload(spark.createDataFrame([(3,)], "a long"), p)
+    assert [r.a for r in spark.read.parquet(p).collect()] == [3]
+    # K9: the audit log keeps start/end points, a NULL actual time and stable ids.
+    scored = spark.createDataFrame([(7, 37.7, -122.4, 37.8, -122.5, 438.75)],
+                                   "segment_id long, start_lat double, start_lon double, end_lat double, "
+                                   "end_lon double, predicted_time_seconds double")
+    log = sg.prediction_log(scored)
+    lp = os.path.join(tmpdir_path, "predictions")
+    at = F.lit(dt.datetime(2024, 1, 1, 12)).cast("timestamp")
+    assert tables.append_predictions(log, lp, batch_id=0, at=at) == 1
+    assert tables.append_predictions(log, lp, batch_id=0, at=at) == 1      # replay: replaced
+    r = spark.read.parquet(lp).collect()
+    assert len(r) == 1 and r[0].actual_time is None and r[0].origin_lng == -122.4
+    assert r[0].prediction_id == log.first().prediction_id
+    # C5: scores are stored as NUMERIC(3,2), rounded half up.
+    t = dt.datetime(2024, 1, 1, 8)
+    rd = spark.createDataFrame([(1, 30.0, 0.125, t), (2, 30.0, 0.994, t)],
+                               "segment_id long, current_speed double, congestion_score double, timestamp timestamp")
+    rp = os.path.join(tmpdir_path, "readings")
+    tables.load_traffic_readings(rd, rp, batch_id=0)
+    got = sorted((r.segment_id, float(r.congestion_score)) for r in spark.read.parquet(rp).collect())
+    assert got == [(1, 0.13), (2, 0.99)]
