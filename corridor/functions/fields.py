@@ -84,7 +84,9 @@ def as_long(df: DataFrame, name: str) -> Column:
                       F.expr(f"try_cast(regexp_replace(trim(`{name}`), '\\\\.0*$', '') AS BIGINT)"))
     if k == NUMERIC:
         d = c.cast("double")
-        return F.when(d == F.floor(d), c.cast("long"))
+        # NaN equals NaN in Spark and inf equals floor(inf): exclude both, and
+        # try_cast so an out-of-range value is NULL (rejected), not an error.
+        return F.when(~F.isnan(d) & (d == F.floor(d)), c.try_cast("long"))
     if k == VARIANT:
         t = variant_type(c)
         s = F.try_variant_get(c, "$", "string")
@@ -92,8 +94,8 @@ def as_long(df: DataFrame, name: str) -> Column:
         return (F.when(t == "STRING",
                        F.when(s.rlike(_INT_TEXT),
                               F.regexp_replace(F.trim(s), r"\.0*$", "").try_cast("long")))
-                .when(t.rlike("^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)") & (d == F.floor(d)),
-                      d.cast("long")))
+                .when(t.rlike("^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)") & ~F.isnan(d) &
+                      (d == F.floor(d)), d.try_cast("long")))
     return F.lit(None).cast("long")
 
 

@@ -254,3 +254,11 @@ def test_require_segment(spark):
     trends.require_segment(segs, 2)
     with pytest.raises(LookupError):
         trends.require_segment(segs, 3)
+
+
+def test_integer_field_edge_values(spark):
+    from corridor.functions import fields as fl
+    df = spark.createDataFrame([(1, 12.0), (2, float("nan")), (3, float("inf")), (4, 1e30), (5, 12.5)],
+                               "i long, v double")
+    got = {r.i: r.x for r in df.select("i", fl.as_long(df, "v").alias("x")).collect()}
+    assert got == {1: 12, 2: None, 3: None, 4: None, 5: None}
