@@ -262,3 +262,23 @@ def test_integer_field_edge_values(spark):
                                "i long, v double")
     got = {r.i: r.x for r in df.select("i", fl.as_long(df, "v").alias("x")).collect()}
     assert got == {1: 12, 2: None, 3: None, 4: None, 5: None}
+
+
+def test_incident_filter_arguments(spark):
+    from corridor.operators import incidents as inc
+    df = spark.createDataFrame([(1, "active", "high", -122.4, 37.7, dt.datetime(2024, 1, 2)),
+                                (2, "active", "low", -122.4, 37.7, dt.datetime(2024, 1, 3)),
+                                (3, "cleared", "high", -122.4, 37.7, dt.datetime(2024, 1, 4)),
+                                (4, "active", "high", 10.0, 10.0, dt.datetime(2024, 1, 1))],
+                               "incident_id long, status string, severity string, longitude double, "
+                               "latitude double, created_at timestamp")
+    assert [r.incident_id for r in inc.active_incidents(df).collect()] == [2, 1, 4]      # newest first
+    box = (-123.0, 37.0, -122.0, 38.0)
+    assert [r.incident_id for r in inc.active_incidents(df, "high", box).collect()] == [1]
+    with pytest.raises(ValueError):
+        inc.active_incidents(df, severity="urgent")
+    with pytest.raises(ValueError):
+        inc.active_incidents(df, box=(-123.0, None, -122.0, 38.0))
+    with pytest.raises(ValueError):
+        inc.active_incidents(df, box=(-122.0, 37.0, -123.0, 38.0))
+    assert inc.active_incidents(df, box=(None, None, None, None)).count() == 3
