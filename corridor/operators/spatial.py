@@ -16,22 +16,23 @@ Nearest-neighbour join (``nearest_join``), exact, without a cross join:
 3. First pass: each query point probes its 3x3 block of cells through an
    equi-join on the cell key. A point whose best candidate lies within one
    cell width of it is final: every location outside the block is farther.
-4. The few points not settled get a fixed two-step far pass (see
-   ``_far_pass``): an upper bound from one representative per coarse cell at
-   every coarser level, then an exact comparison with the stations of the
-   fine cells whose bbox lies within that bound. No radius loop, so a point
-   far from every station costs rows in proportion to nearby stations, not to
-   the empty area around it.
+4. The few points not settled descend a pyramid of coarser grids with
+   branch and bound (see ``_far_pass``): cells whose bbox is farther than the
+   best representative found so far are dropped, survivors split into their
+   children, and the fine cells left are compared exactly. No radius loop:
+   a point far from every station costs rows in proportion to the stations
+   near its nearest distance, not to the empty area around it.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corridor.functions import geometry as geo
+from corridor.session import checkpoint_dir
 
 
 def within_box(df: DataFrame, box, x: str = "longitude", y: str = "latitude") -> DataFrame:
@@ -132,62 +133,63 @@ def _far_pass(pending: DataFrame, locs: DataFrame, grid: DataFrame, size: float,
               pid: str, payload: list[str], sx: str, sy: str) -> DataFrame:
     """Exact nearest station for points the 3x3 fine block did not settle.
 
-    (A) Upper bound: at every coarser level (cell size ``size * 2**j``, up to
-        1024 degrees, which covers the globe) the point probes its 3x3 block of
-        coarse cells, each carrying one representative station: at most 9 rows
-        per point and level. The nearest representative (and any round-1
-        candidate) gives ``ub``, a real station distance.
-    (B) Exact: every station within ``ub`` lies in the 3x3 block of the
-        smallest level whose cells are at least ``ub`` wide. The point joins
-        the non-empty fine cells inside that block, keeps those whose bbox is
-        within ``ub`` (a lower bound on any of their stations), and compares
-        with their stations (at most ``max_cell`` per cell).
-    Work per point follows the stations near it, not the empty area around it.
+    Branch and bound down a pyramid of grids (cell width ``size * 2**l``, from
+    the level whose cells exceed 1024 degrees, which holds every location in
+    any point's 3x3 block, down to the fine grid). Each cell carries the bbox
+    of its locations and one representative location. Per point and level:
+    the distance to the nearest representative seen so far is an upper bound
+    ``ub`` on the answer (it is a real location), and a cell whose bbox is
+    farther than ``ub`` cannot hold the answer, so it is dropped. Surviving
+    cells are split into their (at most 4) children at the next finer level.
+    At the fine level the surviving cells' locations (at most ``max_cell``
+    each) are compared exactly. Every location at the nearest distance lies in
+    a cell whose bbox is within ``ub``, so ties are kept too.
+
+    Only a thin band of cells around the nearest distance survives each level,
+    so the work per point follows the locations near it. One shuffle (the
+    per-point minimum) per level; the candidate set is checkpointed every few
+    levels to keep the lineage short.
     """
     n_lv = max(1, math.ceil(math.log2(1024.0 / size)))
-    levels = [size * 2.0 ** j for j in range(1, n_lv + 1)]
-    lv = F.array(*[F.lit(v) for v in levels])
-    offs = F.array(F.lit(-1), F.lit(0), F.lit(1))
-
-    def block(df, s_col, x, y):
-        return (df.withColumn("_dx", F.explode(offs)).withColumn("_dy", F.explode(offs))
-                .withColumn("ccx", F.floor(F.col(x) / F.col(s_col)) + F.col("_dx"))
-                .withColumn("ccy", F.floor(F.col(y) / F.col(s_col)) + F.col("_dy"))
-                .drop("_dx", "_dy"))
-
-    # One representative station per coarse cell and level.
-    reps = (locs.select(F.posexplode(lv).alias("j", "_s"), F.col(sx).alias("_rx"), F.col(sy).alias("_ry"))
-            .groupBy("j", F.floor(F.col("_rx") / F.col("_s")).alias("ccx"),
-                     F.floor(F.col("_ry") / F.col("_s")).alias("ccy"))
-            .agg(F.min(F.struct("_rx", "_ry")).alias("_rep")))
-    pa = block(pending.select(pid, "_px", "_py", "_ub0", F.posexplode(lv).alias("j", "_s")), "_s", "_px", "_py")
-    ub = (pa.join(reps, ["j", "ccx", "ccy"])
-          .groupBy(pid, "_px", "_py", "_ub0")
-          .agg(F.min(geo.planar_d2(F.col("_rep._rx"), F.col("_rep._ry"), F.col("_px"), F.col("_py")))
-               .alias("_ubr"))
-          .select(pid, "_px", "_py", F.least("_ub0", "_ubr").alias("_ub2")))
-    # Smallest level whose cell width covers the bound.
-    ratio = F.sqrt(F.col("_ub2")) / F.lit(size)
-    jstar = F.greatest(F.lit(1), F.ceil(F.log2(F.greatest(ratio, F.lit(1.0))))).cast("int")
-    jstar = F.when(F.lit(size) * F.pow(F.lit(2.0), jstar) < F.sqrt(F.col("_ub2")), jstar + 1).otherwise(jstar)
-    pb = block(ub.withColumn("j", F.least(jstar, F.lit(n_lv)))
-               .withColumn("_s", F.lit(size) * F.pow(F.lit(2.0), F.col("j"))), "_s", "_px", "_py")
-    # Non-empty fine cells with their station bbox and their ancestor per level.
-    fine = grid.groupBy("cx", "cy").agg(F.min("_gx").alias("_x0"), F.max("_gx").alias("_x1"),
-                                        F.min("_gy").alias("_y0"), F.max("_gy").alias("_y1"))
-    anc = (fine.select("*", F.posexplode(F.array(*[F.lit(2.0 ** j) for j in range(1, n_lv + 1)]))
-                       .alias("_j0", "_f"))
-           .select((F.col("_j0") + 1).alias("j"), F.floor(F.col("cx") / F.col("_f")).alias("ccx"),
-                   F.floor(F.col("cy") / F.col("_f")).alias("ccy"), "cx", "cy", "_x0", "_x1", "_y0", "_y1"))
+    lv = F.array(*[F.lit(size * 2.0 ** l) for l in range(n_lv + 1)])
+    # Cells of every level: bbox, one representative, parent index.
+    cells = (locs.select(F.posexplode(lv).alias("l", "_s"), F.col(sx).alias("_x"), F.col(sy).alias("_y"))
+             .groupBy("l", F.floor(F.col("_x") / F.col("_s")).alias("cx"),
+                      F.floor(F.col("_y") / F.col("_s")).alias("cy"))
+             .agg(F.min("_x").alias("_x0"), F.max("_x").alias("_x1"), F.min("_y").alias("_y0"),
+                  F.max("_y").alias("_y1"), F.min(F.struct(F.col("_x").alias("x"), F.col("_y").alias("y")))
+                  .alias("_rep"))
+             .withColumn("pcx", F.floor(F.col("cx") / F.lit(2.0)))
+             .withColumn("pcy", F.floor(F.col("cy") / F.lit(2.0)))
+             .persist())
     lbx = F.greatest(F.lit(0.0), F.col("_x0") - F.col("_px"), F.col("_px") - F.col("_x1"))
     lby = F.greatest(F.lit(0.0), F.col("_y0") - F.col("_py"), F.col("_py") - F.col("_y1"))
-    near = (pb.join(anc, ["j", "ccx", "ccy"])
-            .filter(lbx * lbx + lby * lby <= F.col("_ub2"))
-            .select(pid, "_px", "_py", "cx", "cy"))
-    cand = near.join(grid, ["cx", "cy"])
+    rd2 = geo.planar_d2(F.col("_rep.x"), F.col("_rep.y"), F.col("_px"), F.col("_py"))
+
+    def prune(c: DataFrame) -> DataFrame:
+        ub = F.least(F.col("_ub2"), F.min(rd2).over(Window.partitionBy(pid)))
+        return (c.withColumn("_ub2", ub).filter(lbx * lbx + lby * lby <= F.col("_ub2"))
+                .select(pid, "_px", "_py", "_ub2", "cx", "cy"))
+
+    # Top level: the point's 3x3 block holds every location.
+    offs = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    top = size * 2.0 ** n_lv
+    start = (pending.withColumn("_dx", F.explode(offs)).withColumn("_dy", F.explode(offs))
+             .select(pid, "_px", "_py", F.col("_ub0").alias("_ub2"),
+                     (F.floor(F.col("_px") / F.lit(top)) + F.col("_dx")).alias("cx"),
+                     (F.floor(F.col("_py") / F.lit(top)) + F.col("_dy")).alias("cy")))
+    cand = prune(start.join(cells.filter(F.col("l") == n_lv), ["cx", "cy"]))
+    for l in range(n_lv - 1, -1, -1):
+        kids = (cand.select(pid, "_px", "_py", "_ub2", F.col("cx").alias("pcx"), F.col("cy").alias("pcy"))
+                .join(cells.filter(F.col("l") == l), ["pcx", "pcy"]))
+        cand = prune(kids)
+        if l and l % 4 == 0:
+            checkpoint_dir(cand.sparkSession)
+            cand = cand.checkpoint()
+    stations = cand.select(pid, "_px", "_py", "cx", "cy").join(grid, ["cx", "cy"])
     d2 = geo.planar_d2(F.col("_gx"), F.col("_gy"), F.col("_px"), F.col("_py"))
     best = F.min(F.struct(d2.alias("d2"), order.alias("_o"), *[F.col(c) for c in payload]))
-    return cand.groupBy(pid).agg(best.alias("_b")).select(pid, "_b.*").drop("_o")
+    return stations.groupBy(pid).agg(best.alias("_b")).select(pid, "_b.*").drop("_o")
 
 
 def nearest_join(points: DataFrame, stations: DataFrame, pid: str, px: str, py: str,
