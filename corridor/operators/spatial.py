@@ -109,24 +109,25 @@ def choose_grid(locs: DataFrame, x: str, y: str, max_cell: int = 64,
     return sizes[k], r.cx0, r.cx1, r.cy0, r.cy1
 
 
-def _probe(points: DataFrame, grid: DataFrame, radius: Column, order: Column,
-           pid: str, payload: list[str]) -> DataFrame:
-    """Best candidate per point among grid cells within ``radius`` cells.
+def _probe(points: DataFrame, grid: DataFrame, order: Column, pid: str, payload: list[str]) -> DataFrame:
+    """Best candidate per point among the 3x3 grid cells around it.
 
     Left join: a point whose block holds no station keeps a row with a NULL
-    candidate, so one pass tells resolved from unresolved points.
+    candidate, so one pass tells settled from unsettled points. The nine rows
+    of a point are made in one task, so the per-point minimum is combined
+    map-side before the exchange.
     """
-    offs = F.sequence(-radius, radius)
+    offs = F.array(F.lit(-1), F.lit(0), F.lit(1))
     cells = (points
              .withColumn("_dx", F.explode(offs))
              .withColumn("_dy", F.explode(offs))
-             .select(pid, "_px", "_py", "_pcx", "_pcy", "_r", "_cap",
+             .select(pid, "_px", "_py",
                      (F.col("_pcx") + F.col("_dx")).alias("cx"), (F.col("_pcy") + F.col("_dy")).alias("cy")))
     cand = cells.join(grid, ["cx", "cy"], "left")
     d2 = geo.planar_d2(F.col("_gx"), F.col("_gy"), F.col("_px"), F.col("_py"))
     best = F.min(F.when(F.col("_gx").isNotNull(),
                         F.struct(d2.alias("d2"), order.alias("_o"), *[F.col(c) for c in payload])))
-    return cand.groupBy(pid, "_px", "_py", "_pcx", "_pcy", "_r", "_cap").agg(best.alias("_b"))
+    return cand.groupBy(pid, "_px", "_py").agg(best.alias("_b"))
 
 
 def _far_pass(pending: DataFrame, locs: DataFrame, grid: DataFrame, size: float, order: Column,
@@ -223,8 +224,8 @@ def nearest_join(points: DataFrame, stations: DataFrame, pid: str, px: str, py:
     pending = points.select(
         F.col(pid), F.col(px).cast("double").alias("_px"), F.col(py).cast("double").alias("_py"),
         _cell(F.col(px), size).alias("_pcx"), _cell(F.col(py), size).alias("_pcy"),
-        F.lit(1).alias("_r"), F.lit(0).alias("_cap")).filter(F.col("_px").isNotNull() & F.col("_py").isNotNull())
-    res = _probe(pending, grid, F.col("_r"), order, pid, payload).persist()
+    ).filter(F.col("_px").isNotNull() & F.col("_py").isNotNull())
+    res = _probe(pending, grid, order, pid, payload).persist()
     d = F.sqrt(F.col("_b.d2"))
     # Final when the best candidate is nearer than the block edge: every
     # location outside the 3x3 block is farther than one cell width.
