@@ -9,6 +9,12 @@ JSON number from a JSON string. A file without the key yields no rows
 
 The same reader serves batch (``spark.read``) and streaming
 (``spark.readStream``) so a micro-batch is processed exactly like a batch.
+
+Splitting: a multi-line JSON document is read by one task, which is right
+for the usual landing file (one poll). A source that lands very large files
+should write JSON Lines (one envelope per line, ``multi_line=False``): Spark
+then splits each file across tasks, and the records of each envelope are
+exploded where they are read, before any shuffle.
 """
 
 from __future__ import annotations
