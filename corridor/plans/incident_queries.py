@@ -133,3 +133,15 @@ def q_incident_geojson(spark, sf):
                     F.col("f.geometry.coordinates")[0].alias("lon"), F.col("f.geometry.coordinates")[1].alias("lat"),
                     "f.properties.incident_type", "f.properties.description", "f.properties.severity",
                     "f.properties.status", "f.properties.created_at")
+
+
+@register("incident_kpis", IV_SQL + "SELECT CAST(COUNT(*) FILTER (WHERE status = 'active') AS BIGINT) AS active, "
+          "CAST(COUNT(*) FILTER (WHERE status = 'active' AND severity = 'critical') AS BIGINT) AS critical, "
+          "CAST(COUNT(*) FILTER (WHERE status = 'cleared') AS BIGINT) AS cleared FROM it")
+def q_incident_kpis(spark, sf):
+    """Dashboard incident counters in one aggregate: active, active critical, cleared."""
+    t = incident_table(spark, sf)
+    active = F.col("status") == "active"
+    return t.agg(F.count_if(active).cast("long").alias("active"),
+                 F.count_if(active & (F.col("severity") == "critical")).cast("long").alias("critical"),
+                 F.count_if(F.col("status") == "cleared").cast("long").alias("cleared"))
