@@ -117,14 +117,19 @@ def fit_from_gram(g: dict, weights: dict | None = None, epochs: int = EPOCHS,
     b = [s["s_y"], s["s_x1y"], s["s_x2y"], s["s_x3y"]]
     v = [w["w0"], w["w1"], w["w2"], w["w3"]]
     loss = 0.0
-    for _ in range(epochs):
+    history = []
+    for epoch in range(epochs):
         gv = [sum(G[i][j] * v[j] for j in range(4)) for i in range(4)]
         loss = sum(v[i] * gv[i] for i in range(4)) - 2 * sum(v[i] * b[i] for i in range(4)) + s["s_yy"]
         grad = [(2.0 / n) * (gv[i] - b[i]) for i in range(4)]
         v = [v[i] - lr * grad[i] for i in range(4)]
         v = [max(MIN_W0, v[0]), max(0.0, v[1]), max(0.0, v[2]), max(0.0, v[3])]
+        if epoch % 100 == 0 or epoch == epochs - 1:
+            # Progress as the per-row loop reports it: MSE before the step,
+            # weights after it.
+            history.append({"epoch": epoch, "mse": loss / n, "weights": list(v)})
     w = {"w0": v[0], "w1": v[1], "w2": v[2], "w3": v[3]}
-    return {"status": "success", "samples": n, "final_loss": loss / n, "weights": w}
+    return {"status": "success", "samples": n, "final_loss": loss / n, "weights": w, "history": history}
 
 
 def fit(df: DataFrame, weights: dict | None = None, epochs: int = EPOCHS, lr: float = LEARNING_RATE) -> dict:

@@ -207,6 +207,8 @@ def test_fit(spark):
     assert abs(w["w0"] - 1.2) < 0.3 and abs(w["w1"] - 2.5) < 0.3 and abs(w["w2"] - 0.1) < 0.1
     tight = (1.19959772, 2.50067932, 0.10001996, 0.01)
     assert all(abs(a - b) < 1e-7 for a, b in zip((w["w0"], w["w1"], w["w2"], w["w3"]), tight))
+    assert [h["epoch"] for h in res["history"]] == [0, 100, 200, 300, 400, 500, 600, 700, 800, 900, 999]
+    assert res["history"][-1]["mse"] == res["final_loss"]
     brute = _per_row_gd(_fit_rows(), model.DEFAULT_WEIGHTS.values(), 1000, 0.05)
     assert all(abs(a - b) < 1e-8 for a, b in zip((w["w0"], w["w1"], w["w2"], w["w3"]), brute))
 
