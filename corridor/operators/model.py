@@ -33,9 +33,6 @@ KMH_PER_MS = 3.6
 MIN_W0 = 0.5
 EPOCHS, LEARNING_RATE = 500, 0.01
 
-FEATURES = ("x1", "x2", "x3")
-
-
 def free_flow_time(length: Column, limit: Column) -> Column:
     """Seconds at the speed limit; a 0/NULL limit means 50 km/h."""
     lim = F.coalesce(F.when(limit != 0, limit), F.lit(DEFAULT_LIMIT_KMH))
@@ -133,9 +130,17 @@ def fit_from_gram(g: dict, weights: dict | None = None, epochs: int = EPOCHS,
 
 
 def fit(df: DataFrame, weights: dict | None = None, epochs: int = EPOCHS, lr: float = LEARNING_RATE) -> dict:
-    """Train on a DataFrame of raw rows (length, speed_limit, ..., actual_time)."""
+    """Train on a DataFrame of raw rows (length, speed_limit, ..., actual_time).
+
+    An empty input is skipped with reason "No data"; rows that all lack a
+    usable target are skipped with "No valid samples" (emptiness is checked
+    only on that path).
+    """
     g = gram(training_rows(df)).first().asDict()
-    return fit_from_gram(g, weights, epochs, lr)
+    res = fit_from_gram(g, weights, epochs, lr)
+    if res["status"] == "skipped" and df.isEmpty():
+        res["reason"] = "No data"
+    return res
 
 
 WEIGHTS_SCHEMA = T.StructType([T.StructField(k, T.DoubleType()) for k in DEFAULT_WEIGHTS])
