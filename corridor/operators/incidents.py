@@ -11,7 +11,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corridor.functions import geometry as geo
 from corridor.functions.normalize import SEVERITIES
@@ -40,15 +39,6 @@ def active_incidents(incidents: DataFrame, severity: str | None = None, box=None
     return incidents.filter(incident_filters(severity, box)).orderBy(*order)
 
 
-FEATURE_SCHEMA = T.StructType([
-    T.StructField("type", T.StringType()),
-    T.StructField("geometry", T.StructType([
-        T.StructField("type", T.StringType()),
-        T.StructField("coordinates", T.ArrayType(T.DoubleType()))])),
-    T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
-])
-
-
 def point_feature(lon: Column, lat: Column, props: dict[str, Column]) -> Column:
     """A GeoJSON Point Feature as a JSON string; NULL-valued properties kept."""
     feat = F.struct(F.lit("Feature").alias("type"),
