@@ -62,7 +62,7 @@ def process_incidents(batch: DataFrame, batch_id: int, out: str, strict: bool =
 
 def process_construction(batch: DataFrame, batch_id: int, out: str, strict: bool = False) -> dict:
     valid, rejected = vd.validate_construction(batch, ordinal="pos", keep=_KEEP)
-    t = tf.transform_construction(valid, keep=["source_file", "pos"]).drop("rings")
+    t = tf.transform_construction(valid, keep=["source_file", "pos"])
     n = tables.load_construction_zones(t, f"{out}/construction_zones", batch_id, rejected=rejected, strict=strict)
     return {"loaded": n, "rejected": _quarantine(rejected, out, "construction", batch_id)}
 

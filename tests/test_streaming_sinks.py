@@ -81,6 +81,8 @@ def test_other_feeds_batch(spark, tmpdir_path):
                              "start_date": "2024-03-01T00:00:00Z"}]}])
     assert ingest.process_construction(read_feed(spark, land, "construction"), 0, tmpdir_path) == \
         {"loaded": 1, "rejected": 1}
+    zone = spark.read.parquet(f"{tmpdir_path}/construction_zones").first()
+    assert len(zone.rings[0]) == 5 and zone.geometry.startswith("SRID=4326;POLYGON((0.0 0.0, 1.0 0.0")
 
 
 def test_empty_batch_writes_nothing(spark, tmpdir_path):
