@@ -76,14 +76,16 @@ PROCESSORS: dict[str, Callable[..., dict]] = {
 def write_ingest_log(spark: SparkSession, out: str, feed: str, batch_id: int, res: dict) -> None:
     """One accounting row per micro-batch (received = loaded + deduped + rejected).
 
-    Keyed by (feed, batch_id) with dynamic partition overwrite, so a replayed
-    batch rewrites its own row.
+    Each feed writes under its own ``ingest_log/feed=<name>`` folder (the feeds'
+    queries run concurrently, so they never share a commit directory); read
+    ``ingest_log`` as one table partitioned by feed. Keyed by batch_id with
+    dynamic partition overwrite, so a replayed batch rewrites its own row.
     """
-    row = [(feed, int(batch_id), int(res["loaded"]), int(res["rejected"]))]
-    (spark.createDataFrame(row, "feed string, batch_id long, loaded long, rejected long")
+    row = [(int(batch_id), int(res["loaded"]), int(res["rejected"]))]
+    (spark.createDataFrame(row, "batch_id long, loaded long, rejected long")
      .withColumn("logged_at", F.current_timestamp())
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("feed", "batch_id").parquet(f"{out}/ingest_log"))
+     .partitionBy("batch_id").parquet(f"{out}/ingest_log/feed={feed}"))
 
 
 def batch_function(feed: str, out: str, strict: bool = False):
