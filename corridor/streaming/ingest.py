@@ -104,10 +104,15 @@ def batch_function(feed: str, out: str, strict: bool = False):
 
 
 def start_feed(spark: SparkSession, feed: str, landing: str, out: str, checkpoint: str,
-               available_now: bool = False, strict: bool = False) -> StreamingQuery:
-    """Start one feed's ingest; ``available_now`` processes what is there and stops."""
+               available_now: bool = False, strict: bool = False,
+               max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start one feed's ingest; ``available_now`` processes what is there and stops.
+
+    ``max_files_per_trigger`` bounds a micro-batch when a backlog of landing
+    files has built up (``availableNow`` still drains it, in several batches).
+    """
     spec = FEEDS[feed]
-    stream = read_feed_stream(spark, landing, spec)
+    stream = read_feed_stream(spark, landing, spec, max_files_per_trigger=max_files_per_trigger)
     w = (stream.writeStream.queryName(f"ingest_{feed}")
          .option("checkpointLocation", checkpoint)
          .foreachBatch(batch_function(feed, out, strict)))
@@ -116,13 +121,14 @@ def start_feed(spark: SparkSession, feed: str, landing: str, out: str, checkpoin
 
 
 def start_all(spark: SparkSession, landing_root: str, out: str, checkpoint_root: str,
-              available_now: bool = False) -> dict[str, StreamingQuery]:
+              available_now: bool = False, max_files_per_trigger: int | None = None) -> dict[str, StreamingQuery]:
     """All four feeds, independent queries; a feed that fails to start is logged."""
     queries = {}
     for name in FEEDS:
         try:
             queries[name] = start_feed(spark, name, f"{landing_root}/{name}", out,
-                                       f"{checkpoint_root}/{name}", available_now)
+                                       f"{checkpoint_root}/{name}", available_now,
+                                       max_files_per_trigger=max_files_per_trigger)
         except Exception:  # noqa: BLE001 - isolation: other feeds keep running
             log.exception("feed %s failed to start", name)
     return queries
