@@ -175,7 +175,9 @@ def q_traffic_geojson(spark, sf):
     props = {k: F.col(k) for k in ("segment_id", "osm_id", "name", "speed_limit", "length",
                                    "current_speed", "congestion_score")}
     props["reading_timestamp"] = F.col("reading_ts")
-    feats = j.select(line_feature(F.col("pts"), props).alias("feature"))
+    # A segment without a usable line yields no feature (the reference skips
+    # features whose geometry does not parse).
+    feats = j.filter(F.col("pts").isNotNull()).select(line_feature(F.col("pts"), props).alias("feature"))
     f = feats.select(F.from_json("feature", _GEO_PARSED).alias("f"))
     c = F.col("f.geometry.coordinates")
     return f.select(F.col("f.properties.segment_id").alias("segment_id"), F.col("f.type").alias("feature_type"),
