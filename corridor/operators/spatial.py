@@ -204,8 +204,11 @@ def nearest_join(points: DataFrame, stations: DataFrame, pid: str, px: str, py:
     for defaults).
 
     Driver work: one row per candidate cell size (one job) and one emptiness
-    check after the first pass. The first pass is persisted (it feeds both
-    the answer and the far pass).
+    check after the first pass. Two frames stay persisted for the returned
+    plan to reuse: the per-location snapshots (bounded by the number of
+    station locations) and the first-pass result (one row per point); a
+    long-running session releases them with ``unpersist``/``clearCache`` once
+    the result has been written. A lost executor only recomputes its blocks.
     """
     from pyspark.sql import types as T
     spark = points.sparkSession
