@@ -132,3 +132,36 @@ def start_all(spark: SparkSession, landing_root: str, out: str, checkpoint_root:
         except Exception:  # noqa: BLE001 - isolation: other feeds keep running
             log.exception("feed %s failed to start", name)
     return queries
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Run all feed ingests: ``python -m corridor.streaming.ingest LANDING OUT CHECKPOINTS``.
+
+    Periodic by default (each feed at its own cadence, until stopped);
+    ``--available-now`` drains what has landed and exits. Exit code 1 when a
+    feed query failed.
+    """
+    import argparse
+
+    from corridor.session import get_session
+    p = argparse.ArgumentParser(prog="corridor.streaming.ingest")
+    p.add_argument("landing", help="folder with one sub-folder per feed")
+    p.add_argument("out", help="folder for the tables")
+    p.add_argument("checkpoints", help="folder for the per-feed streaming checkpoints")
+    p.add_argument("--available-now", action="store_true")
+    p.add_argument("--max-files-per-trigger", type=int, default=None)
+    a = p.parse_args(argv)
+    spark = get_session()
+    queries = start_all(spark, a.landing, a.out, a.checkpoints, available_now=a.available_now,
+                        max_files_per_trigger=a.max_files_per_trigger)
+    failed = False
+    for name, q in queries.items():
+        q.awaitTermination()
+        if q.exception() is not None:
+            log.error("feed %s failed: %s", name, q.exception())
+            failed = True
+    return 1 if failed or len(queries) < len(FEEDS) else 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

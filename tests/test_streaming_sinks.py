@@ -188,3 +188,12 @@ def test_reload_prediction_log_and_score_storage(spark, tmpdir_path):
     tables.load_traffic_readings(rd, rp, batch_id=0)
     got = sorted((r.segment_id, float(r.congestion_score)) for r in spark.read.parquet(rp).collect())
     assert got == [(1, 0.13), (2, 0.99)]
+
+
+def test_ingest_command_line(spark, tmpdir_path):
+    root, out, ck = (os.path.join(tmpdir_path, p) for p in ("landing", "out", "ck"))
+    _land(os.path.join(root, "traffic"), TRAFFIC_FILES)
+    for feed in ("weather", "incidents", "construction"):
+        _land(os.path.join(root, feed), [{}])
+    assert ingest.main([root, out, ck, "--available-now"]) == 0
+    assert spark.read.parquet(f"{out}/traffic_readings").count() == 3
