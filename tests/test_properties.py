@@ -152,3 +152,49 @@ def test_knn_dense_cluster_and_remote_points(spark):
         best = min(stations, key=lambda s: ((s[1] - x) * (s[1] - x) + (s[2] - y) * (s[2] - y),
                                             -s[3].timestamp(), s[0]))
         assert got[pid] == best[0], pid
+
+
+def _severity_py(v):
+    """The severity rules, stated plainly, for text input."""
+    if v is None:
+        return "medium"
+    s = v.strip().lower()
+    if s in ("low", "medium", "high", "critical"):
+        return s
+    for words, label in ((("minor", "light"), "low"), (("major", "severe"), "high"),
+                         (("block", "fatal", "extreme"), "critical")):
+        if any(w in s for w in words):
+            return label
+    return "medium"
+
+
+def _status_py(v):
+    """The status rules, stated plainly, for text input."""
+    if v is None:
+        return "active"
+    s = v.strip().lower()
+    if s in ("active", "resolved", "cleared"):
+        return s
+    for words, label in ((("open", "report"), "active"), (("close", "end"), "resolved"),
+                         (("clear", "done"), "cleared")):
+        if any(w in s for w in words):
+            return label
+    return "active"
+
+
+_FRAGS = ["minor", "LIGHT", "major", "Severe", "block", "fatal", "extreme", "low", "medium", "High",
+          "critical", "open", "Report", "close", "pending", "clear", "done", "active", "resolved",
+          "cleared", "x", " ", "\t", "4"]
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.lists(st.sampled_from(_FRAGS), min_size=1, max_size=4).map("".join)),
+                min_size=30, max_size=80))
+def test_normalizers_match_stated_rules(spark, values):
+    from corridor.functions import normalize as nz
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, v string")
+    sev, _ = nz.normalize_severity(df, "v")
+    got = {r.i: (r.sev, r.st) for r in df.select("i", sev.alias("sev"),
+                                                nz.normalize_status(df, "v").alias("st")).collect()}
+    for i, v in enumerate(values):
+        assert got[i] == (_severity_py(v), _status_py(v)), repr(v)
