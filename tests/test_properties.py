@@ -198,3 +198,16 @@ def test_normalizers_match_stated_rules(spark, values):
                                                 nz.normalize_status(df, "v").alias("st")).collect()}
     for i, v in enumerate(values):
         assert got[i] == (_severity_py(v), _status_py(v)), repr(v)
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.floats(-180, 180, allow_nan=False), st.floats(-90, 90, allow_nan=False)),
+                         min_size=2, max_size=6), min_size=5, max_size=30))
+def test_ewkt_round_trip(spark, lines):
+    """Writing a line as EWKT and parsing it back gives the same doubles."""
+    df = spark.createDataFrame([(i, [(float(x), float(y)) for x, y in pts]) for i, pts in enumerate(lines)],
+                               "i long, pts array<struct<x: double, y: double>>")
+    back = df.select("i", geo.parse_ewkt(geo.ewkt_linestring(F.col("pts"))).alias("g"))
+    got = {r.i: [(p.x, p.y) for p in r.g.rings[0]] for r in back.collect()}
+    for i, pts in enumerate(lines):
+        assert got[i] == [(float(x) + 0.0, float(y) + 0.0) for x, y in pts]
