@@ -211,3 +211,37 @@ def test_ewkt_round_trip(spark, lines):
     got = {r.i: [(p.x, p.y) for p in r.g.rings[0]] for r in back.collect()}
     for i, pts in enumerate(lines):
         assert got[i] == [(float(x) + 0.0, float(y) + 0.0) for x, y in pts]
+
+
+def _close_py(ring):
+    """Stated rule: >= 4 points, else rejected; open beyond 1e-7 -> append the first."""
+    if len(ring) < 4:
+        return None
+    (x0, y0), (xn, yn) = ring[0], ring[-1]
+    if abs(x0 - xn) > 1e-7 or abs(y0 - yn) > 1e-7:
+        return ring + [ring[0]]
+    return ring
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.tuples(st.integers(-5, 5), st.integers(-5, 5)), min_size=2, max_size=6),
+                          st.sampled_from([0.0, 5e-8, 2e-7, None])), min_size=10, max_size=40))
+def test_polygon_rule(spark, cases):
+    import json
+    from corridor.operators import validate
+    rows, expect = [], {}
+    for i, (pts, nudge) in enumerate(cases):
+        ring = [[float(x), float(y)] for x, y in pts]
+        if nudge is not None:                       # end near (or at) the first point
+            ring = ring + [[ring[0][0] + nudge, ring[0][1]]]
+        rows.append((i, "Polygon", json.dumps([ring]), "2024-01-01T00:00:00Z"))
+        expect[i] = _close_py([tuple(p) for p in ring])
+    df = spark.createDataFrame(rows, "zone_id long, geometry_type string, coordinates string, start_date string")
+    valid, rejected = validate.validate_construction(df, keep=("zone_id",))
+    got = {r.zone_id: [(p.x, p.y) for p in r.rings[0]] for r in valid.collect()}
+    bad = {r.zone_id for r in rejected.collect()}
+    for i, exp in expect.items():
+        if exp is None:
+            assert i in bad
+        else:
+            assert got[i] == [tuple(p) for p in exp], (i, got[i], exp)
