@@ -286,3 +286,19 @@ def test_incident_filter_arguments(spark):
     with pytest.raises(ValueError):
         inc.active_incidents(df, box=(-122.0, 37.0, -123.0, 38.0))
     assert inc.active_incidents(df, box=(None, None, None, None)).count() == 3
+
+
+def test_validators_on_typed_columns(spark):
+    t = dt.datetime(2024, 1, 1, 8)
+    raw = spark.createDataFrame([(0, 5, 40.0, None, t), (1, 6, float("nan"), None, t), (2, 7, 55.0, 1.2, t)],
+                                "ordinal long, segment_id int, current_speed double, congestion_score double, "
+                                "timestamp timestamp")
+    valid, rejected = validate.validate_traffic(raw)
+    assert [(r.segment_id, r.congestion_score) for r in valid.collect()] == [(5, 0.2)]
+    assert sorted(r.reason for r in rejected.collect()) == ["congestion_score_out_of_range",
+                                                            "current_speed_invalid"]
+    inc = spark.createDataFrame([(0, "debris", 37.7, -122.4, 2, True)],
+                                "ordinal long, incident_type string, latitude double, longitude double, "
+                                "severity int, status boolean")
+    r = validate.validate_incident(inc).valid.first()
+    assert (r.severity, r.status) == ("medium", "active")
