@@ -302,3 +302,22 @@ def test_validators_on_typed_columns(spark):
                                 "severity int, status boolean")
     r = validate.validate_incident(inc).valid.first()
     assert (r.severity, r.status) == ("medium", "active")
+
+
+def test_trend_window_semantics(spark):
+    """Monday 2024-01-01: 08:00 speeds 10 and 20, 09:00 40, 11:00 40 (no 10:00).
+    Hourly means 15, 40, 40; the daily mean is unweighted (95/3); LAG uses
+    the previous hour present (11:00 compares with 09:00); equal speeds share
+    a rank and the next rank skips."""
+    from corridor.operators.trends import traffic_trends
+    day = dt.datetime(2024, 1, 1)
+    rows = [(1, 1, 10.0, 0.2, day.replace(hour=8)), (2, 1, 20.0, 0.4, day.replace(hour=8, minute=30)),
+            (3, 2, 40.0, None, day.replace(hour=9)), (4, 1, 40.0, 0.1, day.replace(hour=11))]
+    df = spark.createDataFrame(rows, "reading_id long, segment_id long, current_speed double, "
+                                     "congestion_score double, reading_ts timestamp")
+    got = [(r.day_name, r.hour_of_day, r.avg_speed, r.avg_congestion, r.reading_count, r.daily_avg_speed,
+            r.speed_diff_from_daily_avg, r.speed_change_from_prev_hour, r.speed_rank)
+           for r in traffic_trends(df, ordered=True).collect()]
+    assert got == [("Monday", 8, 15.0, 0.3, 2, 31.67, -16.67, 0.0, 3),
+                   ("Monday", 9, 40.0, None, 1, 31.67, 8.33, 25.0, 1),
+                   ("Monday", 11, 40.0, 0.1, 1, 31.67, 8.33, 0.0, 1)]
