@@ -197,3 +197,10 @@ def test_ingest_command_line(spark, tmpdir_path):
         _land(os.path.join(root, feed), [{}])
     assert ingest.main([root, out, ck, "--available-now"]) == 0
     assert spark.read.parquet(f"{out}/traffic_readings").count() == 3
+
+
+def test_missing_keys(spark):
+    from corridor.sources.feeds import missing_keys
+    table = spark.createDataFrame([(1,), (2,)], "segment_id long")
+    req = spark.createDataFrame([(2,), (3,), (3,), (9,)], "segment_id long")
+    assert sorted(r.segment_id for r in missing_keys(req, table, "segment_id").collect()) == [3, 9]
