@@ -104,16 +104,20 @@ def _sampled(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 def _linkable(base: DataFrame, percent: int) -> DataFrame:
     """(set_key, n) of classes that share enough low shingles with other classes."""
-    posts = base.select("set_key", "n", F.explode("low").alias("token"))
+    posts = base.select("set_key", F.explode("low").alias("token"))
     shared = (posts.groupBy("token").agg(F.min("set_key").alias("x"), F.max("set_key").alias("y"))
               .where("x <> y").select("token"))
     least = F.greatest(F.lit(1), F.floor(F.lit(EXTRA * percent / 100) * F.col("n")))
-    return (posts.join(shared, "token").groupBy("set_key", "n").agg(F.count("*").alias("shared"))
+    counts = posts.join(shared, "token").groupBy("set_key").agg(F.count("*").alias("shared"))
+    return (counts.join(base.groupBy("set_key").agg(F.first("n").alias("n")), "set_key")
             .where(F.col("shared") >= least).select("set_key", "n"))
 
 
 def _whole_sets(docs: DataFrame, base: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
-    """(set_key, tokens) of the chosen classes, read again from one document of each."""
+    """(set_key, tokens) of the chosen classes, read again from one document of each.
+
+    Rows repeated under one id give their class once per task.
+    """
     n = chosen.count()
     reps = (base.join(small_side(chosen.select("set_key"), n), "set_key")
             .groupBy("set_key").agg(F.min("doc_id").alias("rep")))
@@ -121,13 +125,21 @@ def _whole_sets(docs: DataFrame, base: DataFrame, chosen: DataFrame, words: int)
     texts = docs.join(small_side(wanted, n), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: set[int] = set()
         for b in batches:
-            sets = [shingle_set(raw, words) for raw in _raw(b.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.int64()), _lists(sets)],
+            sets = {}
+            for raw in _raw(b.column(0)):
+                s = shingle_set(raw, words)
+                if (key := set_key(s)) not in told:
+                    sets[key] = s
+                    told.add(key)
+            if len(told) > 1_000_000:
+                told.clear()
+            yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.int64()), _lists(list(sets.values()))],
                                              ["set_key", "tokens"])
 
     sets = texts.mapInArrow(run, "set_key long, tokens array<long>")
-    return sets.join(small_side(chosen.select("set_key"), n), "set_key", "left_semi").dropDuplicates(["set_key"])
+    return sets.join(small_side(chosen.select("set_key"), n), "set_key", "left_semi")
 
 
 def _counters(sets: DataFrame) -> np.ndarray:
@@ -304,8 +316,9 @@ def _join_units(units: DataFrame, sets: DataFrame, counts, percent: int) -> Data
     """Links (a, b) found in each unit; ``units`` has center, shard, other, member and group_id."""
 
     def run(unit: pa.Table) -> pa.Table:
-        keys, groups = unit.column("member").to_pylist(), unit.column("group_id").to_pylist()
-        tokens = [_tokens(x) for x in unit.column("tokens")]
+        members = {k: (g, _tokens(x)) for k, g, x in zip(unit.column("member").to_pylist(),
+                                                         unit.column("group_id").to_pylist(), unit.column("tokens"))}
+        keys, groups, tokens = list(members), [g for g, _ in members.values()], [t for _, t in members.values()]
         a, z = [], []
         if len(keys) > 1:
             distinct, rank = np.unique(np.concatenate(tokens), return_inverse=True)
@@ -319,7 +332,8 @@ def _join_units(units: DataFrame, sets: DataFrame, counts, percent: int) -> Data
                 z.append(keys[j])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(z, pa.int64())})
 
-    full = units.join(sets.select(F.col("set_key").alias("member"), "tokens"), "member")
+    units = materialise(units, "units")
+    full = small_side(units, units.count()).join(sets.select(F.col("set_key").alias("member"), "tokens"), "member")
     return full.groupBy("center", "shard", "other").applyInArrow(run, "a long, b long")
 
 
