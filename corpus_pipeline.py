@@ -19,17 +19,16 @@ MIN_LANGUAGE_SCORE = 0.5
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose language is recognised: not ``und``, probability at least MIN_LANGUAGE_SCORE."""
-    found = langid.identify(docs.withColumn("lang_text", F.col("text")), langid.train(docs), text="lang_text",
-                            keep=docs.columns)
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    found = langid.with_language(docs, langid.train(docs), name="_language")
+    known = (F.col("_language.lang_pred") != langid.UNKNOWN) & (F.col("_language.score") >= MIN_LANGUAGE_SCORE)
+    return found.where(known).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of linked documents: the one that names the group."""
     groups = ngram_join.link_components(docs).select("doc_id", "component_id")
     stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stays")).distinct()
-    kept = docs.join(stays, F.col("doc_id").eqNullSafe(F.col("stays")), "left_semi")
-    return kept
+    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("stays")), "left_semi")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ from corridor.llm.storage import learnable
 DIMS = 1 << 17             # the last coordinate is the bias
 ORDERS = (1, 2, 3)
 SCALE = 20.0               # term shares are small; this only sets the unit of the weights
-MAX_PER_LANG, MAX_LANGS = 1_500, 500
+MAX_PER_LANG, MAX_LANGS = 1_000, 500
 CHUNK = 1 << 19            # code points hashed at a time
 UNKNOWN = "und"
 _BUCKETS = 1_000_003
@@ -141,12 +141,13 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     data = sorted((bytes(r["at"]), bytes(r["share"]), r["lang"]) for r in got if len(r["at"]))
     langs = sorted({x for _, _, x in data})
     number = {x: i for i, x in enumerate(langs)}
-    data = [(np.frombuffer(a, np.int32), np.frombuffer(s, np.float32).astype(float), number[x]) for a, s, x in data]
+    data = [(np.frombuffer(a, np.int32), np.frombuffer(s, np.float32), number[x]) for a, s, x in data]
     seen = np.zeros(DIMS)
     for a, _, _ in data:
         seen[a] += 1
     idf = np.log((1 + len(data)) / (1 + seen)) + 1
-    examples = [(np.append(a, DIMS - 1), np.append(s * idf[a] * SCALE, 1.0), y) for a, s, y in data]
+    examples = [(np.append(a, np.int32(DIMS - 1)), np.append(s * idf[a] * SCALE, 1.0).astype(np.float32), y)
+                for a, s, y in data]
     held = examples[::5]
     weights = ftrl.fit([e for i, e in enumerate(examples) if i % 5],
                        ftrl.Ftrl(DIMS, len(langs), alpha=1.0, l1=0.001, l2=0.01), epochs)
@@ -155,24 +156,26 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     return LanguageModel(langs, table, _temperature(logits, np.array([y for _, _, y in held], int)))
 
 
-def identify(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text: str = "text",
-             keep: list[str] | None = None) -> DataFrame:
-    """One row per document: doc_id (or the columns in ``keep``), lang_pred and score."""
+def with_language(docs: DataFrame, model: LanguageModel, text: str = "text", name: str = "language") -> DataFrame:
+    """``docs`` with a column ``name``: struct of lang_pred and score (replacing a column of that name).
+
+    Only the text goes to Python; all other columns stay in Spark.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [F.col(doc_id).alias("doc_id")] if keep is None else [F.col(c) for c in keep]
-    slim = docs.select(F.col(text).alias("__text"), *kept)
-    fields = [f for f in slim.schema.fields if f.name != "__text"]
-    names = [f.name for f in fields]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [shared.value.predict(t.as_py()) for t in b.column(0)]
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[1:], pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
-                [*names, "lang_pred", "score"])
+    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    def found(texts: pa.Array) -> pa.Array:
+        rows = [shared.value.predict(t.as_py()) for t in texts]
+        return pa.StructArray.from_arrays([pa.array([x for x, _ in rows], pa.string()),
+                                           pa.array([s for _, s in rows], pa.float64())], ["lang_pred", "score"])
+
+    return docs.withColumn(name, found(F.col(f"`{text}`")))
+
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["lang_pred string", "score double"])
-    return slim.mapInArrow(run, schema)
+def identify(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, lang_pred and score."""
+    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return with_language(slim, model).select("doc_id", "language.lang_pred", "language.score")
 
 
 def digest_columns(found: DataFrame) -> DataFrame:
