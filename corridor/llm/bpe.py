@@ -22,7 +22,8 @@ import hashlib
 import json
 import sys
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 # The split pattern of the tokenizer file, with {L} and {N} for its letter and number classes.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[{L}]+|[{N}]|[^\s{L}{N}]+"
-CACHE_WORDS = 100_000      # words kept between texts, per Python worker
+CACHE_WORDS = 150_000      # words in each of the two generations of the cache, per Python worker
 CACHE_WORD_CHARS = 64      # longer words are encoded again each time they occur
 NO_PAIR = np.iinfo(np.int64).max
 
@@ -116,10 +117,13 @@ class Vocabulary:
         made = np.zeros(len(sym), np.int64)
         if len(sym) > 1:
             key = sym[:-1] * self.size + sym[1:]
+            inside = np.flatnonzero(word[1:] == word[:-1])
+            # Equal pairs are frequent; sorted, they are searched for together and near each other.
+            key, back = np.unique(key[inside], return_inverse=True)
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            ok = (self.keys[at] == key) & (word[1:] == word[:-1])
-            rank[:-1][ok] = self.ranks[at[ok]]
-            made[:-1][ok] = self.made[at[ok]]
+            ok = self.keys[at] == key
+            rank[inside] = np.where(ok, self.ranks[at], NO_PAIR)[back]
+            made[inside] = np.where(ok, self.made[at], 0)[back]
         return rank, made
 
 
@@ -178,37 +182,51 @@ def _ranges(codes: list[int]) -> str:
 
 
 class Encoder:
-    """Encodes texts with a bounded cache of words already merged."""
+    """Encodes texts word by word, with a bounded cache of words already merged.
 
-    def __init__(self, vocab: Vocabulary):
-        self.vocab = vocab
+    ``render`` turns the ids of a word into what the caller joins for a whole text.
+    """
+
+    def __init__(self, vocab: Vocabulary, render: Callable[[list[int]], Any]):
+        self.vocab, self.render = vocab, render
         self.split = Splitter(list(vocab.added))
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.added = {a: render([i]) for a, i in vocab.added.items()}
+        self.young: dict[str, Any] = {}
+        self.old: dict[str, Any] = {}
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Token ids of each text."""
+    def encode(self, texts: list[str]) -> Iterator[list[Any]]:
+        """The rendered words of each text, in order."""
         parts = [list(self.split.pieces(t)) for t in texts]
         known = self.lookup({w for p in parts for added, ws in p if not added for w in ws})
-        out = []
         for p in parts:
-            ids: list[int] = []
-            for added, words in p:
-                if added:
-                    ids.append(self.vocab.added[words[0]])
-                else:
-                    for w in words:
-                        ids += known[w]
-            out.append(ids)
-        return out
-
-    def lookup(self, words: set[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of every given word; new ones are merged together in one flat array."""
-        new = [w for w in words if w not in self.cache]
-        if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache, new = {}, list(words)
-        fresh = dict(zip(new, (tuple(x.tolist()) for x in self.vocab.encode_words(new)))) if new else {}
-        self.cache.update((w, x) for w, x in fresh.items() if len(w) <= CACHE_WORD_CHARS)
-        return {**self.cache, **fresh} if len(fresh) else self.cache
+            yield [x for added, ws in p for x in ([self.added[ws[0]]] if added else map(known.__getitem__, ws))]
+
+    def lookup(self, words: set[str]) -> dict[str, Any]:
+        """Every given word rendered; new ones are merged together in one flat array.
+
+        A full generation becomes the old one; its words return when they occur again.
+        """
+        if len(self.young) > CACHE_WORDS:
+            self.young, self.old = {}, self.young
+        known, new = {}, []
+        for w in words:
+            x = self.young.get(w)
+            if x is None:
+                x = self.old.get(w)
+                if x is None:
+                    new.append(w)
+                    continue
+                self.young[w] = x
+            known[w] = x
+        if new:
+            fresh = dict(zip(new, (self.render(x.tolist()) for x in self.vocab.encode_words(new))))
+            known.update(fresh)
+            self.young.update((w, x) for w, x in fresh.items() if len(w) <= CACHE_WORD_CHARS)
+        return known
+
+
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<i4").tobytes()
 
 
 def decode(vocab: Vocabulary, ids: list[int]) -> str:
@@ -225,7 +243,7 @@ def load(path: str) -> Vocabulary:
     return _LOADED[path]
 
 
-def _groups(column: pa.Array, chars: int = 1 << 20) -> Iterator[list[str]]:
+def _groups(column: pa.Array, chars: int = 1 << 21) -> Iterator[list[str]]:
     """The texts of a column, null as empty, in lists of about ``chars`` characters."""
     held, size = [], 0
     for x in column:
@@ -243,14 +261,13 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(load(path))
+        encoder = Encoder(load(path), packed)
         for b in batches:
             at = 0
             for texts in _groups(b.column(1)):
-                ids = encoder.encode(texts)
-                offsets = np.zeros(len(ids) + 1, np.int32)
-                np.cumsum([len(x) for x in ids], out=offsets[1:])
-                flat = np.fromiter((i for x in ids for i in x), np.int32, int(offsets[-1]))
+                ids = [b"".join(words) for words in encoder.encode(texts)]
+                offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))).astype(np.int32)
+                flat = np.frombuffer(b"".join(ids), "<i4")
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(at, len(texts)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
                     ["doc_id", "ids"])
@@ -260,23 +277,25 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
 
 
 def encode_decode_digest(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: token count and SHA-256 of its ids and of the text decoded from them."""
+    """Per document: token count and SHA-256 of its ids and of the text decoded from them.
+
+    Both strings are joined by spaces over tokens, so they are joined from the words' own.
+    """
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = (f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, n_tokens long, "
               "ids_sha256 string, decoded_sha256 string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = load(path)
-        encoder = Encoder(vocab)
-        number = list(map(str, range(vocab.size)))
-        sha = lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
+        encoder = Encoder(vocab, lambda ids: (len(ids), " ".join(map(str, ids)), decode(vocab, ids)))
+        sha = lambda words: hashlib.sha256(" ".join(words).encode("utf-8", "surrogatepass")).hexdigest()
         for b in batches:
             n, of_ids, of_text = [], [], []
             for texts in _groups(b.column(1)):
-                for ids in encoder.encode(texts):
-                    n.append(len(ids))
-                    of_ids.append(sha(" ".join([number[i] for i in ids])))
-                    of_text.append(sha(decode(vocab, ids)))
+                for words in encoder.encode(texts):
+                    n.append(sum([w[0] for w in words]))
+                    of_ids.append(sha([w[1] for w in words]))
+                    of_text.append(sha([w[2] for w in words]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()),
                                               pa.array(of_text, pa.string())],
                                              ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

@@ -11,6 +11,11 @@ from corridor.llm.queries import tokenizer_path
 PATH = tokenizer_path()
 
 
+def encoded(texts, encoder=None):
+    encoder = encoder or bpe.Encoder(bpe.load(PATH), list)
+    return [[i for word in words for i in word] for words in encoder.encode(texts)]
+
+
 @pytest.fixture(scope="module")
 def lib():
     return Tokenizer.from_file(PATH)
@@ -30,7 +35,7 @@ def test_encoder_equals_library_on_random_texts(lib):
     pieces = ["hello", "WORLD's", " ", "\n\t", "don't", "'s", "aaaaaaaa", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "ß", "ÉCOLE",
               "ΑΣ", "é", "İ", "½", "12", " ", "‍", "\U0001F600", "日本", "!!!***", "\x1c", "\x85", "$$$&&&", "ﬁ", "́"]
     texts = ["".join(rng.choices(pieces, k=rng.randrange(1, 15))) for _ in range(1500)]
-    got = bpe.Encoder(bpe.load(PATH)).encode(texts)
+    got = encoded(texts)
     assert got == [lib.encode(t, add_special_tokens=False).ids for t in texts]
 
 
@@ -39,24 +44,24 @@ def test_splitter_equals_library_on_code_points(lib):
     import unicodedata
     points = [c for c in range(1, sys.maxunicode + 1, 7) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) != "Cn"]
     texts = [f"a{chr(c)}b1{chr(c)}." for c in points]
-    got = bpe.Encoder(bpe.load(PATH)).encode(texts)
+    got = encoded(texts)
     bad = [hex(c) for c, x, t in zip(points, got, texts) if x != lib.encode(t, add_special_tokens=False).ids]
     assert bad == []
 
 
 def test_merge_order_on_repeats(lib):
     texts = ["a" * n for n in range(1, 40)] + ["ab" * 30, "aab" * 20, "in" * 50 + "g", "q" * 3000, "the" * 2000]
-    assert bpe.Encoder(bpe.load(PATH)).encode(texts) == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encoded(texts) == [lib.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_cache_stays_bounded(lib, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_WORDS", 50)
-    e = bpe.Encoder(bpe.load(PATH))
+    e = bpe.Encoder(bpe.load(PATH), list)
     rng = random.Random(2)
     for _ in range(20):
         texts = [" ".join("".join(rng.choices("abcdef", k=6)) for _ in range(40)) for _ in range(3)]
-        assert e.encode(texts) == [lib.encode(t, add_special_tokens=False).ids for t in texts]
-        assert len(e.cache) <= 200
+        assert encoded(texts, e) == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(e.young) <= 200 and len(e.old) <= 200
 
 
 def test_query_columns_and_edges(spark, lib):

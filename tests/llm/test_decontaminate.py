@@ -41,7 +41,7 @@ def case(seed):
     for d in range(60):
         parts = rng.choices(vocab, k=rng.randrange(60))
         if rng.random() < 0.5:
-            parts[len(parts) // 2:len(parts) // 2] = rng.choice(items)[1].split() if rng.choice(items)[1] else []
+            parts[len(parts) // 2:len(parts) // 2] = (rng.choice(items)[1] or "").split()
         docs.append((d, rng.choice([" ", ", ", "\n--", "\x00"]).join(parts)))
     return docs + [(1000, None), (1001, ""), (1002, "?!"), (1, docs[1][1]), (1, docs[1][1])], items
 

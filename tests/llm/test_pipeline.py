@@ -1,10 +1,10 @@
 import random
 
 import corpus_pipeline as P
-from corridor.llm import bpe, langid, ngram_join
-from corridor.llm.queries import tokenizer_path
+from corridor.llm import langid, ngram_join
 from corridor.llm.storage import table
 from tests.conftest import SF_SMALL
+from tests.llm.test_bpe import encoded
 from tests.llm.test_decontaminate import brute as hits
 from tests.llm.test_ngram_join import brute as groups
 
@@ -39,8 +39,7 @@ def test_stages_follow_each_other(spark):
     assert set(texts) == clean and all(r.n_chars == len(r.text) for r in texts.values())
 
     five = P.bpe_tokens(spark, four, SF_SMALL).collect()
-    vocab = bpe.load(tokenizer_path())
-    want = dict(zip(texts, bpe.Encoder(vocab).encode([r.text for r in texts.values()])))
+    want = dict(zip(texts, encoded([r.text for r in texts.values()])))
     assert {r.doc_id: r.ids for r in five} == want and all(r.n_tokens == len(r.ids) for r in five)
 
 
