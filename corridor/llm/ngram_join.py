@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from corridor.llm.components import connected_components
 from corridor.llm.shingles import mix, ngrams, word_hashes
-from corridor.llm.storage import materialise, small_side
+from corridor.llm.storage import discard, materialise, scratch_path, small_side
 
 EXTRA = 0.05               # share of a set by which the first filter's prefix is longer
 COUNTERS = 1 << 22         # counters behind the global order: the broadcast is this many bytes times two
@@ -103,10 +103,14 @@ def _sampled(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _linkable(base: DataFrame, percent: int) -> DataFrame:
-    """(set_key, n) of classes that share enough low shingles with other classes."""
+    """(set_key, n) of classes that share enough low shingles with other classes.
+
+    A shingle that very many classes hold is pre-aggregated in the first step, and
+    the join of the second can split it.
+    """
     posts = base.select("set_key", F.explode("low").alias("token"))
-    shared = (posts.groupBy("token").agg(F.min("set_key").alias("x"), F.max("set_key").alias("y"))
-              .where("x <> y").select("token"))
+    shared = materialise(posts.groupBy("token").agg(F.min("set_key").alias("x"), F.max("set_key").alias("y"))
+                         .where("x <> y").select("token"), "shared")
     least = F.greatest(F.lit(1), F.floor(F.lit(EXTRA * percent / 100) * F.col("n")))
     counts = posts.join(shared, "token").groupBy("set_key").agg(F.count("*").alias("shared"))
     return (counts.join(base.groupBy("set_key").agg(F.first("n").alias("n")), "set_key")
@@ -179,24 +183,24 @@ def ordered(tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return tokens[at], c[at]
 
 
-def _clusters(sets: DataFrame, counts, percent: int) -> DataFrame:
+def _clusters(sets: DataFrame, chosen: DataFrame, counts, percent: int) -> DataFrame:
     """(center, member, n): classes that share a prefix shingle, under their smallest member."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            prefixes, sizes = [], []
+            prefixes = []
             for x in b.column(1):
                 s = _tokens(x)
-                sizes.append(len(s))
                 prefixes.append(ordered(s, counts.value)[0][:len(s) - need(len(s), percent) + 1])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), _lists(prefixes)],
-                                             ["set_key", "n", "prefix"])
+            yield pa.RecordBatch.from_arrays([b.column(0), _lists(prefixes)], ["set_key", "prefix"])
 
-    posts = (sets.mapInArrow(run, "set_key long, n long, prefix array<long>")
-             .select("set_key", "n", F.explode("prefix").alias("token")))
-    centers = (posts.groupBy("token").agg(F.min("set_key").alias("center"), F.max("set_key").alias("last"))
-               .where("center <> last").select("token", "center"))
-    return posts.join(centers, "token").select("center", F.col("set_key").alias("member"), "n").distinct()
+    posts = (sets.mapInArrow(run, "set_key long, prefix array<long>")
+             .select("set_key", F.explode("prefix").alias("token")))
+    centers = materialise(posts.groupBy("token").agg(F.min("set_key").alias("center"), F.max("set_key").alias("last"))
+                          .where("center <> last").select("token", "center"), "centers")
+    pairs = (posts.join(centers, "token")
+             .select("center", F.col("set_key").alias("member")).distinct())
+    return pairs.join(chosen.withColumnRenamed("set_key", "member"), "member").select("center", "member", "n")
 
 
 class _Node:
@@ -337,12 +341,11 @@ def _join_units(units: DataFrame, sets: DataFrame, counts, percent: int) -> Data
     return full.groupBy("center", "shard", "other").applyInArrow(run, "a long, b long")
 
 
-def _links(docs: DataFrame, base: DataFrame, words: int, percent: int, shard_tokens: int) -> DataFrame:
+def _links(docs: DataFrame, base: DataFrame, chosen: DataFrame, words: int, percent: int, shard_tokens: int) -> DataFrame:
     """Links between classes that give all components."""
-    chosen = materialise(_linkable(base, percent), "linkable")
     sets = materialise(_whole_sets(docs, base, chosen, words), "sets")
     counts = docs.sparkSession.sparkContext.broadcast(_counters(sets))
-    clusters = materialise(_clusters(sets, counts, percent), "clusters")
+    clusters = materialise(_clusters(sets, chosen, counts, percent), "clusters")
     sizes = clusters.groupBy("center").agg(
         F.ceil(F.sum("n") / shard_tokens).alias("shards")).withColumnRenamed("center", "c")
     salt = lambda n: F.pmod(F.xxhash64("member", F.lit(17)), n)
@@ -378,10 +381,15 @@ def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Documents link when 100 * intersection >= ``percent`` * union of their
     sets of ``words``-word shingles; the component is named by its smallest id.
     """
+    spark = docs.sparkSession
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    base = materialise(_sampled(slim, words, percent), "shingles")
+    low = scratch_path(spark, "low")
+    sampled = materialise(_sampled(slim, words, percent), "low", low)
+    base = materialise(sampled.drop("low"), "classes")
+    chosen = materialise(_linkable(sampled.where("n > 0"), percent), "linkable")
+    discard(spark, low)
     some = base.where("n > 0")
-    comps = connected_components(_links(slim, some, words, percent, shard_tokens))
+    comps = connected_components(_links(slim, some, chosen, words, percent, shard_tokens))
     classes = some.groupBy("set_key").agg(F.min("doc_id").alias("first_id"))
     named = classes.join(comps, F.col("set_key") == F.col("node"), "left").select(
         "set_key", "first_id", F.coalesce("component", "set_key").alias("root"))

@@ -22,10 +22,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that no later step reads."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def materialise(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: a lineage cut that outlives executors."""
     spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = path or scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
