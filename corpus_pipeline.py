@@ -14,7 +14,7 @@ from corridor.llm import bpe, decontaminate, langid, ngram_join, pii
 from corridor.llm.queries import SURROGATE_KEY, tokenizer_path
 from corridor.llm.storage import materialise, table
 
-MIN_LANGUAGE_SCORE = 0.5
+MIN_LANGUAGE_SCORE = 0.35
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
