@@ -4,9 +4,8 @@
 (``ROUND(x::NUMERIC, n)``). That SQL first converts the double to NUMERIC
 with 15 significant digits, which snaps a value one ulp below a tie onto the
 tie; ``rnd`` gets the same effect with a 1e-9 tolerance on the scaled value,
-so results do not depend on summation order. ``exact_avg`` sums values
-as DECIMAL so the sum is order-independent (the same on every executor
-layout), then performs a single IEEE division.
+so results do not depend on summation order. ``exact_avg`` is the mean of
+the values as they are, summed so that the executor layout does not matter.
 """
 
 from __future__ import annotations
@@ -21,7 +20,9 @@ def rnd(c: Column, n: int) -> Column:
     """Round half away from zero to ``n`` decimals, as a double."""
     scale = float(10 ** n)
     sign = F.when(c < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-    return sign * F.floor(F.abs(c) * F.lit(scale) + F.lit(0.5) + F.lit(TIE_TOLERANCE)) / F.lit(scale)
+    rounded = sign * F.floor(F.abs(c) * F.lit(scale) + F.lit(0.5) + F.lit(TIE_TOLERANCE)) / F.lit(scale)
+    # A double this large has no decimals to round, and its scaled value no place in a BIGINT.
+    return F.when(F.abs(c) * F.lit(scale) >= F.lit(2.0 ** 53), c).otherwise(rounded)
 
 
 def clamp(c: Column, lo: float, hi: float) -> Column:
@@ -29,11 +30,12 @@ def clamp(c: Column, lo: float, hi: float) -> Column:
     return F.greatest(F.lit(float(lo)), F.least(F.lit(float(hi)), c))
 
 
-def exact_sum(c: Column, scale: int = 2) -> Column:
-    """Order-independent sum of a double holding at most ``scale`` decimals."""
-    return F.sum(c.cast(f"decimal(18,{scale})")).cast("double")
+def exact_avg(c: Column) -> Column:
+    """Mean of a double column; NULL for no values.
 
-
-def exact_avg(c: Column, scale: int = 2) -> Column:
-    """Mean with an exact decimal sum and one division; NULL for no values."""
-    return exact_sum(c, scale) / F.nullif(F.count(c), F.lit(0))
+    Values of up to 18 integer digits are summed as DECIMAL(38, 10), which no
+    executor layout changes (ranks and ties are stable), and divided once. If any
+    value does not fit, the plain double mean stands in.
+    """
+    d = c.try_cast("decimal(28,10)")
+    return F.when(F.count(d) == F.count(c), F.sum(d).cast("double") / F.nullif(F.count(c), F.lit(0))).otherwise(F.avg(c))

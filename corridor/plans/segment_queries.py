@@ -257,11 +257,14 @@ def q_predict_segments(spark, sf):
 
 
 @register("prediction_log", _SEG_WX.rstrip() + ",\n" + _FEATURES.rstrip() + ",\n" + _SCORED +
-          "SELECT sha256(CAST(segment_id AS VARCHAR)) AS prediction_id, segment_id, start_lat AS origin_lat, "
+          "SELECT sha256(run || '|' || CAST(segment_id AS VARCHAR)) AS prediction_id, segment_id, start_lat AS origin_lat, "
           "start_lon AS origin_lng, end_lat AS dest_lat, end_lon AS dest_lng, "
-          "predicted_time_seconds AS predicted_time, CAST(NULL AS DOUBLE) AS actual_time FROM scored")
+          "predicted_time_seconds AS predicted_time, CAST(NULL AS DOUBLE) AS actual_time "
+          "FROM scored, (SELECT unnest(['run-1', 'run-2']) AS run) r")
 def q_prediction_log(spark, sf):
-    return sg.prediction_log(_scored(spark, sf))
+    """Two scoring runs in one log: their ids differ."""
+    scored = _scored(spark, sf)
+    return sg.prediction_log(scored, "run-1").unionByName(sg.prediction_log(scored, "run-2"))
 
 
 @register("network_kpis", duck_with("readings").rstrip() + ",\n" + _LATEST +

@@ -23,7 +23,8 @@ BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
 # `incoming_segments` (an upsert batch derived from supplier).
 VIEW_SQL: dict[str, str] = {
     "readings": """
-SELECT event_id AS reading_id, user_id AS segment_id, value AS current_speed,
+SELECT event_id AS reading_id, user_id AS segment_id,
+  value + CAST(event_id % 997 AS DOUBLE) / 1e5 AS current_speed,
   CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id % 101 AS DOUBLE) / 1e2 END AS congestion_score,
   ts AS reading_ts FROM {events}""",
     "raw_traffic": """
@@ -53,7 +54,7 @@ SELECT event_id AS snapshot_id,
   CASE WHEN event_id % 10 = 0 THEN NULL ELSE CAST(event_id % 350 AS DOUBLE) / 1e1 END AS temperature,
   CASE WHEN event_id % 4 = 0 THEN NULL ELSE CAST(event_id % 80 AS DOUBLE) / 1e1 END AS rain_intensity,
   CASE WHEN event_id % 4 = 0 THEN CAST(event_id % 60 AS DOUBLE) / 1e1 ELSE NULL END AS precipitation,
-  ts AS observed_at FROM {events} WHERE event_type = 'signup'""",
+  ts AS observed_at FROM {events}""",
     "raw_incidents": """
 SELECT o_orderkey AS incident_id,
   CASE o_orderkey % 4 WHEN 0 THEN 'accident' WHEN 1 THEN 'debris' WHEN 2 THEN 'congestion' ELSE 'hazard' END AS incident_type,

@@ -238,18 +238,18 @@ def test_nearest_to_point_ties(spark):
     assert spatial.nearest_to_point(df, 0.1, 0.1).first().id == 2
 
 
-def test_feature_collection_bounded(spark):
+def test_features_are_written_one_per_line(spark, tmpdir_path):
     from corridor.operators import incidents as inc
+    from corridor.sinks import tables
     df = spark.createDataFrame([(1, 0.5, 1.0), (2, 2.0, 3.0)], "id long, lon double, lat double")
     feats = df.select("id", inc.point_feature(F.col("lon"), F.col("lat"), {"id": F.col("id")}).alias("feature"))
-    doc = inc.feature_collection(feats, order="id").first().collection
     import json
-    parsed = json.loads(doc)
-    assert parsed["type"] == "FeatureCollection"
-    assert [f["properties"]["id"] for f in parsed["features"]] == [1, 2]
-    assert parsed["features"][0]["geometry"] == {"type": "Point", "coordinates": [0.5, 1.0]}
-    with pytest.raises(ValueError):
-        inc.feature_collection(feats, max_features=1)
+    tables.write_features(feats, f"{tmpdir_path}/features")
+    parsed = sorted((json.loads(r.value) for r in spark.read.text(f"{tmpdir_path}/features").collect()),
+                    key=lambda f: f["properties"]["id"])
+    assert [f["type"] for f in parsed] == ["Feature", "Feature"]
+    assert [f["properties"]["id"] for f in parsed] == [1, 2]
+    assert parsed[0]["geometry"] == {"type": "Point", "coordinates": [0.5, 1.0]}
 
 
 def test_require_segment(spark):
