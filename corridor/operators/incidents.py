@@ -53,20 +53,3 @@ def line_feature(pts: Column, props: dict[str, Column]) -> Column:
                     F.struct(F.lit("LineString").alias("type"), coords.alias("coordinates")).alias("geometry"),
                     F.struct(*[c.alias(k) for k, c in props.items()]).alias("properties"))
     return F.to_json(feat, {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
-
-
-def feature_collection(features: DataFrame, feature: str = "feature", order: str | None = None,
-                       max_features: int = 50_000) -> DataFrame:
-    """One FeatureCollection document for a bounded result (a viewport).
-
-    A collection is one document, so it gathers its features into one row;
-    the input is checked first (``limit(max+1).count()`` reads at most
-    max+1 rows) and a larger input raises instead of overloading one task.
-    Use the row-per-feature form for anything unbounded.
-    """
-    if features.limit(max_features + 1).count() > max_features:
-        raise ValueError(f"more than {max_features} features: use the row-per-feature form")
-    items = F.collect_list(F.struct(F.col(order) if order else F.lit(0), F.col(feature)))
-    body = F.array_join(F.transform(F.sort_array(items), lambda s: s[feature]), ",")
-    return features.agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), body,
-                                 F.lit("]}")).alias("collection"))

@@ -30,11 +30,10 @@ def exists_flag(ids: DataFrame, parent: DataFrame, key: str, name: str = "exists
 def domain_check(df: DataFrame, checks: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
     """CHECK constraints: ``checks`` maps a reason to a predicate that must hold.
 
-    A NULL predicate counts as a failure. Rejected rows carry ``reason``
-    (all failed reasons joined by ';').
+    As with SQL's CHECK, a NULL predicate passes. Rejected rows carry
+    ``reason`` (all failed reasons joined by ';').
     """
-    reasons = F.concat_ws(";", *[F.when(~F.coalesce(p, F.lit(False)), F.lit(r))
-                                 for r, p in checks.items()])
+    reasons = F.concat_ws(";", *[F.when(~p, F.lit(r)) for r, p in checks.items()])
     tagged = df.withColumn("_reason", reasons)
     valid = tagged.filter(F.col("_reason") == "").drop("_reason")
     rejected = tagged.filter(F.col("_reason") != "").withColumnRenamed("_reason", "reason")

@@ -40,8 +40,9 @@ def free_flow_time(length: Column, limit: Column) -> Column:
 
 
 def features(congestion: Column, rain: Column, temp: Column) -> tuple[Column, Column, Column]:
-    return (clamp(congestion, 0.0, 1.0), F.greatest(F.lit(0.0), rain),
-            F.abs(temp - F.lit(DEFAULT_TEMP_C)))
+    """x1..x3; a NULL input counts as its default (score 0, rain 0, 20 degrees)."""
+    return (clamp(F.coalesce(congestion, F.lit(0.0)), 0.0, 1.0), F.greatest(F.lit(0.0), rain),
+            F.abs(F.coalesce(temp, F.lit(DEFAULT_TEMP_C)) - F.lit(DEFAULT_TEMP_C)))
 
 
 def multiplier(congestion: Column, rain: Column, temp: Column, w: dict | None = None) -> Column:
@@ -118,6 +119,7 @@ def fit_from_gram(g: dict, weights: dict | None = None, epochs: int = EPOCHS,
     for epoch in range(epochs):
         gv = [sum(G[i][j] * v[j] for j in range(4)) for i in range(4)]
         loss = sum(v[i] * gv[i] for i in range(4)) - 2 * sum(v[i] * b[i] for i in range(4)) + s["s_yy"]
+        loss = max(0.0, loss)       # a sum of squares; rounding can leave it just below 0
         grad = [(2.0 / n) * (gv[i] - b[i]) for i in range(4)]
         v = [v[i] - lr * grad[i] for i in range(4)]
         v = [max(MIN_W0, v[0]), max(0.0, v[1]), max(0.0, v[2]), max(0.0, v[3])]

@@ -70,7 +70,8 @@ def segment_weather(segments: DataFrame, weather: DataFrame, pts: str = "pts", *
     mx, my = chord_midpoint(F.col(pts))
     mids = segments.select("segment_id", mx.alias("mid_lon"), my.alias("mid_lat"))
     return spatial.nearest_join(mids, weather, "segment_id", "mid_lon", "mid_lat",
-                                ts=kw.get("ts", "observed_at"), tiebreak=kw.get("tiebreak", "snapshot_id"))
+                                ts=lt.time_column(weather, kw.get("ts"), "observed_at", "timestamp"),
+                                tiebreak=kw.get("tiebreak", "snapshot_id"))
 
 
 def segment_features(segments: DataFrame, readings: DataFrame, weather: DataFrame,
@@ -88,6 +89,19 @@ def segment_features(segments: DataFrame, readings: DataFrame, weather: DataFram
                     "start_lon", "start_lat", "end_lon", "end_lat"))
 
 
+def predict_segment(segments: DataFrame, readings: DataFrame, weather: DataFrame, segment_id: int,
+                    pts: str = "pts", w: dict | None = None) -> DataFrame:
+    """The prediction of one segment; ``LookupError`` if there is no such segment.
+
+    The id filters segments and readings before anything else reads them.
+    """
+    own = segments.where(F.col("segment_id") == F.lit(int(segment_id)))
+    if own.isEmpty():
+        raise LookupError(f"Road segment with ID {segment_id} not found.")
+    mine = readings.where(F.col("segment_id") == F.lit(int(segment_id)))
+    return score_segments(segment_features(own, mine, weather, pts), w)
+
+
 def score_segments(features: DataFrame, w: dict | None = None) -> DataFrame:
     """Predicted and free-flow travel time for every feature row."""
     pred = model.predict(F.col("length"), F.col("speed_limit"), F.col("congestion_score"),
@@ -96,13 +110,13 @@ def score_segments(features: DataFrame, w: dict | None = None) -> DataFrame:
     return features.select("*", pred.alias("predicted_time_seconds"), ff.alias("free_flow_time_seconds"))
 
 
-def prediction_log(scored: DataFrame, id_cols: Sequence[str] = ("segment_id",)) -> DataFrame:
+def prediction_log(scored: DataFrame, run_id: str, id_cols: Sequence[str] = ("segment_id",)) -> DataFrame:
     """Audit rows: origin = start point, destination = end point, actual NULL.
 
-    The id is a SHA-256 of the key columns, so a replayed scoring run writes
-    the same ids (and a dynamic-overwrite sink replaces instead of duplicating).
+    The id is a SHA-256 of the scoring run and the key columns: two runs never
+    share one, and a replayed run writes the same ids again.
     """
-    pid = F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in id_cols]), 256)
+    pid = F.sha2(F.concat_ws("|", F.lit(run_id), *[F.col(c).cast("string") for c in id_cols]), 256)
     return scored.select(pid.alias("prediction_id"), *id_cols,
                          F.col("start_lat").alias("origin_lat"), F.col("start_lon").alias("origin_lng"),
                          F.col("end_lat").alias("dest_lat"), F.col("end_lon").alias("dest_lng"),

@@ -57,6 +57,16 @@ def segments_in_viewport(segments: DataFrame, box, pts: str = "pts") -> DataFram
     return out.filter(geo.line_box_intersects(F.col(pts), box))
 
 
+def nearest_one(df: DataFrame, lon: float, lat: float, **columns):
+    """The nearest row itself; ``ValueError`` for a point off the globe, ``LookupError`` without rows."""
+    if not (-90 <= lat <= 90 and -180 <= lon <= 180):
+        raise ValueError("latitude must be within -90..90 and longitude within -180..180")
+    row = nearest_to_point(df, lon, lat, **columns).first()
+    if row is None:
+        raise LookupError("no row to be nearest")
+    return row
+
+
 def nearest_to_point(df: DataFrame, lon: float, lat: float, x: str = "longitude", y: str = "latitude",
                      ts: str = "timestamp", tiebreak: str = "id") -> DataFrame:
     """The single nearest row (ties: latest ``ts``, then smaller ``tiebreak``).
@@ -72,7 +82,7 @@ def nearest_to_point(df: DataFrame, lon: float, lat: float, x: str = "longitude"
 def latest_per_location(stations: DataFrame, x: str, y: str, ts: str, tiebreak: str) -> DataFrame:
     """One row per (x, y): the latest, ties by the smaller ``tiebreak``."""
     others = [c for c in stations.columns if c not in (x, y)]
-    best = F.max(F.struct(F.col(ts).alias("_t"), (-F.col(tiebreak)).alias("_neg"),
+    best = F.min(F.struct((-F.unix_micros(F.col(ts).cast("timestamp"))).alias("_t"), F.col(tiebreak).alias("_id"),
                           *[F.col(c) for c in others]))
     return (stations.groupBy(x, y).agg(best.alias("_s"))
             .select(x, y, *[F.col(f"_s.{c}").alias(c) for c in others]))
@@ -162,7 +172,7 @@ def _far_pass(pending: DataFrame, locs: DataFrame, grid: DataFrame, size: float,
                   .alias("_rep"))
              .withColumn("pcx", F.floor(F.col("cx") / F.lit(2.0)))
              .withColumn("pcy", F.floor(F.col("cy") / F.lit(2.0)))
-             .persist())
+             .checkpoint())
     lbx = F.greatest(F.lit(0.0), F.col("_x0") - F.col("_px"), F.col("_px") - F.col("_x1"))
     lby = F.greatest(F.lit(0.0), F.col("_y0") - F.col("_py"), F.col("_py") - F.col("_y1"))
     rd2 = geo.planar_d2(F.col("_rep.x"), F.col("_rep.y"), F.col("_px"), F.col("_py"))
@@ -204,17 +214,16 @@ def nearest_join(points: DataFrame, stations: DataFrame, pid: str, px: str, py:
     for defaults).
 
     Driver work: one row per candidate cell size (one job) and one emptiness
-    check after the first pass. Two frames stay persisted for the returned
-    plan to reuse: the per-location snapshots (bounded by the number of
-    station locations) and the first-pass result (one row per point); a
-    long-running session releases them with ``unpersist``/``clearCache`` once
-    the result has been written. A lost executor only recomputes its blocks.
+    check after the first pass. Frames read more than once (the per-location
+    snapshots, the first-pass result) are checkpointed in the shared folder, so
+    nothing stays cached in the session and a lost executor costs nothing.
     """
     from pyspark.sql import types as T
     spark = points.sparkSession
     # One row per distinct location: reused by the grid choice and both
     # passes, so it is computed once and kept.
-    locs = latest_per_location(stations, sx, sy, ts, tiebreak).persist()
+    checkpoint_dir(spark)
+    locs = latest_per_location(stations, sx, sy, ts, tiebreak).checkpoint()
     g = choose_grid(locs, sx, sy, max_cell=max_cell)
     if g is None:
         fields = [points.schema[pid], T.StructField("d2", T.DoubleType())] + list(locs.schema.fields)
@@ -228,7 +237,7 @@ def nearest_join(points: DataFrame, stations: DataFrame, pid: str, px: str, py:
         F.col(pid), F.col(px).cast("double").alias("_px"), F.col(py).cast("double").alias("_py"),
         _cell(F.col(px), size).alias("_pcx"), _cell(F.col(py), size).alias("_pcy"),
     ).filter(F.col("_px").isNotNull() & F.col("_py").isNotNull())
-    res = _probe(pending, grid, order, pid, payload).persist()
+    res = _probe(pending, grid, order, pid, payload).checkpoint()
     d = F.sqrt(F.col("_b.d2"))
     # Final when the best candidate is nearer than the block edge: every
     # location outside the 3x3 block is farther than one cell width.

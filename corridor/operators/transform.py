@@ -42,11 +42,18 @@ def keep_last(df: DataFrame, keys: Sequence[str], ordinal: str) -> DataFrame:
         .select(*df.columns)
 
 
-def transform_traffic(valid: DataFrame, ts: str = "timestamp", ordinal: str = "ordinal") -> DataFrame:
-    """Keep-last per (segment_id, timestamp) within the batch."""
-    cols = ["segment_id", "current_speed", "congestion_score", ts]
-    d = keep_last(valid.select(*cols, ordinal), ["segment_id", ts], ordinal)
-    return d.select(*cols)
+def transform_traffic(valid: DataFrame, ts: str = "timestamp", ordinal: str = "ordinal",
+                      has_time: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Keep-last per (segment_id, timestamp) within the batch.
+
+    With ``has_time`` (a boolean column) a record that came without a timestamp
+    is a reading of its own and never merged with another.
+    """
+    cols = ["segment_id", "current_speed", "congestion_score", ts, *keep]
+    if has_time is None:
+        return keep_last(valid.select(*cols, ordinal), ["segment_id", ts], ordinal).select(*cols)
+    own = F.when(~F.col(has_time), F.col(ordinal)).alias("_own")
+    return keep_last(valid.select(*cols, ordinal, own), ["segment_id", ts, "_own"], ordinal).select(*cols)
 
 
 def _blank_to_null(c: Column) -> Column:

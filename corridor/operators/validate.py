@@ -23,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corridor.functions import fields as fl
 from corridor.functions import geometry as geo
@@ -53,6 +54,10 @@ class Validated:
 
 def _split(df: DataFrame, out: dict[str, Column], rules: Sequence[tuple[str, Column]],
            keep: Sequence[str] = ()) -> Validated:
+    # Rules that only loaded data has: malformed files, and keys checked against a parent table.
+    extra = [("malformed_record", F.col("corrupt_record").isNotNull())] if "corrupt_record" in df.columns else []
+    extra += [("segment_id_unknown", ~F.col("segment_known"))] if "segment_known" in df.columns else []
+    rules = [*extra, *rules]
     reason = F.concat_ws(";", *[F.when(F.coalesce(bad, F.lit(False)), F.lit(r)) for r, bad in rules])
     keep = [c for c in keep if c in df.columns]
     # ``spark_partition_id()`` is non-deterministic, so Catalyst keeps the
@@ -69,15 +74,18 @@ def _split(df: DataFrame, out: dict[str, Column], rules: Sequence[tuple[str, Col
 
 
 def default_timestamp(df: DataFrame, ts: str, ingest_ts: Column | None, ordinal: str | None) -> Column:
-    """Parsed timestamp, or the ingest time plus the record ordinal in microseconds.
+    """Parsed timestamp, or the arrival time plus the record's position in microseconds.
 
-    A per-record default keeps two un-timestamped readings of a segment apart,
-    as a per-record clock would; one ``current_timestamp()`` would merge them.
+    The arrival time is ``ingest_ts``, else the landing file's modification time
+    (``file_time``, the same on a replay), else the query time. The ordinal is a
+    number, or the feed readers' struct with its position as ``pos``.
     """
     parsed = fl.as_timestamp(df, ts)
-    base = ingest_ts if ingest_ts is not None else F.current_timestamp()
+    base = ingest_ts if ingest_ts is not None else (
+        F.col("file_time") if "file_time" in df.columns else F.current_timestamp())
     if ordinal and ordinal in df.columns:
-        base = F.timestamp_add("MICROSECOND", F.col(ordinal), base)
+        place = F.col(ordinal)["pos"] if isinstance(df.schema[ordinal].dataType, T.StructType) else F.col(ordinal)
+        base = F.timestamp_add("MICROSECOND", place, base)
     if fl.kind(df, ts) == fl.TIMESTAMP:
         base = base.cast(df.schema[ts].dataType)
     return F.coalesce(parsed, base)
@@ -173,13 +181,14 @@ def validate_incident(raw: DataFrame, ts: str = "timestamp", ordinal: str | None
 
 
 def validate_construction(raw: DataFrame, ordinal: str | None = "ordinal",
-                          keep: Sequence[str] = ("ordinal", "zone_id")):
+                          keep: Sequence[str] = ("ordinal", "zone_id"), statuses: Sequence[str] | None = None):
     """Construction plans: geometry type, coordinate nesting, ring closing, dates.
 
     ``coordinates`` may be VARIANT, JSON text, or a typed nested array. Lines
     must be a flat list of >= 2 pairs; polygons a list of rings whose outer
     ring has >= 4 pairs. An open outer ring is closed by appending its first
-    point (inner rings untouched).
+    point (inner rings untouched). With ``statuses`` (the stored table's domain)
+    any other status is rejected as well.
     """
     if fl.kind(raw, "coordinates") == fl.STRING:
         # Parse JSON text once; the nesting checks read the VARIANT several
@@ -200,7 +209,8 @@ def validate_construction(raw: DataFrame, ordinal: str | None = "ordinal",
         ("linestring_invalid", (gtype == "LineString") & depth.isNotNull() & ~line_ok),
         ("polygon_invalid", (gtype == "Polygon") & depth.isNotNull() & ~poly_ok),
         ("description_invalid", fl.present(raw, "description") & ~fl.is_string(raw, "description")),
-        ("status_invalid", fl.present(raw, "status") & ~fl.is_string(raw, "status")),
+        ("status_invalid", (fl.present(raw, "status") & ~fl.is_string(raw, "status")) | fl.json_null(raw, "status")),
+        *([("status_domain", fl.is_string(raw, "status") & ~status.isin(*statuses))] if statuses else []),
         ("start_date_missing", ~fl.present(raw, "start_date")),
         ("start_date_invalid", fl.present(raw, "start_date") & start.isNull()),
         ("end_date_invalid", fl.present(raw, "end_date") & end.isNull()),

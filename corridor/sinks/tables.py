@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from corridor.operators.transform import keep_last
+
 # Layout of each table (partition column source, sort keys).
 LAYOUT = {
     "traffic_readings": ("timestamp", ("segment_id", "timestamp")),
@@ -36,6 +38,8 @@ def _with_layout(df: DataFrame, table: str) -> tuple[DataFrame, list[str]]:
     ts_col, sort = LAYOUT[table]
     out = df.withColumn("dt", F.to_date(F.col(ts_col)))
     sort = [c for c in sort if c in out.columns]
+    # One task (or several, where a day is large) writes a day, not every task every day.
+    out = out.hint("rebalance", "dt")
     # Sorting inside each task's output gives tight min/max statistics per
     # row group for segment and time filters (no shuffle involved).
     return out.sortWithinPartitions("dt", *sort), ["dt"]
@@ -62,22 +66,30 @@ def load_traffic_readings(df: DataFrame, path: str, batch_id: int | None = None,
     """Readings with a deterministic ``reading_id`` (a hash of the row), so a
     retried task or a replayed batch writes the same ids; the id breaks ties
     between readings of a segment with the same timestamp."""
-    rid = F.xxhash64("segment_id", "timestamp", "current_speed", "congestion_score")
+    place = ["record_id"] if "record_id" in df.columns else []
+    rid = F.xxhash64("segment_id", "timestamp", "current_speed", "congestion_score", *place)
     return write_batch(df.select(rid.alias("reading_id"), "segment_id", "current_speed",
                                  F.col("congestion_score").cast("decimal(3,2)").alias("congestion_score"),
                                  "timestamp"), path, "traffic_readings", batch_id, **kw)
 
 
+def _with_id(df: DataFrame, name: str) -> DataFrame:
+    """The table's id column, from the record's own hash, if the rows have none yet."""
+    if name in df.columns or "record_id" not in df.columns:
+        return df
+    return df.withColumnRenamed("record_id", name)
+
+
 def load_weather_snapshots(df: DataFrame, path: str, batch_id: int | None = None, **kw) -> int:
-    return write_batch(df, path, "weather_snapshots", batch_id, **kw)
+    return write_batch(_with_id(df, "snapshot_id"), path, "weather_snapshots", batch_id, **kw)
 
 
 def load_incidents(df: DataFrame, path: str, batch_id: int | None = None, **kw) -> int:
-    return write_batch(df, path, "incidents", batch_id, **kw)
+    return write_batch(_with_id(df, "incident_id"), path, "incidents", batch_id, **kw)
 
 
 def load_construction_zones(df: DataFrame, path: str, batch_id: int | None = None, **kw) -> int:
-    return write_batch(df.withColumn("start_date", F.to_date("start_date"))
+    return write_batch(_with_id(df, "zone_id").withColumn("start_date", F.to_date("start_date"))
                        .withColumn("end_date", F.to_date("end_date")),
                        path, "construction_zones", batch_id, **kw)
 
@@ -96,16 +108,21 @@ def full_reload(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
 
 
 def upsert_touch(base: DataFrame, incoming: DataFrame, key: str, touch: str = "updated_at",
-                 keep: Sequence[str] = ("created_at",), now: Column | None = None) -> DataFrame:
+                 keep: Sequence[str] = ("created_at",), now: Column | None = None,
+                 ordinal: str | None = "ordinal") -> DataFrame:
     """Insert-or-update by ``key`` where an updated row gets ``touch = now``.
 
     Mirrors a BEFORE UPDATE trigger: every updated row is stamped, inserted
     rows keep their own value, ``keep`` columns (creation time) stay as first
-    written. One full outer join on the key.
+    written. A key that comes more than once keeps its last row: the largest
+    ``ordinal`` where the batch has one, else the latest ``touch``. One full outer
+    join on the key.
     """
     now = now if now is not None else F.current_timestamp()
     cols = [c for c in base.columns if c != key]
-    inc = incoming.select(key, *cols).withColumn("_in", F.lit(True))
+    order = ordinal if ordinal in incoming.columns else touch
+    rows = incoming.select(key, *cols, F.col(order).alias("_order"))
+    inc = keep_last(rows, [key], "_order").select(key, *cols).withColumn("_in", F.lit(True))
     b, i = base.alias("b"), inc.alias("i")
     j = b.join(i, F.col(f"b.{key}") == F.col(f"i.{key}"), "full_outer")
     matched = F.col(f"b.{key}").isNotNull() & F.col("i._in").isNotNull()
@@ -122,6 +139,11 @@ def upsert_touch(base: DataFrame, incoming: DataFrame, key: str, touch: str = "u
     return j.select(*out)
 
 
+def write_features(features: DataFrame, path: str, feature: str = "feature") -> None:
+    """GeoJSON Features, one per line: a collection of any size, written by all tasks."""
+    features.select(F.col(feature).alias("value")).write.mode("overwrite").text(path)
+
+
 def write_segments(segments: DataFrame, path: str, pts: str = "pts") -> None:
     """Road segments as a new table version, with stored bbox columns.
 

@@ -5,7 +5,9 @@ Each feed file is a JSON object whose records sit under one envelope key
 with a fixed schema ``<key> array<variant>``: no inference, and each
 record's fields stay loosely typed (VARIANT) so the validators can tell a
 JSON number from a JSON string. A file without the key yields no rows
-(``posexplode`` of NULL), an empty batch rather than an error.
+(``posexplode`` of NULL), an empty batch rather than an error. A malformed
+file (or line) yields one record without fields whose ``corrupt_record`` holds
+the text: the validators reject it, so it reaches the quarantine.
 
 The same reader serves batch (``spark.read``) and streaming
 (``spark.readStream``) so a micro-batch is processed exactly like a batch.
@@ -48,38 +50,58 @@ FEEDS = {
 
 
 def envelope_schema(feed: Feed) -> str:
-    return f"`{feed.envelope}` array<variant>"
+    return f"`{feed.envelope}` array<variant>, corrupt_record string"
 
 
-def explode_records(env: DataFrame, feed: Feed) -> DataFrame:
-    """One row per record with ``ordinal`` = (file time, file name, position).
+def _envelopes(raw: DataFrame, feed: Feed) -> DataFrame:
+    """Envelopes with the place they were read from."""
+    return raw.select(
+        F.when(F.col("corrupt_record").isNotNull(), F.expr("array(CAST(NULL AS VARIANT))"))
+        .otherwise(F.col(feed.envelope)).alias("_records"), "corrupt_record",
+        F.col("_metadata.file_modification_time").alias("file_time"), F.col("_metadata.file_name").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("_block"))
 
-    The ordinal orders records of a batch the way they arrived, so keep-last
-    dedupe does not depend on row order after a shuffle. ``pos`` (position in
-    the file) is kept as a number for per-record default timestamps.
+
+def explode_records(env: DataFrame, feed: Feed, multi_line: bool = True) -> DataFrame:
+    """One row per record of the envelopes read by :func:`read_envelopes`.
+
+    ``ordinal`` = (file time, file name, block, line, position) orders records of
+    a batch the way they arrived, so keep-last dedupe does not depend on row
+    order after a shuffle; several JSON Lines envelopes of one file stay
+    apart by their line. ``pos`` (position in the envelope) is kept as a number
+    and ``file_time`` as the base of per-record default timestamps. ``record_id``
+    is a hash of file, position and content, the same on every replay.
     """
-    rec = env.select(F.posexplode(F.col(feed.envelope)).alias("pos", "_rec"),
-                     F.col("_metadata.file_modification_time").alias("_mtime"),
-                     F.col("_metadata.file_name").alias("_file"))
+    line = F.lit(0).cast("long") if multi_line else F.monotonically_increasing_id()
+    env = env.select("*", line.alias("_line"))
+    rec = env.select(F.posexplode("_records").alias("pos", "_rec"), "corrupt_record", "file_time", "source_file",
+                     "_block", "_line")
     return rec.select(
-        F.struct("_mtime", "_file", "pos").alias("ordinal"), F.col("pos").cast("long").alias("pos"),
-        F.col("_file").alias("source_file"),
+        F.struct(F.col("file_time").alias("mtime"), F.col("source_file").alias("file"), F.col("_block").alias("block"),
+                 F.col("_line").alias("line"), "pos").alias("ordinal"),
+        F.col("pos").cast("long").alias("pos"), "source_file", "file_time", "corrupt_record",
+        F.xxhash64("source_file", "pos", F.col("_rec").cast("string")).alias("record_id"),
         *[F.try_variant_get(F.col("_rec"), f"$.{f}", "variant").alias(f) for f in feed.fields])
 
 
+def _options(reader, feed: Feed, multi_line: bool):
+    return (reader.schema(envelope_schema(feed)).option("multiLine", multi_line)
+            .option("columnNameOfCorruptRecord", "corrupt_record"))
+
+
 def read_feed(spark: SparkSession, path: str, feed: Feed | str, multi_line: bool = True) -> DataFrame:
     feed = FEEDS[feed] if isinstance(feed, str) else feed
-    env = spark.read.schema(envelope_schema(feed)).option("multiLine", multi_line).json(path)
-    return explode_records(env, feed)
+    return explode_records(_envelopes(_options(spark.read, feed, multi_line).json(path), feed), feed, multi_line)
 
 
-def read_feed_stream(spark: SparkSession, path: str, feed: Feed | str, multi_line: bool = True,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
+def read_envelope_stream(spark: SparkSession, path: str, feed: Feed | str, multi_line: bool = True,
+                         max_files_per_trigger: int | None = None) -> DataFrame:
+    """The landing folder as a stream of envelopes; a micro-batch explodes them with ``explode_records``."""
     feed = FEEDS[feed] if isinstance(feed, str) else feed
-    r = spark.readStream.schema(envelope_schema(feed)).option("multiLine", multi_line)
+    r = _options(spark.readStream, feed, multi_line)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return explode_records(r.json(path), feed)
+    return _envelopes(r.json(path), feed)
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:

@@ -11,25 +11,42 @@ watermark: late records are accepted and appended with their own time.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from corridor.functions import fields as fl
+from corridor.functions.normalize import ZONE_STATUSES
 from corridor.operators import transform as tf
 from corridor.operators import validate as vd
 from corridor.sinks import tables
-from corridor.sources.feeds import FEEDS, read_feed_stream
+from corridor.sources.feeds import FEEDS, explode_records, read_envelope_stream
 
 log = logging.getLogger(__name__)
 
-_KEEP = ("ordinal", "pos", "source_file")
+_KEEP = ("ordinal", "pos", "source_file", "record_id")
 
 
-def process_traffic(batch: DataFrame, batch_id: int, out: str, strict: bool = False) -> dict:
-    valid, rejected = vd.validate_traffic(batch, ts="timestamp", ordinal="pos", keep=_KEEP)
-    loaded = tf.transform_traffic(valid, ts="timestamp", ordinal="ordinal")
+def _with_segment_check(batch: DataFrame, segments: DataFrame | None) -> DataFrame:
+    """Mark records whose segment is in the parent table; the validator rejects the others."""
+    if segments is None:
+        return batch
+    known = segments.select(F.col("segment_id").alias("_segment")).distinct().withColumn("segment_known", F.lit(True))
+    marked = batch.withColumn("_segment", fl.as_long(batch, "segment_id")).join(known, "_segment", "left")
+    # A segment id that is missing or no number has its own rule.
+    return (marked.withColumn("segment_known", F.coalesce("segment_known", F.col("_segment").isNull()))
+            .drop("_segment"))
+
+
+def process_traffic(batch: DataFrame, batch_id: int, out: str, strict: bool = False,
+                    segments: DataFrame | None = None) -> dict:
+    batch = _with_segment_check(batch, segments)
+    batch = batch.withColumn("has_time", fl.present(batch, "timestamp"))
+    valid, rejected = vd.validate_traffic(batch, ts="timestamp", keep=(*_KEEP, "has_time"))
+    loaded = tf.transform_traffic(valid, ts="timestamp", has_time="has_time", keep=("record_id",))
     n = tables.load_traffic_readings(loaded, f"{out}/traffic_readings", batch_id, rejected=rejected, strict=strict)
     return {"loaded": n, "rejected": _quarantine(rejected, out, "traffic", batch_id)}
 
@@ -37,7 +54,7 @@ def process_traffic(batch: DataFrame, batch_id: int, out: str, strict: bool = Fa
 def _quarantine(rejected: DataFrame, out: str, feed: str, batch_id: int) -> int:
     """Rejected records with their reasons (the dead-letter table), as JSON text."""
     cols = [F.col(c).cast("string").alias(c) if c not in ("reason", "pos", "source_file") else F.col(c)
-            for c in rejected.columns if c != "ordinal"]
+            for c in rejected.columns if c not in ("ordinal", "has_time", "segment_known")]
     obs = Observation(f"quarantine_{feed}")
     r = (rejected.select(*cols).withColumn("batch_id", F.lit(int(batch_id)))
          .observe(obs, F.count(F.lit(1)).alias("rows")))
@@ -47,22 +64,22 @@ def _quarantine(rejected: DataFrame, out: str, feed: str, batch_id: int) -> int:
 
 
 def process_weather(batch: DataFrame, batch_id: int, out: str, strict: bool = False) -> dict:
-    valid, rejected = vd.validate_weather(batch, ts="timestamp", ordinal="pos", keep=_KEEP)
-    t = tf.transform_weather(valid, ts="timestamp", keep=["source_file", "pos"])
+    valid, rejected = vd.validate_weather(batch, ts="timestamp", keep=_KEEP)
+    t = tf.transform_weather(valid, ts="timestamp", keep=["source_file", "pos", "record_id"])
     n = tables.load_weather_snapshots(t, f"{out}/weather_snapshots", batch_id, rejected=rejected, strict=strict)
     return {"loaded": n, "rejected": _quarantine(rejected, out, "weather", batch_id)}
 
 
 def process_incidents(batch: DataFrame, batch_id: int, out: str, strict: bool = False) -> dict:
-    valid, rejected = vd.validate_incident(batch, ts="timestamp", ordinal="pos", keep=_KEEP)
-    t = tf.transform_incident(valid, ts="timestamp", keep=["source_file", "pos"])
+    valid, rejected = vd.validate_incident(batch, ts="timestamp", keep=_KEEP)
+    t = tf.transform_incident(valid, ts="timestamp", keep=["source_file", "pos", "record_id"])
     n = tables.load_incidents(t, f"{out}/incidents", batch_id, rejected=rejected, strict=strict)
     return {"loaded": n, "rejected": _quarantine(rejected, out, "incidents", batch_id)}
 
 
 def process_construction(batch: DataFrame, batch_id: int, out: str, strict: bool = False) -> dict:
-    valid, rejected = vd.validate_construction(batch, ordinal="pos", keep=_KEEP)
-    t = tf.transform_construction(valid, keep=["source_file", "pos"])
+    valid, rejected = vd.validate_construction(batch, keep=_KEEP, statuses=ZONE_STATUSES)
+    t = tf.transform_construction(valid, keep=["source_file", "pos", "record_id"])
     n = tables.load_construction_zones(t, f"{out}/construction_zones", batch_id, rejected=rejected, strict=strict)
     return {"loaded": n, "rejected": _quarantine(rejected, out, "construction", batch_id)}
 
@@ -74,72 +91,139 @@ PROCESSORS: dict[str, Callable[..., dict]] = {
 
 
 def write_ingest_log(spark: SparkSession, out: str, feed: str, batch_id: int, res: dict) -> None:
-    """One accounting row per micro-batch (received = loaded + deduped + rejected).
+    """One accounting row per micro-batch: received = loaded + deduped + rejected + parked.
 
     Each feed writes under its own ``ingest_log/feed=<name>`` folder (the feeds'
     queries run concurrently, so they never share a commit directory); read
     ``ingest_log`` as one table partitioned by feed. Keyed by batch_id with
     dynamic partition overwrite, so a replayed batch rewrites its own row.
     """
-    row = [(int(batch_id), int(res["loaded"]), int(res["rejected"]))]
-    (spark.createDataFrame(row, "batch_id long, loaded long, rejected long")
+    loaded, rejected, parked = int(res["loaded"]), int(res["rejected"]), int(res.get("parked", 0))
+    received = int(res.get("received", loaded + rejected + parked))
+    row = [(int(batch_id), received, loaded, received - loaded - rejected - parked, rejected, parked)]
+    (spark.createDataFrame(row, "batch_id long, received long, loaded long, deduped long, rejected long, parked long")
      .withColumn("logged_at", F.current_timestamp())
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(f"{out}/ingest_log/feed={feed}"))
 
 
-def batch_function(feed: str, out: str, strict: bool = False):
-    """The ``foreachBatch`` callback: persist the micro-batch once, then load."""
+def park_batch(batch: DataFrame, out: str, feed: str, batch_id: int) -> int:
+    """Keep a batch that strict loading refused, whole and as text, for a later load."""
+    text = [F.col(c).cast("string").alias(c) for c in batch.columns if c != "ordinal"]
+    (batch.select(*text).withColumn("batch_id", F.lit(int(batch_id)))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(f"{out}/parked/{feed}"))
+    return batch.count()
+
+
+def batch_function(feed: str, out: str, strict: bool = False, segments_path: str | None = None,
+                   multi_line: bool = True):
+    """The ``foreachBatch`` callback: explode and persist the micro-batch once, then load.
+
+    A batch that strict loading refuses is parked, so it does not fail again on
+    every restart. ``segments_path`` names the parent table of the readings' foreign key.
+    """
     proc = PROCESSORS[feed]
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        spark = batch.sparkSession
+        extra = {"segments": spark.read.parquet(segments_path)} if segments_path and feed == "traffic" else {}
+        records = explode_records(batch, FEEDS[feed], multi_line).persist()
         try:
-            res = proc(batch, batch_id, out, strict=strict)
-            write_ingest_log(batch.sparkSession, out, feed, batch_id, res)
+            try:
+                res = proc(records, batch_id, out, strict=strict, **extra)
+            except tables.BatchRejected:
+                log.exception("feed %s batch %s parked", feed, batch_id)
+                res = {"loaded": 0, "rejected": 0, "parked": park_batch(records, out, feed, batch_id)}
+            write_ingest_log(spark, out, feed, batch_id, {**res, "received": records.count()})
             log.info("feed %s batch %s: %s", feed, batch_id, res)
         finally:
-            batch.unpersist()
+            records.unpersist()
     return run
 
 
 def start_feed(spark: SparkSession, feed: str, landing: str, out: str, checkpoint: str,
-               available_now: bool = False, strict: bool = False,
-               max_files_per_trigger: int | None = None) -> StreamingQuery:
+               available_now: bool = False, strict: bool = False, max_files_per_trigger: int | None = None,
+               segments_path: str | None = None, multi_line: bool = True) -> StreamingQuery:
     """Start one feed's ingest; ``available_now`` processes what is there and stops.
 
     ``max_files_per_trigger`` bounds a micro-batch when a backlog of landing
-    files has built up (``availableNow`` still drains it, in several batches).
+    files has built up (``availableNow`` still drains it, in several batches);
+    ``multi_line=False`` reads JSON Lines, one envelope per line.
     """
     spec = FEEDS[feed]
-    stream = read_feed_stream(spark, landing, spec, max_files_per_trigger=max_files_per_trigger)
+    stream = read_envelope_stream(spark, landing, spec, multi_line, max_files_per_trigger)
     w = (stream.writeStream.queryName(f"ingest_{feed}")
          .option("checkpointLocation", checkpoint)
-         .foreachBatch(batch_function(feed, out, strict)))
+         .foreachBatch(batch_function(feed, out, strict, segments_path, multi_line)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=spec.interval)
     return w.start()
 
 
 def start_all(spark: SparkSession, landing_root: str, out: str, checkpoint_root: str,
-              available_now: bool = False, max_files_per_trigger: int | None = None) -> dict[str, StreamingQuery]:
+              available_now: bool = False, **options) -> dict[str, StreamingQuery]:
     """All four feeds, independent queries; a feed that fails to start is logged."""
     queries = {}
     for name in FEEDS:
         try:
             queries[name] = start_feed(spark, name, f"{landing_root}/{name}", out,
-                                       f"{checkpoint_root}/{name}", available_now,
-                                       max_files_per_trigger=max_files_per_trigger)
+                                       f"{checkpoint_root}/{name}", available_now, **options)
         except Exception:  # noqa: BLE001 - isolation: other feeds keep running
             log.exception("feed %s failed to start", name)
     return queries
 
 
+def supervise(start: Callable[[str], StreamingQuery], feeds: Sequence[str] = tuple(FEEDS), max_restarts: int = 5,
+              pause: float = 5.0) -> dict[str, str | None]:
+    """Run all feeds until each ends; a feed that fails is started again, the others go on.
+
+    Returns the last error of every feed, None for one that ended well. A
+    restarted feed goes on from its checkpoint; after ``max_restarts`` failures it
+    is given up.
+    """
+    queries: dict[str, StreamingQuery | None] = {}
+    failures = dict.fromkeys(feeds, 0)
+    outcome: dict[str, str | None] = {}
+
+    def launch(name: str) -> None:
+        try:
+            queries[name] = start(name)
+        except Exception as e:  # noqa: BLE001 - counted like any other failure
+            queries[name], outcome[name] = None, str(e)
+
+    for name in feeds:
+        launch(name)
+    while queries:
+        for name, q in list(queries.items()):
+            error = outcome.get(name)
+            if q is not None:
+                try:
+                    if not q.awaitTermination(0.5):
+                        continue
+                    error = None
+                except Exception as e:  # noqa: BLE001 - the feed's own failure
+                    error = str(e)
+            if error is None:
+                outcome[name] = None
+                del queries[name]
+                continue
+            outcome[name] = error
+            failures[name] += 1
+            log.error("feed %s failed (%s of %s): %s", name, failures[name], max_restarts, error)
+            if failures[name] > max_restarts:
+                del queries[name]
+            else:
+                time.sleep(pause)
+                launch(name)
+    return outcome
+
+
 def main(argv: list[str] | None = None) -> int:
     """Run all feed ingests: ``python -m corridor.streaming.ingest LANDING OUT CHECKPOINTS``.
 
     Periodic by default (each feed at its own cadence, until stopped);
-    ``--available-now`` drains what has landed and exits. Exit code 1 when a
-    feed query failed.
+    ``--available-now`` drains what has landed and exits. A feed that fails is
+    restarted, the others go on. Exit code 1 when a feed was given up.
     """
     import argparse
 
@@ -150,17 +234,21 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("checkpoints", help="folder for the per-feed streaming checkpoints")
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--max-files-per-trigger", type=int, default=None)
+    p.add_argument("--segments", default=None, help="road segment table: readings of other segments are rejected")
+    p.add_argument("--json-lines", action="store_true", help="landing files hold one envelope per line")
+    p.add_argument("--strict", action="store_true", help="park a batch that has any rejected record")
+    p.add_argument("--max-restarts", type=int, default=5)
     a = p.parse_args(argv)
     spark = get_session()
-    queries = start_all(spark, a.landing, a.out, a.checkpoints, available_now=a.available_now,
-                        max_files_per_trigger=a.max_files_per_trigger)
-    failed = False
-    for name, q in queries.items():
-        q.awaitTermination()
-        if q.exception() is not None:
-            log.error("feed %s failed: %s", name, q.exception())
-            failed = True
-    return 1 if failed or len(queries) < len(FEEDS) else 0
+
+    def start(name: str) -> StreamingQuery:
+        return start_feed(spark, name, f"{a.landing}/{name}", a.out, f"{a.checkpoints}/{name}",
+                          available_now=a.available_now, strict=a.strict,
+                          max_files_per_trigger=a.max_files_per_trigger, segments_path=a.segments,
+                          multi_line=not a.json_lines)
+
+    outcome = supervise(start, max_restarts=a.max_restarts)
+    return 1 if any(outcome.values()) else 0
 
 
 if __name__ == "__main__":

@@ -172,7 +172,8 @@ def test_reload_prediction_log_and_score_storage(spark, tmpdir_path):
     scored = spark.createDataFrame([(7, 37.7, -122.4, 37.8, -122.5, 438.75)],
                                    "segment_id long, start_lat double, start_lon double, end_lat double, "
                                    "end_lon double, predicted_time_seconds double")
-    log = sg.prediction_log(scored)
+    log = sg.prediction_log(scored, "run-1")
+    assert log.first().prediction_id != sg.prediction_log(scored, "run-2").first().prediction_id
     lp = os.path.join(tmpdir_path, "predictions")
     at = F.lit(dt.datetime(2024, 1, 1, 12)).cast("timestamp")
     assert tables.append_predictions(log, lp, batch_id=0, at=at) == 1
