@@ -2,10 +2,11 @@
 
 import pytest
 
-import __spark_entry__ as E
+from corridor.plans import catalog
 from tests.conftest import SF_SMALL
 
-QUERIES = E.queries()
+catalog.load_all()
+QUERIES = catalog.QUERIES
 
 
 def _plan(df) -> str:
@@ -30,6 +31,8 @@ def test_group_top1_is_an_aggregate(spark):
         plan = _plan(QUERIES[name](spark, SF_SMALL))
         assert "Window" not in plan and "Aggregate" in plan, (name, plan)
     assert "HashAggregate" in _plan(QUERIES["traffic_dedupe"](spark, SF_SMALL))
+    latest = _plan(QUERIES["latest_reading"](spark, SF_SMALL))
+    assert "HashAggregate" in latest and "SortAggregate" not in latest and "Sort " not in latest
 
 
 def test_point_filter_reaches_scan(spark):
