@@ -41,12 +41,12 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?"
              r"(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,}",
-    "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
+    "ip": rf"(?<!\d)(?<!\d\.)(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "card": r"(?<![\d.+-])(?:\d{13,19}|\d{4} \d{4} \d{4} \d{1,7}|\d{4}-\d{4}-\d{4}-\d{1,7}|3[47]\d{2}[ -]\d{6}[ -]\d{5})(?!\d)",
+    "ssn": r"(?<!\d)(?<!\d-)\d{3}-\d{2}-\d{4}(?!\d|-\d)",
+    "card": r"(?<!\d)(?<!\d[.-])(?:\d{13,19}|\d{4} \d{4} \d{4} \d{1,7}|\d{4}-\d{4}-\d{4}-\d{1,7}|3[47]\d{2}[ -]\d{6}[ -]\d{5})(?!\d)",
     "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)"
-             r"|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\w.+-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])",
+             r"|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<!\w)(?<!\d[.+-])\d{3}[ .-]\d{3}[ .-]\d{4}(?!\w|-\d)",
     "name": r"(?<!\p{L})(?=\p{Lu}\p{Ll}+ \p{Lu})(?:" + "|".join(n for ns in GIVEN.values() for n in ns)
             + r") \p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?(?!\p{L})",
 }

@@ -97,6 +97,12 @@ def test_clean_text_is_left_alone(spark):
     assert [r.text for r in replaced(spark, texts)] == texts
 
 
+def test_punctuation_around_entities(spark):
+    for text in ("end.4524132264652876", "x-10.1.2.3-", ".555-123-4567.", "-123-45-6789-", "...a@b.example.com***", "(4111-1111-1111-1111)"):
+        (r,) = replaced(spark, [text])
+        assert r.n_entities == 1 and r.text != text and len(r.text) >= len(text) - 6, (text, r.text)
+
+
 def test_query_replaces_everything_on_the_table(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     got = {r.doc_id: r for r in op10_pii(spark, SF_SMALL).collect()}
