@@ -157,7 +157,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
 
 
-def fit(rows: DataFrame, k: int = 10, target_recall: float = 0.97, sample_rows: int = SAMPLE_ROWS) -> KMeansTree:
+def fit(rows: DataFrame, k: int = 10, target_recall: float = 0.99, sample_rows: int = SAMPLE_ROWS) -> KMeansTree:
     """Fit and calibrate on at most about ``sample_rows`` rows chosen by a hash of the id."""
     n = rows.count()
     if n == 0:
@@ -256,7 +256,7 @@ def search(index: DataFrame, queries: DataFrame, tree: KMeansTree, k: int = 10)
 
 
 def nearest_neighbours(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", embedding: str = "embedding",
-                       k: int = 10, target_recall: float = 0.97) -> DataFrame:
+                       k: int = 10, target_recall: float = 0.99) -> DataFrame:
     """Fit, index every row and search for the rows that ``is_query`` (a condition on vec_id) picks."""
     rows = usable(vectors, vec_id, embedding)
     tree = fit(rows, k, target_recall)
