@@ -10,9 +10,9 @@ Nearest-neighbour join (``nearest_join``), exact, without a cross join:
    smaller id). Every snapshot at a location has the same distance to any
    query point, so only that row can win. This is a partial aggregate.
 2. Locations are put on a square grid: the largest power-of-two cell size
-   whose fullest cell holds at most ``max_cell`` locations (all sizes tested
-   in one job), so a dense city cannot turn one cell into an all-pairs hot
-   spot.
+   at which nearly all cells hold at most ``max_cell`` locations and none holds
+   very many (all sizes tested in one job), so a dense city neither turns one
+   cell into an all-pairs hot spot nor makes the cells small everywhere.
 3. First pass: each query point probes its 3x3 block of cells through an
    equi-join on the cell key. A point whose best candidate lies within one
    cell width of it is final: every location outside the block is farther.
@@ -93,27 +93,33 @@ def _cell(c: Column, size: float) -> Column:
 
 
 def choose_grid(locs: DataFrame, x: str, y: str, max_cell: int = 64,
-                sizes: tuple[float, ...] = tuple(2.0 ** k for k in range(10, -25, -1))):
+                sizes: tuple[float, ...] = tuple(2.0 ** k for k in range(10, -25, -1)),
+                dense_cell: int = 1024, dense_share: float = 0.02):
     """Pick the grid in one job: the largest power-of-two cell size (degrees)
-    whose fullest cell holds at most ``max_cell`` locations.
+    at which nearly all cells hold at most ``max_cell`` locations.
+
+    Up to ``dense_share`` of the occupied cells may hold more, ``dense_cell`` at
+    most: one dense city does not make every cell small and leave the
+    sparse rest to the far pass, and still no cell turns into an all-pairs hot spot.
 
     Returns ``(size, cx0, cx1, cy0, cy1)`` (cell extents of the locations) or
     None when there is no location. Large cells settle more points in the
-    first pass; the occupancy bound keeps any one cell (a dense city) from
-    turning into an all-pairs hot spot. If even the finest size is over-full, the finest is
+    first pass. If even the finest size is over-full, the finest is
     used (locations are distinct points, so cells that small are rare).
     """
     arr = F.array(*[F.lit(v) for v in sizes])
     cand = locs.select(F.posexplode(arr).alias("k", "_s"), x, y)
     per_cell = cand.groupBy("k", F.floor(F.col(x) / F.col("_s")).alias("cx"),
                             F.floor(F.col(y) / F.col("_s")).alias("cy")).count()
-    rows = per_cell.groupBy("k").agg(F.max("count").alias("m"), F.min("cx").alias("cx0"),
+    rows = per_cell.groupBy("k").agg(F.max("count").alias("m"), F.count(F.lit(1)).alias("cells"),
+                                     F.count_if(F.col("count") > max_cell).alias("over"), F.min("cx").alias("cx0"),
                                      F.max("cx").alias("cx1"), F.min("cy").alias("cy0"),
                                      F.max("cy").alias("cy1")).collect()
     if not rows:
         return None
     by_k = {r.k: r for r in rows}
-    ok = [k for k in sorted(by_k) if by_k[k].m <= max_cell]
+    ok = [k for k in sorted(by_k) if by_k[k].m <= max_cell
+          or (by_k[k].m <= max(dense_cell, max_cell) and by_k[k].over <= dense_share * by_k[k].cells)]
     k = ok[0] if ok else max(by_k)
     r = by_k[k]
     return sizes[k], r.cx0, r.cx1, r.cy0, r.cy1

@@ -179,3 +179,19 @@ def test_upsert_keeps_the_last_of_repeated_keys(spark):
                        (1L, 'y', TIMESTAMP '2024-02-01', TIMESTAMP '2024-02-01', 2) AS t(id, status, created_at, updated_at, ordinal)""")
     out = tables.upsert_touch(base, inc, "id").collect()
     assert len(out) == 1 and out[0].status == "y"
+
+
+def test_knn_with_one_dense_cluster(spark):
+    """A dense cluster leaves the grid coarse, and the join stays exact."""
+    import random
+    rng = random.Random(6)
+    stations = [(i, rng.uniform(-60, 60), rng.uniform(-120, 120)) for i in range(800)]
+    stations += [(1000 + i, 10 + rng.random() * 2e-4, 20 + rng.random() * 2e-4) for i in range(200)]
+    points = [(i, rng.uniform(-60, 60), rng.uniform(-120, 120)) for i in range(300)] + [(900, 10.0001, 20.0001)]
+    st = spark.createDataFrame(stations, "id string, latitude double, longitude double").withColumn(
+        "timestamp", F.lit("2024-01-01").cast("timestamp"))
+    pt = spark.createDataFrame(points, "pid long, py double, px double")
+    assert spatial.choose_grid(st, "longitude", "latitude")[0] >= 1.0
+    got = {r.pid: r.id for r in spatial.nearest_join(pt, st, "pid", "px", "py").collect()}
+    want = {p: str(min(stations, key=lambda s: ((s[1] - y) ** 2 + (s[2] - x) ** 2, str(s[0])))[0]) for p, y, x in points}
+    assert got == want
