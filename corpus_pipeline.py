@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from corridor.llm import bpe, decontaminate, langid, ngram_join, pii
 from corridor.llm.queries import SURROGATE_KEY, tokenizer_path
-from corridor.llm.storage import materialise, table
+from corridor.llm.storage import materialise, small_side, table
 
 MIN_LANGUAGE_SCORE = 0.35
 
@@ -25,7 +25,18 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of linked documents: the one that names the group."""
+    """Keep one document of each group of linked documents: the one that names the group.
+
+    Rows repeated under one id with one text are copies too, and one of them stays.
+    Documents without an id cannot be told apart: they stay if one of them does.
+    """
+    ids = docs.groupBy(F.col("doc_id").alias("again")).count().where("count > 1").select("again")
+    ids = materialise(ids, "repeated")
+    n = ids.count()
+    if n:
+        same = F.col("doc_id").eqNullSafe(F.col("again"))
+        once = docs.join(small_side(ids, n), same, "left_anti")
+        docs = once.unionByName(docs.join(small_side(ids, n), same, "left_semi").dropDuplicates(["doc_id", "text"]))
     groups = ngram_join.link_components(docs).select("doc_id", "component_id")
     stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stays")).distinct()
     return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("stays")), "left_semi")
