@@ -8,8 +8,10 @@ prefix, an e-mail the shape of its local part, a name its gender and script.
 Coreference: the replacement depends on the key and on the entity's normal form
 only, so one entity reads the same everywhere. Distinctness: the replacements of
 all distinct entities are compared with each other and with the originals; an
-entity that would collide draws again until none does. Texts without entities
-are passed through and never shuffled.
+entity that would collide draws again until none does. A format can be full (all
+65,536 addresses of 192.168 in one corpus): after ``REDRAWS`` draws a
+replacement leaves its range or grows by one character a draw, so drawing
+always ends. Texts without entities are passed through and never shuffled.
 
 Defined results: null and empty texts stay as they are; repeated rows give one
 row each; input columns stay, except that columns named like an output
@@ -38,6 +40,7 @@ SYLLABLES = {
 }
 # The patterns of each kind, tried in this order.
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_SEVEN_DIGITS = r"(?<=" + r"\d[ .()-]{0,2}" * 6 + r"\d)"     # a number with a country code has seven digits at least
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?"
              r"(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,}",
@@ -45,12 +48,13 @@ PATTERNS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ssn": r"(?<!\d)(?<!\d-)\d{3}-\d{2}-\d{4}(?!\d|-\d)",
     "card": r"(?<!\d)(?<!\d[.-])(?:\d{13,19}|\d{4} \d{4} \d{4} \d{1,7}|\d{4}-\d{4}-\d{4}-\d{1,7}|3[47]\d{2}[ -]\d{6}[ -]\d{5})(?!\d)",
-    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)"
+    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)" + _SEVEN_DIGITS +
              r"|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<!\w)(?<!\d[.+-])\d{3}[ .-]\d{3}[ .-]\d{4}(?!\w|-\d)",
     "name": r"(?<!\p{L})(?=\p{Lu}\p{Ll}+ \p{Lu})(?:" + "|".join(n for ns in GIVEN.values() for n in ns)
             + r") \p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?(?!\p{L})",
 }
 KINDS = tuple(PATTERNS)
+REDRAWS = 6                # draws within the original's own format, before a replacement may grow
 
 
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -118,19 +122,27 @@ def _luhn(digits: Column, doubled_from_right: int) -> Column:
 def _surrogate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
     """Replacement of a normal form, itself a normal form."""
     h = _hash(key, kind, norm, attempt)
-    longer = F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(attempt, F.lit(1))), lambda i: F.when(
-        attempt > 0, F.char(_byte(h, 31 - i) % 26 + 97)).otherwise("")), "")
+    over = F.greatest(attempt - REDRAWS, F.lit(0))
+    extra = lambda n, piece: F.array_join(F.transform(
+        F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.when(n > 0, piece(_byte(h, 31 - i))).otherwise("")), "")
+    longer = extra(attempt, lambda b: F.char(b % 26 + 97))
+    digits = extra(over, lambda b: (b % 10).cast("string"))
     local, domain = F.substring_index(norm, "@", 1), F.substring_index(norm, "@", -1)
     d = _hash(key, F.lit("domain"), domain)
     email = F.concat(_reshape(local, h), longer, F.lit("@"), *[F.char(_byte(d, i) % 26 + 97) for i in range(8)],
                      F.lit(".example."), F.when(domain.rlike(r"\.(org|edu|gov)$"), "org").otherwise("net"))
     private = F.regexp_extract(norm, r"^(10\.|127\.|192\.168\.|169\.254\.|172\.(?:1[6-9]|2\d|3[01])\.)", 1)
+    private = F.when((private != "") & (over > 0), "10.").otherwise(private)
     missing = 4 - F.size(F.split(private, r"\.")) + 1
     octets = F.array_join(F.slice(F.array(*[(_byte(h, i) % 254 + 1).cast("string") for i in range(4)]), F.lit(1), missing), ".")
     public = F.concat(F.element_at(F.array(*[F.lit(str(x)) for x in (11, 23, 45, 62, 81, 93, 104, 130, 141, 155, 163, 178, 194, 203, 212, 217)]),
                                    _byte(h, 9) % 16 + 1), F.lit("."),
                       F.array_join(F.array(*[(_byte(h, i) % 254 + 1).cast("string") for i in range(3)]), "."))
-    ip = F.when(private != "", F.concat(private, octets)).otherwise(public)
+    wide = F.array_join(F.array(*[(_byte(h, i) % n + 1).cast("string") for i, n in enumerate((223, 254, 254, 254))]), ".")
+    # The last resort, where nearly all IPv4 addresses occur: an address of the IPv6 documentation range.
+    six = F.concat(F.lit("2001:db8:"), F.array_join(F.array(*[F.substring(h, 4 * i + 1, 4) for i in range(6)]), ":"))
+    ip = (F.when(over > 2 * REDRAWS, six).when((over > REDRAWS) | ((private == "") & (over > 0)), wide)
+          .when(private != "", F.concat(private, octets)).otherwise(public))
     # A national number keeps its length and starts with 2..9, as area codes do.
     rest = F.substring_index(norm, "|", -1)
     phone = F.concat(F.substring_index(norm, "|", 1), F.lit("|"), (_byte(h, 30) % 8 + 2).cast("string"),
@@ -148,22 +160,28 @@ def _surrogate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
     stem = lambda script, i: F.concat(_pick(h, i, SYLLABLES[script]), F.lower(_pick(h, i + 1, SYLLABLES[script])))
     ending = F.when(female, "ова").otherwise("ов")
     twin = lambda one, other: F.when(attempt > 1, F.concat(one, F.lit("-"), other)).otherwise(one)
-    surname = F.when(cyrillic, twin(F.concat(stem("cyrillic", 1), ending), F.concat(stem("cyrillic", 3), ending))
-                     ).otherwise(twin(F.concat(stem("latin", 1), F.lit("ton")), F.concat(stem("latin", 3), F.lit("ley"))))
+    more = lambda script: extra(over, lambda b: F.lower(F.element_at(
+        F.array(*map(F.lit, SYLLABLES[script])), b % len(SYLLABLES[script]) + 1)))
+    surname = F.when(cyrillic, twin(F.concat(stem("cyrillic", 1), more("cyrillic"), ending), F.concat(stem("cyrillic", 3), ending))
+                     ).otherwise(twin(F.concat(stem("latin", 1), more("latin"), F.lit("ton")), F.concat(stem("latin", 3), F.lit("ley"))))
     name = F.concat(first, F.lit(" "), surname)
-    return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "phone", phone).when(kind == "card", card)
-            .when(kind == "iban", iban).when(kind == "name", name).otherwise(_reshape(norm, h)))
+    return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "name", name).otherwise(F.concat(
+        F.when(kind == "phone", phone).when(kind == "card", card).when(kind == "iban", iban).otherwise(_reshape(norm, h)),
+        digits)))
 
 
 def _lay_out(kind: Column, raw: Column, surrogate: Column) -> Column:
-    """The surrogate in the layout of this mention: its characters take the places of the original's."""
+    """The surrogate in the layout of this mention: its characters take the places of the original's.
+
+    What a grown surrogate has more than the original follows at the end.
+    """
     flat = F.replace(surrogate, F.lit("|"), F.lit(""))
     fills = lambda cls: F.aggregate(
         F.split(raw, ""), F.struct(F.lit(0).alias("i"), F.lit("").alias("out")),
         lambda s, c: F.when(c.rlike(cls), F.struct(
             (s["i"] + 1).alias("i"), F.concat(s["out"], flat.substr(s["i"] + 1, F.lit(1))).alias("out"))
         ).otherwise(F.struct(s["i"].alias("i"), F.concat(s["out"], c).alias("out"))),
-        lambda s: s["out"])
+        lambda s: F.concat(s["out"], flat.substr(s["i"] + 1, F.length(flat))))
     return (F.when(kind.isin("email", "ip", "name"), surrogate).when(kind == "iban", fills("[A-Z0-9]"))
             .otherwise(fills("[0-9]")))
 

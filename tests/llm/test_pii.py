@@ -81,6 +81,32 @@ def test_table_without_collisions_where_draws_collide(spark):
     plain_table(rows)
 
 
+def test_full_formats_end_the_drawing(spark):
+    """Every value of a format occurs as an original: replacements grow, stay distinct and are no originals."""
+    found = spark.createDataFrame([("phone", f"2|{i:02d}") for i in range(100)] + [("ssn", f"{i:02d}") for i in range(100)]
+                                  + [("name", f"Anna X{i}") for i in range(6000)], "kind string, norm string")
+    rows = [(r.kind, r.norm, r.surrogate) for r in pii.surrogate_table(found, KEY).collect()]
+    assert len(rows) == found.count()
+    plain_table(rows)
+    assert all(s.startswith("2|") and len(s) > 4 for k, _, s in rows if k == "phone")
+
+
+def test_full_address_ranges(spark):
+    """Late draws leave a full range: private addresses go to 10.x, then anywhere, at last to IPv6."""
+    draws = spark.createDataFrame([("192.168.4.7", n) for n in (0, 6, 7, 12, 13, 18, 19)] + [("8.8.4.4", n) for n in (0, 7, 19)],
+                                  "norm string, attempt int")
+    got = {(r.norm[0], r.attempt): r.s for r in draws.select("norm", "attempt", pii._surrogate(
+        KEY, F.lit("ip"), F.col("norm"), F.col("attempt")).alias("s")).collect()}
+    assert all(got["1", n].startswith("192.168.") for n in (0, 6)) and all(got["1", n].startswith("10.") for n in (7, 12))
+    assert all(re.fullmatch(r"(\d{1,3}\.){3}\d{1,3}", s) for (_, n), s in got.items() if n < 19)
+    assert all(s.startswith("2001:db8:") for (_, n), s in got.items() if n == 19)
+
+
+def test_grown_surrogate_follows_the_layout(spark):
+    (r,) = spark.range(1).select(pii._lay_out(F.lit("phone"), F.lit("+2 00-11"), F.lit("2|345678")).alias("s")).collect()
+    assert r.s == "+2 34-5678"
+
+
 def test_edges(spark):
     schema = "doc_id long, text string, kinds string, body int, found string"
     long = "word " * 100_000 + "x@example.com"
@@ -93,7 +119,7 @@ def test_edges(spark):
 
 
 def test_clean_text_is_left_alone(spark):
-    texts = ["The year 2024 and 3.14, version 1.2.3 of it; 10-20 people @ noon", "id 123456 / 99-12-2020", "v1.2.3.4.5", "a+b=c", "1 234 567"]
+    texts = ["The year 2024 and 3.14, version 1.2.3 of it; 10-20 people @ noon", "id 123456 / 99-12-2020", "v1.2.3.4.5", "a+b=c", "1 234 567", "+25000 users", "+1 23 45-6 7 8 9"]
     assert [r.text for r in replaced(spark, texts)] == texts
 
 
