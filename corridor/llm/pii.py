@@ -13,8 +13,9 @@ entity that would collide draws again until none does. A format can be full (all
 replacement leaves its range or grows by one character a draw, so drawing
 always ends. Texts without entities are passed through and never shuffled.
 
-Defined results: null and empty texts stay as they are; repeated rows give one
-row each; input columns stay, except that columns named like an output
+Defined results: null and empty texts stay as they are; texts and entities may
+be of any length (a chain of more labels than a host name can have is no
+host); repeated rows give one row each; input columns stay, except that columns named like an output
 (``n_entities``, ``kinds``) are replaced; an empty table gives an empty result.
 """
 
@@ -38,12 +39,13 @@ SYLLABLES = {
     "latin": ("Bar", "Cal", "Den", "Fal", "Gor", "Hal", "Kel", "Lor", "Mar", "Nor", "Pel", "Ros", "Sal", "Tor", "Vel", "Wen"),
     "cyrillic": ("Бар", "Вол", "Гор", "Дор", "Зар", "Кал", "Лес", "Мор", "Нов", "Пол", "Рог", "Сол", "Тур", "Чер", "Шил", "Яр"),
 }
-# The patterns of each kind, tried in this order.
+# The patterns of each kind, tried in this order. A group repeats a bounded number of times only (a host
+# name has at most 127 labels): the regex engine recurses once per round, and its stack is an executor's.
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _SEVEN_DIGITS = r"(?<=" + r"\d[ .()-]{0,2}" * 6 + r"\d)"     # a number with a country code has seven digits at least
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?"
-             r"(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,}",
+             r"(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?){0,126}\.[A-Za-z]{2,}",
     "ip": rf"(?<!\d)(?<!\d\.)(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ssn": r"(?<!\d)(?<!\d-)\d{3}-\d{2}-\d{4}(?!\d|-\d)",

@@ -123,6 +123,12 @@ def test_clean_text_is_left_alone(spark):
     assert [r.text for r in replaced(spark, texts)] == texts
 
 
+def test_very_long_entities(spark):
+    texts = ["x@" + "a." * 60_000 + "com", "x@" + "a-" * 60_000 + "b.com", "a." * 60_000 + "b@c.com", "1" * 200_000,
+             "+1 22" + " 333" * 50_000, "Anna B" + "c" * 100_000, "AB12 " + "ABCD " * 60_000]
+    assert [r.n_entities for r in replaced(spark, texts)] == [0, 1, 1, 0, 1, 1, 1]
+
+
 def test_punctuation_around_entities(spark):
     for text in ("end.4524132264652876", "x-10.1.2.3-", ".555-123-4567.", "-123-45-6789-", "...a@b.example.com***", "(4111-1111-1111-1111)"):
         (r,) = replaced(spark, [text])
