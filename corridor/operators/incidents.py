@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corridor.functions import fields as fl
 from corridor.functions import geometry as geo
 from corridor.functions.normalize import SEVERITIES
 
@@ -33,6 +34,17 @@ def incident_filters(severity: str | None = None, box=None, status: str = "activ
     return reduce(lambda a, b: a & b, preds)
 
 
+def raw_in_box(raw: DataFrame, box) -> DataFrame:
+    """Raw records whose own coordinates lie in ``box``, ahead of validation.
+
+    Validation keeps coordinates as they are, so of the valid incidents none in
+    the box is lost; the rules then run on the box's records only. On numeric
+    columns of a stored table the ranges reach the parquet scan.
+    """
+    geo.check_box(*box)
+    return raw.filter(geo.point_in_box(fl.as_double(raw, "longitude"), fl.as_double(raw, "latitude"), box))
+
+
 def active_incidents(incidents: DataFrame, severity: str | None = None, box=None) -> DataFrame:
     """Active incidents, newest first (ties by id for a stable order)."""
     order = [F.col("created_at").desc()] + ([F.col("incident_id")] if "incident_id" in incidents.columns else [])

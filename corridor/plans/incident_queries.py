@@ -16,13 +16,15 @@ _BOX_SQL = "longitude BETWEEN -12245e-2 AND -12235e-2 AND latitude BETWEEN 3772e
 SEVERITY_FILTER = "high"
 
 
-def validated_incidents(spark, sf):
-    return validate.validate_incident(view(spark, sf, "raw_incidents"), ts="created_at",
-                                      keep=("incident_id",)).valid
+def validated_incidents(spark, sf, box=None):
+    raw = view(spark, sf, "raw_incidents")
+    if box is not None:
+        raw = inc.raw_in_box(raw, box)
+    return validate.validate_incident(raw, ts="created_at", keep=("incident_id",)).valid
 
 
-def incident_table(spark, sf):
-    return transform.transform_incident(validated_incidents(spark, sf), ts="created_at", keep=["incident_id"])
+def incident_table(spark, sf, box=None):
+    return transform.transform_incident(validated_incidents(spark, sf, box), ts="created_at", keep=["incident_id"])
 
 
 def _clean(c: str) -> str:
@@ -81,7 +83,7 @@ def q_incident_transform(spark, sf):
 @register("incidents_in_viewport", IV_SQL + f"SELECT incident_id, severity, status, longitude, latitude "
           f"FROM it WHERE {_BOX_SQL}")
 def q_incidents_in_viewport(spark, sf):
-    t = incident_table(spark, sf).select("incident_id", "severity", "status", "longitude", "latitude")
+    t = incident_table(spark, sf, INCIDENT_BOX).select("incident_id", "severity", "status", "longitude", "latitude")
     return spatial.within_box(t, INCIDENT_BOX)
 
 
@@ -96,7 +98,7 @@ def q_active_incidents(spark, sf):
 @register("active_incidents_filtered", IV_SQL + f"SELECT {_ACTIVE_COLS} FROM it WHERE status = 'active' "
           f"AND severity = '{SEVERITY_FILTER}' AND {_BOX_SQL}")
 def q_active_incidents_filtered(spark, sf):
-    t = incident_table(spark, sf)
+    t = incident_table(spark, sf, INCIDENT_BOX)
     return inc.active_incidents(t, severity=SEVERITY_FILTER, box=INCIDENT_BOX).select(*_ACTIVE_COLS.split(", "))
 
 
