@@ -1,7 +1,7 @@
 """Surrogates for personal data, in DataFrame operations only.
 
 Detected entities get keyed replacements of their own type: digits keep their
-layout, a phone number its country code, a card its first digit and (where the
+layout, a phone number its country code or leading 0, a card its first digit and (where the
 original has one) a valid check digit, an address of a private network its
 prefix, an e-mail the shape of its local part, a name its gender and script.
 
@@ -43,15 +43,22 @@ SYLLABLES = {
 # name has at most 127 labels): the regex engine recurses once per round, and its stack is an executor's.
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _SEVEN_DIGITS = r"(?<=" + r"\d[ .()-]{0,2}" * 6 + r"\d)"     # a number with a country code has seven digits at least
+_GROUP = r"(?:\d{2,4}|\d(?=[ .-]?\d{2}))"                   # one digit counts as an early group before a longer one
+# National numbers with the trunk prefix 0: pairs (no more of them around), area and two groups, area and subscriber.
+_TRUNK = (r"(?<!\w)(?<!\d[.+/-])(?:(?<!\d )0[1-9](?:[ .-]\d{2}){4}(?! \d{2}(?!\d))|0[1-9]\d{0,3}[ -]\d{3,4}[ -]\d{4}"
+          r"|0[1-9]\d{2,3}[ -]\d{3}[ -]\d{3}|0[1-9]\d{1,3}[ /-]\d{6,8})(?!\w|[./-]\d)")
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?"
              r"(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?){0,126}\.[A-Za-z]{2,}",
     "ip": rf"(?<!\d)(?<!\d\.)(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?|(?: ?[A-Z0-9]{4}){2} ?[A-Z0-9]{3})"
+            r"(?![A-Za-z0-9])",
     "ssn": r"(?<!\d)(?<!\d-)\d{3}-\d{2}-\d{4}(?!\d|-\d)",
     "card": r"(?<!\d)(?<!\d[.-])(?:\d{13,19}|\d{4} \d{4} \d{4} \d{1,7}|\d{4}-\d{4}-\d{4}-\d{1,7}|3[47]\d{2}[ -]\d{6}[ -]\d{5})(?!\d)",
-    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)" + _SEVEN_DIGITS +
-             r"|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<!\w)(?<!\d[.+-])\d{3}[ .-]\d{3}[ .-]\d{4}(?!\w|-\d)",
+    "phone": rf"(?<![\w+])\+\d{{1,3}}[ .-]?(?:\(\d{{1,4}}\)[ .-]?)?{_GROUP}[ .-]?{_GROUP}(?:[ .-]?\d{{2,4}}){{0,3}}(?!\d)"
+             + _SEVEN_DIGITS +
+             r"|(?<!\w)(?:1[.-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
+             r"|(?<!\w)(?<!\d[.+-])(?:1[.-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?!\w|-\d)|" + _TRUNK,
     "name": r"(?<!\p{L})(?=\p{Lu}\p{Ll}+ \p{Lu})(?:" + "|".join(n for ns in GIVEN.values() for n in ns)
             + r") \p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?(?!\p{L})",
 }
@@ -78,7 +85,9 @@ def _digits(raw: Column) -> Column:
 def _normal(kind: Column, raw: Column) -> Column:
     """The form under which two mentions are one entity."""
     country = F.regexp_extract(raw, r"^\+(\d{1,3})(?=[ .(-])", 1)
-    code = F.when(raw.startswith("+") & (country == ""), F.substring(raw, 2, 1)).otherwise(country)
+    # The 1 of a North American and the 0 of a national number stand where a country code does.
+    prefix = F.regexp_extract(raw, r"^(?:1(?=(?:[.-]\d|[.-]?\()\d{2,3}\)?[ .-]?\d{3}[ .-]\d{4}$)|0(?=[1-9]))", 0)
+    code = F.when(raw.startswith("+") & (country == ""), F.substring(raw, 2, 1)).when(country == "", prefix).otherwise(country)
     phone = F.concat(code, F.lit("|"), _digits(raw).substr(F.length(code) + 1, F.lit(40)))
     return (F.when(kind == "email", F.lower(raw)).when(kind.isin("ip", "name"), raw)
             .when(kind == "iban", F.replace(raw, F.lit(" "), F.lit(""))).when(kind == "phone", phone).otherwise(_digits(raw)))

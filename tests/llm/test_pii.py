@@ -135,6 +135,31 @@ def test_punctuation_around_entities(spark):
         assert r.n_entities == 1 and r.text != text and len(r.text) >= len(text) - 6, (text, r.text)
 
 
+def test_national_and_grouped_numbers(spark):
+    numbers = ["+33 1 23 45 67 89", "+55 11 9 1234-5678", "+33 (0)1 23 45 67 89", "((988) 555-2485)", "1-988-555-2485", "1.988.555.2485",
+               "1(988)555-2485", "(988)-555-2485", "020 7946 0958", "030 1234567", "01 23 45 67 89", "01632 960 123",
+               "NO93 8601 1117 947", "NO9386011117947"]
+    rows = replaced(spark, [f"say {x}, please" for x in numbers])
+    for x, r in zip(numbers, rows):
+        new = r.text[len("say "):-len(", please")]
+        assert r.n_entities == 1 and r.kinds == ["iban" if x.startswith("NO") else "phone"], (x, r)
+        assert new != x and re.sub(r"[\dA-Z]", "0", new) == re.sub(r"[\dA-Z]", "0", x), (x, new)
+        kept = re.match(r"\+\d+|1(?=[.(-])|0|NO|", x)[0]
+        assert new.startswith(kept), (x, new)
+
+
+def test_one_north_american_number_in_all_layouts(spark):
+    (r,) = replaced(spark, ["+1 988 555 2485 1-988-555-2485 1.988.555.2485 1(988) 555-2485"])
+    layouts = re.fullmatch(r"\+(1 \d{3} \d{3} \d{4}) (1-\d{3}-\d{3}-\d{4}) (1\.\d{3}\.\d{3}\.\d{4}) (1\(\d{3}\) \d{3}-\d{4})", r.text)
+    assert r.n_entities == 4 and len({re.sub(r"\D", "", x) for x in layouts.groups()}) == 1
+
+
+def test_numbers_like_phones_stay(spark):
+    texts = ["01.02.2024 10:30", "2024-01-02 03", "01-02-2024", "01 02 03 04 05 06 07 08", "+1 23 45-6 7", "v1.988.555.2485",
+             "0.123 456 789", "1.234.567", "AB12 3456 7890", "007 1234"]
+    assert [r.text for r in replaced(spark, texts)] == texts
+
+
 def test_query_replaces_everything_on_the_table(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     got = {r.doc_id: r for r in op10_pii(spark, SF_SMALL).collect()}
