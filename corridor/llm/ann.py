@@ -4,7 +4,8 @@ The tree is fitted on a bounded sample; every row is then assigned to a leaf.
 A query walks the tree best bin first: a priority queue of branches by the
 distance to their centre. How many leaves it visits is calibrated: on sample
 queries the visits widen until their neighbours in the sample are found with
-the target recall. Visited leaves are compared exactly, in blocks of bounded
+the target recall; where the leaves visited hold fewer rows than asked for, it
+goes on. Visited leaves are compared exactly, in blocks of bounded
 size, with distances from the original vectors in double precision.
 
 Defined results: vectors that are null, zero, of another length than most,
@@ -58,14 +59,21 @@ class KMeansTree:
             todo += [(kid, rows[near == k]) for k, kid in enumerate(self.kids[node])]
         return out
 
-    def best_bins(self, q: np.ndarray, visits: int) -> list[int]:
-        """The first ``visits`` leaves that the priority queue reaches."""
+    def best_bins(self, q: np.ndarray, visits: int, least: int = 0, rows: np.ndarray | None = None,
+                  own: dict[int, int] | None = None) -> list[int]:
+        """The first ``visits`` leaves that the priority queue reaches, and more until they hold ``least`` rows.
+
+        ``rows`` counts the rows of each leaf, ``own`` those among them that are no candidates.
+        """
         out: list[int] = []
+        reached = 0
         queue = [(0.0, 0)]
-        while queue and len(out) < visits:
+        while queue and (len(out) < visits or reached < least):
             _, node = heapq.heappop(queue)
             if not self.kids[node]:
                 out.append(self.leaf_no[node])
+                if least:
+                    reached += int(rows[out[-1]]) - own.get(out[-1], 0)
                 continue
             d = ((self.centers[node] - q) ** 2).sum(axis=1)
             for k, kid in enumerate(self.kids[node]):
@@ -185,21 +193,35 @@ def build_index(rows: DataFrame, tree: KMeansTree) -> DataFrame:
     return materialise(rows.mapInArrow(run, "vec_id long, v array<double>, leaf long"), "index")
 
 
-def _visits(queries: DataFrame, tree: KMeansTree) -> DataFrame:
-    """(query_no, query_id, q, leaf): each query with the leaves it visits."""
-    shared = queries.sparkSession.sparkContext.broadcast(tree)
+def _visits(queries: DataFrame, index: DataFrame, tree: KMeansTree, k: int) -> DataFrame:
+    """(query_no, query_id, q, leaf): each query with the leaves it visits.
+
+    Leaves of few rows are not enough after the calibrated visits: a query goes on until
+    ``k`` rows of other ids are reached or no leaf is left.
+    """
+    held = index.groupBy("leaf").count().collect()
+    rows = np.zeros(tree.leaves, np.int64)
+    for r in held:
+        rows[r["leaf"]] = r["count"]
+    asking = queries.select(F.col("query_id").alias("vec_id")).distinct()
+    own = index.select("vec_id", "leaf").join(asking, "vec_id", "left_semi").groupBy("vec_id", "leaf").agg(
+        F.count("*").alias("n")).groupBy(F.col("vec_id").alias("query_id")).agg(F.collect_list(F.struct("leaf", "n")).alias("own"))
+    shared = queries.sparkSession.sparkContext.broadcast((tree, rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, rows = shared.value
         for b in batches:
             for at in range(0, len(b), 256):
                 part = b.slice(at, 256)
-                leaves = [shared.value.best_bins(q, shared.value.visits) for q in _matrix(part.column(2))]
-                rows = pa.array(np.repeat(np.arange(len(part)), [len(x) for x in leaves]))
+                leaves = [tree.best_bins(q, tree.visits, k, rows, {x["leaf"]: x["n"] for x in mine or ()})
+                          for q, mine in zip(_matrix(part.column(2)), part.column(3).to_pylist())]
+                again = pa.array(np.repeat(np.arange(len(part)), [len(x) for x in leaves]))
                 yield pa.RecordBatch.from_arrays(
-                    [*(c.take(rows) for c in part.columns), pa.array([x for xs in leaves for x in xs], pa.int64())],
+                    [*(c.take(again) for c in part.columns[:3]), pa.array([x for xs in leaves for x in xs], pa.int64())],
                     ["query_no", "query_id", "q", "leaf"])
 
-    return queries.mapInArrow(run, "query_no long, query_id long, q array<double>, leaf long")
+    return (queries.join(own, "query_id", "left").select("query_no", "query_id", "q", "own")
+            .mapInArrow(run, "query_no long, query_id long, q array<double>, leaf long"))
 
 
 def nearest_in_block(ids: np.ndarray, x: np.ndarray, own: int, q: np.ndarray, k: int) -> list[tuple[float, int]]:
@@ -224,7 +246,7 @@ def search(index: DataFrame, queries: DataFrame, tree: KMeansTree, k: int = 10)
     """
     q = queries.dropDuplicates().select(F.xxhash64("vec_id", "v").alias("query_no"),
                                         F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
-    visits = materialise(_visits(q, tree), "visits")
+    visits = materialise(_visits(q, index, tree, k), "visits")
     cuts = lambda df, n, name: df.groupBy("leaf").agg(F.ceil(F.count("*") / n).alias(name))
     sizes = cuts(index, BLOCK_ROWS, "row_blocks").join(cuts(visits, BLOCK_QUERIES, "query_blocks"), "leaf")
     every = lambda name: F.explode(F.expr(f"sequence(0, {name} - 1)"))

@@ -48,6 +48,20 @@ def test_recall_against_brute_force(spark):
     assert len(by) == 60 and recall >= 0.95
 
 
+@pytest.mark.parametrize("copies", [1, 15])
+def test_small_leaves_are_topped_up(spark, copies):
+    """One visit and leaves of few rows: a query still gets k rows other than those of its own id."""
+    rows = [(i, x) for i, x in data(200) for _ in range(copies if i == 7 else 1)]
+    used = ann.usable(spark.createDataFrame(rows, SCHEMA), "vec_id", "embedding")
+    tree = ann.fit_tree(np.array([x for _, x in rows], np.float32).astype(float), 4)
+    tree.visits = 1
+    index = ann.build_index(used, tree)
+    got = ann.search(index, used.where("vec_id % 50 = 7"), tree).collect()
+    assert sorted((r.query_id, r.rank) for r in got) == [(q, n) for q in (7, 57, 107, 157) for n in range(1, 11)]
+    few = ann.search(index, used.where("vec_id = 7"), tree, k=500).collect()
+    assert sorted(r.vec_id for r in few) == [i for i in range(200) if i != 7]
+
+
 def test_common_vector_is_cut_into_blocks(spark, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK_ROWS", 50)
     monkeypatch.setattr(ann, "BLOCK_QUERIES", 3)
