@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corridor.llm.storage import materialise
+
 WINDOW = 10
 SHARD_BYTES = 8 << 20      # window text held by one automaton; more items mean more scans, not a larger automaton
 
@@ -147,8 +149,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
     load = lambda df: [(bytes(r.window), list(r["items"])) for r in df.collect()]
     if shards <= 1:
         return _scan(slim, load(wins))
-    # Rows get a number of their own, so that repeated ids stay apart while shards are united.
-    keyed = slim.select(F.struct(F.monotonically_increasing_id().alias("n"), "doc_id").alias("doc_id"), "text")
+    # Rows get a number of their own, so that repeated ids stay apart while shards are united. They are written out
+    # once: numbers drawn again in another row order would join hits to other rows.
+    keyed = materialise(slim.select(F.struct(F.monotonically_increasing_id().alias("n"), "doc_id").alias("doc_id"), "text"),
+                        "numbered")
     part = F.pmod(F.xxhash64("window"), F.lit(shards))
     found = None
     for k in range(shards):

@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from corridor.llm import decontaminate as D
@@ -60,6 +61,20 @@ def test_equals_brute_force(spark, seed):
     assert got == brute(docs, items)
 
 
+def test_shards_of_documents_in_another_order_each_time(spark):
+    """Rows that come in a new order at every evaluation keep their number over all shards."""
+    docs, items = case(4)
+
+    def shuffled(batches):
+        rows = pa.Table.from_batches(list(batches))
+        yield from rows.take(random.SystemRandom().sample(range(len(rows)), len(rows))).combine_chunks().to_batches()
+
+    d = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).mapInArrow(shuffled, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((tuple(r) for r in D.digest_columns(D.find_contamination(d, b, shard_bytes=400)).collect()), key=str)
+    assert got == brute(docs, items)
+
+
 def test_shards_equal_one_automaton(spark):
     docs, items = case(3)
     one, many = (sorted(map(str, run(spark, docs, items, shard_bytes=n).collect())) for n in (1 << 20, 400))
