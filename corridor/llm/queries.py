@@ -8,7 +8,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corridor.llm import (ann, bpe, chat, decontaminate, langid, ngram_join, pii, quality, secrets, warc)
+from corridor.llm import (ann, bpe, chat, decontaminate, langid, ngram_join, pii, quality, runs, secrets, toxicity,
+                          warc, whitening)
 from corridor.llm.storage import table
 
 SURROGATE_KEY = "corridor-surrogates"       # a deployment passes its own key
@@ -76,8 +77,23 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(docs, SURROGATE_KEY)
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    told = docs.select("doc_id", runs.repeat_tail(F.col("doc_id"), F.col("text")).alias("text"))
+    return runs.digest_columns(runs.periodic_runs(told))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.predict(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {f.__name__: f for f in (op1_secrets, op2_ngram_join, op3_chat, op4_bpe, op5_decontaminate, op6_warc, op7_ann,
-                                   op8_quality, op9_langid, op10_pii)}
+                                   op8_quality, op9_langid, op10_pii, op11_runs, op12_whitening, op13_toxicity)}
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
