@@ -5,7 +5,7 @@
 with 15 significant digits, which snaps a value one ulp below a tie onto the
 tie; ``rnd`` gets the same effect with a 1e-9 tolerance on the scaled value,
 so results do not depend on summation order. ``exact_avg`` is the mean of
-the values as they are, summed so that the executor layout does not matter.
+the values at 10 decimals, summed so that the executor layout does not matter.
 """
 
 from __future__ import annotations
@@ -33,9 +33,21 @@ def clamp(c: Column, lo: float, hi: float) -> Column:
 def exact_avg(c: Column) -> Column:
     """Mean of a double column; NULL for no values.
 
-    Values of up to 18 integer digits are summed as DECIMAL(38, 10), which no
-    executor layout changes (ranks and ties are stable), and divided once. If any
-    value does not fit, the plain double mean stands in.
+    Values of up to 18 integer digits are rounded to 10 decimals and summed as
+    DECIMAL(38, 10), which no executor layout changes (ranks and ties are stable),
+    and divided once. If any value does not fit, the plain double mean stands in.
     """
+    p = mean_parts(c)
+    return mean_of(p["exact"], p["fitting"], p["n"], p["total"])
+
+
+def mean_parts(c: Column) -> dict[str, Column]:
+    """Aggregates that add up over any split of the rows and give the mean by :func:`mean_of`."""
     d = c.try_cast("decimal(28,10)")
-    return F.when(F.count(d) == F.count(c), F.sum(d).cast("double") / F.nullif(F.count(c), F.lit(0))).otherwise(F.avg(c))
+    return {"exact": F.sum(d), "fitting": F.count(d), "n": F.count(c), "total": F.sum(c)}
+
+
+def mean_of(exact: Column, fitting: Column, n: Column, total: Column) -> Column:
+    """The mean from the sums of :func:`mean_parts`; NULL for no values."""
+    whole = F.nullif(n, F.lit(0))
+    return F.when(fitting == n, exact.cast("double") / whole).otherwise(total / whole)

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,6 +97,11 @@ def gram(rows: DataFrame) -> DataFrame:
     return rows.agg(*sums)
 
 
+def add_grams(grams: DataFrame) -> DataFrame:
+    """Sums of several splits of the training rows, added up to one row."""
+    return grams.agg(*[F.sum(c).alias(c) for c in grams.columns])
+
+
 def fit_from_gram(g: dict, weights: dict | None = None, epochs: int = EPOCHS,
                   lr: float = LEARNING_RATE) -> dict:
     """Projected gradient descent on 4 weights using the sufficient statistics.
@@ -106,7 +112,7 @@ def fit_from_gram(g: dict, weights: dict | None = None, epochs: int = EPOCHS,
     w = dict(DEFAULT_WEIGHTS if weights is None else weights)
     n = int(g["n"] or 0)
     if n == 0:
-        return {"status": "skipped", "reason": "No valid samples", "weights": w}
+        return {"status": "skipped", "reason": "no usable rows", "weights": w}
     s = {k: float(v or 0.0) for k, v in g.items()}
     G = [[n, s["s_x1"], s["s_x2"], s["s_x3"]],
          [s["s_x1"], s["s_x1x1"], s["s_x1x2"], s["s_x1x3"]],
@@ -134,14 +140,14 @@ def fit_from_gram(g: dict, weights: dict | None = None, epochs: int = EPOCHS,
 def fit(df: DataFrame, weights: dict | None = None, epochs: int = EPOCHS, lr: float = LEARNING_RATE) -> dict:
     """Train on a DataFrame of raw rows (length, speed_limit, ..., actual_time).
 
-    An empty input is skipped with reason "No data"; rows that all lack a
-    usable target are skipped with "No valid samples" (emptiness is checked
+    An empty input is skipped with reason "empty input"; rows that all lack a
+    usable target are skipped with "no usable rows" (emptiness is checked
     only on that path).
     """
     g = gram(training_rows(df)).first().asDict()
     res = fit_from_gram(g, weights, epochs, lr)
     if res["status"] == "skipped" and df.isEmpty():
-        res["reason"] = "No data"
+        res["reason"] = "empty input"
     return res
 
 
@@ -159,11 +165,14 @@ def save_weights(spark: SparkSession, w: dict, path: str) -> None:
 
 def load_weights(spark: SparkSession, path: str, current: dict | None = None) -> dict:
     """Weights from ``path``; a missing key keeps the current value, a missing
-    or unreadable file keeps all of them."""
+    or malformed file keeps all of them. Any other failure (a store that cannot be
+    reached, a refused read) is the caller's to see."""
     base = dict(current or DEFAULT_WEIGHTS)
     try:
         row = spark.read.schema(WEIGHTS_SCHEMA).json(path).first()
-    except Exception:  # noqa: BLE001 - a bad or absent file keeps the defaults
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return base
     if row is None:
         return base

@@ -97,7 +97,7 @@ def predict_segment(segments: DataFrame, readings: DataFrame, weather: DataFrame
     """
     own = segments.where(F.col("segment_id") == F.lit(int(segment_id)))
     if own.isEmpty():
-        raise LookupError(f"Road segment with ID {segment_id} not found.")
+        raise LookupError(f"no road segment {segment_id}")
     mine = readings.where(F.col("segment_id") == F.lit(int(segment_id)))
     return score_segments(segment_features(own, mine, weather, pts), w)
 

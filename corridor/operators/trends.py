@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corridor.functions.numeric import exact_avg, rnd
+from corridor.functions.numeric import mean_of, mean_parts, rnd
 from corridor.functions.timeparts import day_name, day_of_week, hour_of_day
 
 
@@ -29,7 +29,42 @@ def filter_segment(readings: DataFrame, segment_id: int | None,
 def require_segment(segments: DataFrame, segment_id: int, key: str = "segment_id") -> None:
     """Existence test for a requested id; raises ``LookupError`` if absent."""
     if segments.filter(F.col(key) == F.lit(int(segment_id))).isEmpty():
-        raise LookupError(f"Road segment with ID {segment_id} not found.")
+        raise LookupError(f"no road segment {segment_id}")
+
+
+_PARTS = ("exact", "fitting", "n", "total")
+
+
+def hour_cells(readings: DataFrame, by: Sequence[str] = (), ts: str = "reading_ts",
+               speed: str = "current_speed", score: str = "congestion_score") -> DataFrame:
+    """Sums and counts of the readings per (``by``..., day_of_week, hour_of_day) that add up over any split of the rows."""
+    parts = {f"{name}_{k}": v for name, c in (("speed", speed), ("score", score)) for k, v in mean_parts(F.col(c)).items()}
+    return (readings.groupBy(*[F.col(c) for c in by], day_of_week(F.col(ts)).alias("day_of_week"),
+                             hour_of_day(F.col(ts)).alias("hour_of_day"))
+            .agg(*[v.alias(k) for k, v in parts.items()], F.count(F.lit(1)).alias("readings")))
+
+
+def add_cells(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Cells of several splits added up, to the coarser key ``by``."""
+    sums = [F.sum(c).cast(cells.schema[c].dataType).alias(c)
+            for c in [*[f"{n}_{k}" for n in ("speed", "score") for k in _PARTS], "readings"]]
+    return cells.groupBy(*by, "day_of_week", "hour_of_day").agg(*sums)
+
+
+def profile_of_cells(cells: DataFrame, by: Sequence[str] = (), keep_raw: bool = False) -> DataFrame:
+    """The hourly profile of cells whose key is (``by``..., day, hour)."""
+    def mean(name: str) -> Column:
+        return mean_of(*[F.col(f"{name}_{k}") for k in _PARTS])
+
+    out = cells.select(*by, "day_of_week", "hour_of_day", mean("speed").alias("_speed"), mean("score").alias("_congestion"),
+                       F.col("readings").cast("int").alias("reading_count"))
+    cols = [*by, "day_of_week", "hour_of_day",
+            rnd(F.col("_speed"), 2).alias("avg_speed"),
+            rnd(F.col("_congestion"), 3).alias("avg_congestion"),
+            "reading_count"]
+    if keep_raw:
+        cols.append("_speed")
+    return out.select(*cols)
 
 
 def hourly_profile(readings: DataFrame, by: Sequence[str] = (), ts: str = "reading_ts",
@@ -41,19 +76,7 @@ def hourly_profile(readings: DataFrame, by: Sequence[str] = (), ts: str = "readi
     the data gives the same bits (ranks and ties are stable). The unrounded
     speed mean is kept as ``_speed`` when ``keep_raw`` for the windows.
     """
-    g = readings.groupBy(*[F.col(c) for c in by],
-                         day_of_week(F.col(ts)).alias("day_of_week"),
-                         hour_of_day(F.col(ts)).alias("hour_of_day"))
-    out = g.agg(exact_avg(F.col(speed)).alias("_speed"),
-                exact_avg(F.col(score)).alias("_congestion"),
-                F.count(F.lit(1)).cast("int").alias("reading_count"))
-    cols = [*by, "day_of_week", "hour_of_day",
-            rnd(F.col("_speed"), 2).alias("avg_speed"),
-            rnd(F.col("_congestion"), 3).alias("avg_congestion"),
-            "reading_count"]
-    if keep_raw:
-        cols.append("_speed")
-    return out.select(*cols)
+    return profile_of_cells(hour_cells(readings, by, ts, speed, score), by, keep_raw)
 
 
 def _day_window(by: Sequence[str]):
@@ -96,8 +119,12 @@ def traffic_trends(readings: DataFrame, segment_id: int | None = None,
     when the result feeds another operator (a sort is a range shuffle).
     """
     r = filter_segment(readings, segment_id)
-    h = hourly_profile(r, by=by, keep_raw=True, **cols)
-    out = h.select(
+    return trend_report(hourly_profile(r, by=by, keep_raw=True, **cols), by, ordered)
+
+
+def trend_report(profile: DataFrame, by: Sequence[str] = (), ordered: bool = False) -> DataFrame:
+    """The trend report of an hourly profile that kept its unrounded mean."""
+    out = profile.select(
         *by, "day_of_week", day_name(F.col("day_of_week")).alias("day_name"), "hour_of_day",
         "avg_speed", "avg_congestion", "reading_count",
         daily_baseline(by).alias("daily_avg_speed"),

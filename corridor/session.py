@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -63,3 +64,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc.setCheckpointDir(d)
     spark.conf.set("spark.checkpoint.dir", d)
     return d
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh folder in the shared checkpoint folder; Spark's file system deletes it when the session ends."""
+    path = f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return path

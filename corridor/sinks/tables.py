@@ -1,24 +1,24 @@
-"""Table sinks: date-partitioned parquet, replay-safe batch writes, upserts.
+"""Table sinks: date-partitioned Parquet commits, full reload, upsert frames.
 
-* ``write_batch`` appends a batch under its ``batch_id`` partition with
-  dynamic partition overwrite, so a replayed micro-batch (same id) replaces
-  its own files instead of adding rows again. The row count comes from an
-  ``Observation`` on the write itself (no second pass).
+* ``write_batch`` commits a batch of a table under its stream and batch number
+  (``commits.CommitTable``): a replay takes the place of its earlier attempt
+  and another stream's batch of the same number stays. The row count comes from
+  an ``Observation`` on the write itself (no second pass).
 * An empty batch writes nothing and reports 0.
 * ``strict=True`` reproduces all-or-nothing loading: one rejected record
   fails the batch before anything is written.
-* Upserts write a new table version (parquet cannot be updated in place);
-  the caller swaps the path.
+* ``upsert_touch`` returns a frame; ``versions.VersionedTable`` writes it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corridor.operators.transform import keep_last
+from corridor.sinks.commits import CommitTable
 
 # Layout of each table (partition column source, sort keys).
 LAYOUT = {
@@ -34,32 +34,18 @@ class BatchRejected(RuntimeError):
     pass
 
 
-def _with_layout(df: DataFrame, table: str) -> tuple[DataFrame, list[str]]:
-    ts_col, sort = LAYOUT[table]
-    out = df.withColumn("dt", F.to_date(F.col(ts_col)))
-    sort = [c for c in sort if c in out.columns]
-    # One task (or several, where a day is large) writes a day, not every task every day.
-    out = out.hint("rebalance", "dt")
-    # Sorting inside each task's output gives tight min/max statistics per
-    # row group for segment and time filters (no shuffle involved).
-    return out.sortWithinPartitions("dt", *sort), ["dt"]
+def committed(spark: SparkSession, path: str, table: str) -> CommitTable:
+    """The commits of one of the tables of LAYOUT: read, compact and vacuum it."""
+    return CommitTable(spark, path, days=True, sort=LAYOUT[table][1])
 
 
 def write_batch(df: DataFrame, path: str, table: str, batch_id: int | None = None,
-                rejected: DataFrame | None = None, strict: bool = False) -> int:
-    """Write one batch of a table; returns the number of rows written."""
+                rejected: DataFrame | None = None, strict: bool = False, stream: str = "batch") -> int:
+    """Commit one batch of a table; returns the number of rows written."""
     if strict and rejected is not None and not rejected.isEmpty():
         raise BatchRejected(f"{table}: batch {batch_id} has rejected records; nothing written")
-    out, parts = _with_layout(df, table)
-    if batch_id is not None:
-        out = out.withColumn("batch_id", F.lit(int(batch_id)))
-        parts = parts + ["batch_id"]
-    obs = Observation(f"write_{table}")
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
-    mode = "overwrite" if batch_id is not None else "append"
-    (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*parts).parquet(path))
-    return int(obs.get.get("rows", 0) or 0)
+    dated = df.withColumn("dt", F.to_date(F.col(LAYOUT[table][0])))
+    return committed(df.sparkSession, path, table).write(dated, batch_id, stream)
 
 
 def load_traffic_readings(df: DataFrame, path: str, batch_id: int | None = None, **kw) -> int:
@@ -95,10 +81,10 @@ def load_construction_zones(df: DataFrame, path: str, batch_id: int | None = Non
 
 
 def append_predictions(log: DataFrame, path: str, batch_id: int | None = None,
-                       at: Column | None = None) -> int:
+                       at: Column | None = None, stream: str = "batch") -> int:
     """Prediction audit log; ``timestamp`` defaults to the query time."""
     return write_batch(log.withColumn("timestamp", at if at is not None else F.current_timestamp()),
-                       path, "predictions", batch_id)
+                       path, "predictions", batch_id, stream=stream)
 
 
 def full_reload(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -70,17 +70,25 @@ def explode_records(env: DataFrame, feed: Feed, multi_line: bool = True) -> Data
     order after a shuffle; several JSON Lines envelopes of one file stay
     apart by their line. ``pos`` (position in the envelope) is kept as a number
     and ``file_time`` as the base of per-record default timestamps. ``record_id``
-    is a hash of file, position and content, the same on every replay.
+    is a hash of file, position and content, the same on every replay; equal records of
+    JSON Lines are numbered within their block of the file, and the hash takes block and number too.
     """
     line = F.lit(0).cast("long") if multi_line else F.monotonically_increasing_id()
     env = env.select("*", line.alias("_line"))
     rec = env.select(F.posexplode("_records").alias("pos", "_rec"), "corrupt_record", "file_time", "source_file",
                      "_block", "_line")
+    told = F.coalesce(F.col("_rec").cast("string"), F.col("corrupt_record"))
+    place = ["source_file", "pos", told]
+    if not multi_line:
+        # A block is one split of a file, so a group is never larger than one task's input.
+        equal = Window.partitionBy("source_file", "_block", "pos", F.xxhash64(told))
+        rec = rec.withColumn("_equal", F.row_number().over(equal.orderBy("_line")))
+        place += ["_block", "_equal"]
     return rec.select(
         F.struct(F.col("file_time").alias("mtime"), F.col("source_file").alias("file"), F.col("_block").alias("block"),
                  F.col("_line").alias("line"), "pos").alias("ordinal"),
         F.col("pos").cast("long").alias("pos"), "source_file", "file_time", "corrupt_record",
-        F.xxhash64("source_file", "pos", F.col("_rec").cast("string")).alias("record_id"),
+        F.xxhash64(*place).alias("record_id"),
         *[F.try_variant_get(F.col("_rec"), f"$.{f}", "variant").alias(f) for f in feed.fields])
 
 

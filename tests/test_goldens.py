@@ -217,8 +217,8 @@ def test_fit_empty(spark):
     df = spark.createDataFrame([(1000.0, 36.0, None)], "length double, speed_limit double, actual_time double")
     res = model.fit(df)
     assert res["status"] == "skipped" and res["weights"] == model.DEFAULT_WEIGHTS
-    assert res["reason"] == "No valid samples"
-    assert model.fit(df.limit(0))["reason"] == "No data"
+    assert res["reason"] == "no usable rows"
+    assert model.fit(df.limit(0))["reason"] == "empty input"
 
 
 def test_spheroid_distance():
