@@ -221,9 +221,13 @@ def surrogate_table(found: DataFrame, key: str) -> DataFrame:
         state = judged.select("kind", "norm", (F.col("attempt") + F.col("loses").cast("int")).alias("attempt"))
 
 
-def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """``docs`` with surrogates in ``text``, plus n_entities and kinds (the distinct kinds replaced)."""
-    docs = docs.drop("n_entities", "kinds")
+def pseudonymise(docs: DataFrame, key: str, text: str = "text", told: tuple[str, str] = ("n_entities", "kinds")) -> DataFrame:
+    """``docs`` with surrogates in ``text``, plus two columns: the number of entities and the distinct kinds replaced.
+
+    ``told`` names the two; columns of ``docs`` with these names are left out.
+    """
+    n_entities, kinds = told
+    docs = docs.drop(*told)
     columns = docs.columns
     body = F.col(f"`{text}`")
     # rlike on the hint is a cheap first test; the full pattern only runs where it holds.
@@ -243,7 +247,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
                                      lambda x: F.concat(x["p"], x["n"])), "")
     changed = rows.join(per_row, "row_no").select(
         *[(woven if c == text else F.col(f"row.`{c}`")).alias(c) for c in columns],
-        F.size("found").cast("long").alias("n_entities"), "kinds")
-    same = docs.where(~has).select(*[F.col(f"`{c}`") for c in columns], F.lit(0).cast("long").alias("n_entities"),
-                                   F.array().cast("array<string>").alias("kinds"))
+        F.size("found").cast("long").alias(n_entities), F.col("kinds").alias(kinds))
+    same = docs.where(~has).select(*[F.col(f"`{c}`") for c in columns], F.lit(0).cast("long").alias(n_entities),
+                                   F.array().cast("array<string>").alias(kinds))
     return same.unionByName(changed)

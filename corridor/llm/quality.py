@@ -20,15 +20,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corridor.llm import ftrl
 from corridor.llm.shingles import mix, ngrams, word_hashes
-from corridor.llm.storage import learnable
+from corridor.llm.storage import learnable, materialise
 
 DIMS = 1 << 18             # the last coordinate is the bias
 MAX_ROWS = 8_000           # labelled rows learned from, about
+MAX_BYTES = 96 << 20       # of their features; the rows that exceed it, in order of a hash, are left out
 _BUCKETS = 1_000_003
 
 _SPACES = bytes(32 if c == 32 or 9 <= c <= 13 else c for c in range(256))
@@ -92,7 +93,11 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     picked = marked.where(F.pmod(F.xxhash64("id"), F.lit(_BUCKETS)) < int(share * _BUCKETS) + 1).limit(2 * max_rows)
     # The picked labels are at most 2 * max_rows rows, so they may be broadcast.
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(picked), "id")
-    got = _featured(rows.select("text", "label")).collect()
+    got = materialise(_featured(rows.select("text", "label")), "quality-sample")
+    # A few thousand rows: one task adds up their bytes.
+    upto = F.sum(F.octet_length("at") + F.octet_length("x")).over(
+        Window.orderBy(F.xxhash64("at", "x")).rowsBetween(Window.unboundedPreceding, 0))
+    got = got.select("*", upto.alias("upto")).where(F.col("upto") <= MAX_BYTES).collect()
     examples = sorted(((bytes(r["at"]), bytes(r["x"]), r["label"]) for r in got))
     model = ftrl.Ftrl(DIMS, 1, alpha=0.5, l1=0.002, l2=0.0)
     return ftrl.fit([(np.frombuffer(a, np.int32), np.frombuffer(x, np.float32).astype(float), y)

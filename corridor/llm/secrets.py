@@ -134,10 +134,15 @@ def scan_text(text: str, model: RandomnessModel, candidate: re.Pattern) -> list[
     if "AKIA" in text:
         base += [(m.start(), 1, m.end(), KINDS[1]) for m in _ACCESS.finditer(text)]
     base += [(m.start(), 2, m.end(), KINDS[2]) for m in _HEX.finditer(text)]
+    # Both lists are walked once: candidates come in order and do not overlap one another.
     taken = sorted((s, e) for s, _, e, _ in base)
-    extra = [(m.start(), 3, m.end(), KINDS[3]) for m in candidate.finditer(text)
-             if not any(s < m.end() and m.start() < e for s, e in taken)
-             and model.score(m.group()) > model.threshold]
+    extra, at, reach = [], 0, 0
+    for m in candidate.finditer(text):
+        while at < len(taken) and taken[at][0] < m.end():
+            reach = max(reach, taken[at][1])
+            at += 1
+        if reach <= m.start() and model.score(m.group()) > model.threshold:
+            extra.append((m.start(), 3, m.end(), KINDS[3]))
     return sorted(base + extra)
 
 

@@ -44,3 +44,14 @@ def small_side(df: DataFrame, rows: int, limit: int = 500_000) -> DataFrame:
 def learnable(doc_id: Column) -> Column:
     """Rows whose labels a classifier may learn from: crc32 of the id as text, modulo 3, is not 1."""
     return F.crc32(doc_id.cast("string")) % 3 != 1
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of ``df`` has (names differ beyond their case)."""
+    used, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in used:
+            name = f"_{name}"
+        used.add(name.lower())
+        out.append(name)
+    return out

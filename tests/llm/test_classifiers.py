@@ -114,3 +114,34 @@ def test_identifiers_and_sources_are_no_inputs(spark):
     other = df.selectExpr("doc_id + 5000 as doc_id", "text", "'zz' as lang")
     score = lambda d: sorted((r.lang_pred, r.score) for r in langid.identify(d, model).collect())
     assert score(df) == score(other)
+
+
+def test_language_of_many(spark):
+    """Six hundred languages, none left out; the weights stay within their bound."""
+    rng = random.Random(4)
+    rows, n = [], 0
+    for k in range(600):
+        parts = [chr(0x4E00 + 40 * k + j) for j in range(40)]
+        for _ in range(14):
+            rows.append((n, " ".join("".join(rng.choices(parts, k=4)) for _ in range(12)), f"l{k:03d}"))
+            n += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    assert len(model.langs) == 600 and model.table.size <= langid.CELLS
+    got = langid.identify(docs, model).collect()
+    truth = {r[0]: r[2] for r in rows}
+    test = [r for r in got if held(r.doc_id)]
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in test]) >= 0.9
+
+
+def test_bytes_learned_from_are_bounded(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, t + f" {i} " * 50, "en", "x", "x") for i, t in enumerate(texts())], DOCS)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, quality int")
+    seen = []
+    real = ftrl.fit
+    monkeypatch.setattr(ftrl, "fit", lambda examples, *a, **kw: seen.append(len(examples)) or real(examples, *a, **kw))
+    quality.train(docs, labels)
+    monkeypatch.setattr(quality, "MAX_BYTES", 20_000)
+    quality.train(docs, labels)
+    langid.train(docs, max_bytes=20_000)
+    assert 0 < seen[1] < seen[0] and 0 < seen[2] < 60
