@@ -120,8 +120,9 @@ def test_language_of_many(spark):
     """Six hundred languages, none left out; the weights stay within their bound."""
     rng = random.Random(4)
     rows, n = [], 0
+    letters = [chr(c) for c in range(0x3400, 0xD7A3) if chr(c).isalpha()]
     for k in range(600):
-        parts = [chr(0x4E00 + 40 * k + j) for j in range(40)]
+        parts = letters[40 * k:40 * k + 40]
         for _ in range(14):
             rows.append((n, " ".join("".join(rng.choices(parts, k=4)) for _ in range(12)), f"l{k:03d}"))
             n += 1
