@@ -65,13 +65,13 @@ def with_defaults(df: DataFrame) -> DataFrame:
             .withColumn("name", F.coalesce(F.when(F.col("name") != "", F.col("name")), F.lit(UNNAMED))))
 
 
-def segment_weather(segments: DataFrame, weather: DataFrame, pts: str = "pts", **kw) -> DataFrame:
-    """Nearest weather snapshot to each segment's chord midpoint (exact grid join)."""
+def segment_weather(segments: DataFrame, weather: DataFrame, pts: str = "pts", ts: str | None = None,
+                    tiebreak: str = "snapshot_id", **options) -> DataFrame:
+    """Nearest weather snapshot to each segment's chord midpoint (exact; ``options`` of ``spatial.nearest_join``)."""
     mx, my = chord_midpoint(F.col(pts))
     mids = segments.select("segment_id", mx.alias("mid_lon"), my.alias("mid_lat"))
     return spatial.nearest_join(mids, weather, "segment_id", "mid_lon", "mid_lat",
-                                ts=lt.time_column(weather, kw.get("ts"), "observed_at", "timestamp"),
-                                tiebreak=kw.get("tiebreak", "snapshot_id"))
+                                ts=lt.time_column(weather, ts, "observed_at", "timestamp"), tiebreak=tiebreak, **options)
 
 
 def segment_features(segments: DataFrame, readings: DataFrame, weather: DataFrame,

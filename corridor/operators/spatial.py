@@ -4,39 +4,25 @@ Distances for *ordering* are planar squared degrees (the reference orders by
 ``<->`` on SRID 4326); reported distances are metres, computed after the
 nearest row is chosen.
 
-Nearest-neighbour join (``nearest_join``), exact, without a cross join:
-
-1. Snapshots are collapsed to one row per location (the latest; ties by
-   smaller id). Every snapshot at a location has the same distance to any
-   query point, so only that row can win. This is a partial aggregate.
-2. Locations are put on a square grid: the largest power-of-two cell size
-   at which nearly all cells hold at most ``max_cell`` locations and none holds
-   very many (all sizes tested in one job), so a dense city neither turns one
-   cell into an all-pairs hot spot nor makes the cells small everywhere.
-3. First pass: each query point probes its 3x3 block of cells through an
-   equi-join on the cell key. A point whose best candidate lies within one
-   cell width of it is final: every location outside the block is farther.
-4. The few points not settled descend a pyramid of coarser grids with
-   branch and bound (see ``_far_pass``): cells whose bbox is farther than the
-   best representative found so far are dropped, survivors split into their
-   children, and the fine cells left are compared exactly. No radius loop:
-   a point far from every station costs rows in proportion to the stations
-   near its nearest distance, not to the empty area around it.
+The nearest-neighbour join is exact and without a cross join: see ``nearest``.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corridor.functions import curve
 from corridor.functions import geometry as geo
+from corridor.operators.nearest import nearest_locations
 from corridor.session import checkpoint_dir
 
 
 def within_box(df: DataFrame, box, x: str = "longitude", y: str = "latitude") -> DataFrame:
+    """Points in the closed box; a stored ``curve`` column (``tables.write_points``) narrows the scan to its key ranges."""
     geo.check_box(*box)
+    if "curve" in df.columns:
+        df = df.filter(curve.in_ranges(F.col("curve"), curve.key_ranges(box, (curve.FINEST,))))
     return df.filter(geo.point_in_box(F.col(x), F.col(y), box))
 
 
@@ -46,11 +32,14 @@ def segments_in_viewport(segments: DataFrame, box, pts: str = "pts") -> DataFram
     When the frame carries ``min_x..max_y`` columns (stored next to the
     geometry) the bbox-overlap test is added first; on a parquet scan it is
     pushed down and skips row groups. The exact test then removes lines
-    whose bbox overlaps the box but whose pieces miss it.
+    whose bbox overlaps the box but whose pieces miss it. A stored ``curve``
+    column, by which the table is sorted, narrows the scan on both axes at once.
     """
     geo.check_box(*box)
     x1, y1, x2, y2 = (float(v) for v in box)
     out = segments
+    if "curve" in segments.columns:
+        out = out.filter(curve.in_ranges(F.col("curve"), curve.key_ranges(box)))
     if {"min_x", "min_y", "max_x", "max_y"} <= set(segments.columns):
         out = out.filter((F.col("max_x") >= x1) & (F.col("min_x") <= x2) &
                          (F.col("max_y") >= y1) & (F.col("min_y") <= y2))
@@ -88,130 +77,9 @@ def latest_per_location(stations: DataFrame, x: str, y: str, ts: str, tiebreak:
             .select(x, y, *[F.col(f"_s.{c}").alias(c) for c in others]))
 
 
-def _cell(c: Column, size: float) -> Column:
-    return F.floor(c / F.lit(size)).cast("long")
-
-
-def choose_grid(locs: DataFrame, x: str, y: str, max_cell: int = 64,
-                sizes: tuple[float, ...] = tuple(2.0 ** k for k in range(10, -25, -1)),
-                dense_cell: int = 1024, dense_share: float = 0.02):
-    """Pick the grid in one job: the largest power-of-two cell size (degrees)
-    at which nearly all cells hold at most ``max_cell`` locations.
-
-    Up to ``dense_share`` of the occupied cells may hold more, ``dense_cell`` at
-    most: one dense city does not make every cell small and leave the
-    sparse rest to the far pass, and still no cell turns into an all-pairs hot spot.
-
-    Returns ``(size, cx0, cx1, cy0, cy1)`` (cell extents of the locations) or
-    None when there is no location. Large cells settle more points in the
-    first pass. If even the finest size is over-full, the finest is
-    used (locations are distinct points, so cells that small are rare).
-    """
-    arr = F.array(*[F.lit(v) for v in sizes])
-    cand = locs.select(F.posexplode(arr).alias("k", "_s"), x, y)
-    per_cell = cand.groupBy("k", F.floor(F.col(x) / F.col("_s")).alias("cx"),
-                            F.floor(F.col(y) / F.col("_s")).alias("cy")).count()
-    rows = per_cell.groupBy("k").agg(F.max("count").alias("m"), F.count(F.lit(1)).alias("cells"),
-                                     F.count_if(F.col("count") > max_cell).alias("over"), F.min("cx").alias("cx0"),
-                                     F.max("cx").alias("cx1"), F.min("cy").alias("cy0"),
-                                     F.max("cy").alias("cy1")).collect()
-    if not rows:
-        return None
-    by_k = {r.k: r for r in rows}
-    ok = [k for k in sorted(by_k) if by_k[k].m <= max_cell
-          or (by_k[k].m <= max(dense_cell, max_cell) and by_k[k].over <= dense_share * by_k[k].cells)]
-    k = ok[0] if ok else max(by_k)
-    r = by_k[k]
-    return sizes[k], r.cx0, r.cx1, r.cy0, r.cy1
-
-
-def _probe(points: DataFrame, grid: DataFrame, order: Column, pid: str, payload: list[str]) -> DataFrame:
-    """Best candidate per point among the 3x3 grid cells around it.
-
-    Left join: a point whose block holds no station keeps a row with a NULL
-    candidate, so one pass tells settled from unsettled points. The nine rows
-    of a point are made in one task, so the per-point minimum is combined
-    map-side before the exchange.
-    """
-    offs = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    cells = (points
-             .withColumn("_dx", F.explode(offs))
-             .withColumn("_dy", F.explode(offs))
-             .select(pid, "_px", "_py",
-                     (F.col("_pcx") + F.col("_dx")).alias("cx"), (F.col("_pcy") + F.col("_dy")).alias("cy")))
-    cand = cells.join(grid, ["cx", "cy"], "left")
-    d2 = geo.planar_d2(F.col("_gx"), F.col("_gy"), F.col("_px"), F.col("_py"))
-    best = F.min(F.when(F.col("_gx").isNotNull(),
-                        F.struct(d2.alias("d2"), order.alias("_o"), *[F.col(c) for c in payload])))
-    return cand.groupBy(pid, "_px", "_py").agg(best.alias("_b"))
-
-
-def _far_pass(pending: DataFrame, locs: DataFrame, grid: DataFrame, size: float, order: Column,
-              pid: str, payload: list[str], sx: str, sy: str) -> DataFrame:
-    """Exact nearest station for points the 3x3 fine block did not settle.
-
-    Branch and bound down a pyramid of grids (cell width ``size * 2**l``, from
-    the level whose cells exceed 1024 degrees, which holds every location in
-    any point's 3x3 block, down to the fine grid). Each cell carries the bbox
-    of its locations and one representative location. Per point and level:
-    the distance to the nearest representative seen so far is an upper bound
-    ``ub`` on the answer (it is a real location), and a cell whose bbox is
-    farther than ``ub`` cannot hold the answer, so it is dropped. Surviving
-    cells are split into their (at most 4) children at the next finer level.
-    At the fine level the surviving cells' locations (at most ``max_cell``
-    each) are compared exactly. Every location at the nearest distance lies in
-    a cell whose bbox is within ``ub``, so ties are kept too.
-
-    Only a thin band of cells around the nearest distance survives each level,
-    so the work per point follows the locations near it. One shuffle (the
-    per-point minimum) per level; the candidate set is checkpointed every few
-    levels to keep the lineage short.
-    """
-    n_lv = max(1, math.ceil(math.log2(1024.0 / size)))
-    lv = F.array(*[F.lit(size * 2.0 ** l) for l in range(n_lv + 1)])
-    # Cells of every level: bbox, one representative, parent index.
-    cells = (locs.select(F.posexplode(lv).alias("l", "_s"), F.col(sx).alias("_x"), F.col(sy).alias("_y"))
-             .groupBy("l", F.floor(F.col("_x") / F.col("_s")).alias("cx"),
-                      F.floor(F.col("_y") / F.col("_s")).alias("cy"))
-             .agg(F.min("_x").alias("_x0"), F.max("_x").alias("_x1"), F.min("_y").alias("_y0"),
-                  F.max("_y").alias("_y1"), F.min(F.struct(F.col("_x").alias("x"), F.col("_y").alias("y")))
-                  .alias("_rep"))
-             .withColumn("pcx", F.floor(F.col("cx") / F.lit(2.0)))
-             .withColumn("pcy", F.floor(F.col("cy") / F.lit(2.0)))
-             .checkpoint())
-    lbx = F.greatest(F.lit(0.0), F.col("_x0") - F.col("_px"), F.col("_px") - F.col("_x1"))
-    lby = F.greatest(F.lit(0.0), F.col("_y0") - F.col("_py"), F.col("_py") - F.col("_y1"))
-    rd2 = geo.planar_d2(F.col("_rep.x"), F.col("_rep.y"), F.col("_px"), F.col("_py"))
-
-    def prune(c: DataFrame) -> DataFrame:
-        ub = F.least(F.col("_ub2"), F.min(rd2).over(Window.partitionBy(pid)))
-        return (c.withColumn("_ub2", ub).filter(lbx * lbx + lby * lby <= F.col("_ub2"))
-                .select(pid, "_px", "_py", "_ub2", "cx", "cy"))
-
-    # Top level: the point's 3x3 block holds every location.
-    offs = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    top = size * 2.0 ** n_lv
-    start = (pending.withColumn("_dx", F.explode(offs)).withColumn("_dy", F.explode(offs))
-             .select(pid, "_px", "_py", F.col("_ub0").alias("_ub2"),
-                     (F.floor(F.col("_px") / F.lit(top)) + F.col("_dx")).alias("cx"),
-                     (F.floor(F.col("_py") / F.lit(top)) + F.col("_dy")).alias("cy")))
-    cand = prune(start.join(cells.filter(F.col("l") == n_lv), ["cx", "cy"]))
-    for l in range(n_lv - 1, -1, -1):
-        kids = (cand.select(pid, "_px", "_py", "_ub2", F.col("cx").alias("pcx"), F.col("cy").alias("pcy"))
-                .join(cells.filter(F.col("l") == l), ["pcx", "pcy"]))
-        cand = prune(kids)
-        if l and l % 4 == 0:
-            checkpoint_dir(cand.sparkSession)
-            cand = cand.checkpoint()
-    stations = cand.select(pid, "_px", "_py", "cx", "cy").join(grid, ["cx", "cy"])
-    d2 = geo.planar_d2(F.col("_gx"), F.col("_gy"), F.col("_px"), F.col("_py"))
-    best = F.min(F.struct(d2.alias("d2"), order.alias("_o"), *[F.col(c) for c in payload]))
-    return stations.groupBy(pid).agg(best.alias("_b")).select(pid, "_b.*").drop("_o")
-
-
 def nearest_join(points: DataFrame, stations: DataFrame, pid: str, px: str, py: str,
                  sx: str = "longitude", sy: str = "latitude", ts: str = "timestamp",
-                 tiebreak: str = "id", cell: float | None = None, max_cell: int = 64) -> DataFrame:
+                 tiebreak: str = "id", **options) -> DataFrame:
     """For each point the nearest station row (planar), exactly.
 
     Ties: smaller distance, then later ``ts``, then smaller ``tiebreak``.
@@ -219,37 +87,13 @@ def nearest_join(points: DataFrame, stations: DataFrame, pid: str, px: str, py:
     station at all (or NULL coordinates) are absent (the caller left-joins
     for defaults).
 
-    Driver work: one row per candidate cell size (one job) and one emptiness
-    check after the first pass. Frames read more than once (the per-location
-    snapshots, the first-pass result) are checkpointed in the shared folder, so
-    nothing stays cached in the session and a lost executor costs nothing.
+    Jobs run while the frame is built: the locations are written to the checkpoint
+    folder and counted, and beyond ``nearest.BROADCAST_ROWS`` they are sampled, dealt to
+    leaves and searched once. Spark removes the files at the session's end
+    where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
     """
-    from pyspark.sql import types as T
-    spark = points.sparkSession
-    # One row per distinct location: reused by the grid choice and both
-    # passes, so it is computed once and kept.
-    checkpoint_dir(spark)
+    checkpoint_dir(points.sparkSession)
+    # One row per distinct location, written once: it is counted, searched and joined.
     locs = latest_per_location(stations, sx, sy, ts, tiebreak).checkpoint()
-    g = choose_grid(locs, sx, sy, max_cell=max_cell)
-    if g is None:
-        fields = [points.schema[pid], T.StructField("d2", T.DoubleType())] + list(locs.schema.fields)
-        return spark.createDataFrame([], T.StructType(fields))
-    size = cell or g[0]
-    payload = list(locs.columns)
-    grid = locs.select(_cell(F.col(sx), size).alias("cx"), _cell(F.col(sy), size).alias("cy"),
-                       F.col(sx).alias("_gx"), F.col(sy).alias("_gy"), *payload)
-    order = F.struct((-F.unix_micros(F.col(ts).cast("timestamp"))).alias("_t"), F.col(tiebreak))
-    pending = points.select(
-        F.col(pid), F.col(px).cast("double").alias("_px"), F.col(py).cast("double").alias("_py"),
-        _cell(F.col(px), size).alias("_pcx"), _cell(F.col(py), size).alias("_pcy"),
-    ).filter(F.col("_px").isNotNull() & F.col("_py").isNotNull())
-    res = _probe(pending, grid, order, pid, payload).checkpoint()
-    d = F.sqrt(F.col("_b.d2"))
-    # Final when the best candidate is nearer than the block edge: every
-    # location outside the 3x3 block is farther than one cell width.
-    is_final = F.col("_b").isNotNull() & (d <= F.lit(size) - F.lit(size * 1e-9))
-    done = res.filter(is_final).select(pid, "_b.*").drop("_o")
-    left = res.filter(~is_final).select(pid, "_px", "_py", F.col("_b.d2").alias("_ub0"))
-    if left.isEmpty():
-        return done
-    return done.unionByName(_far_pass(left, locs, grid, size, order, pid, payload, sx, sy))
+    order = (-F.unix_micros(F.col(ts).cast("timestamp")), F.col(tiebreak))
+    return nearest_locations(points, locs, pid, px, py, sx, sy, order, **options)

@@ -47,5 +47,5 @@ def load_all() -> None:
     """Import every query module so that it registers itself."""
     import importlib
     for m in ("reading_queries", "ingest_queries", "segment_queries", "weather_queries",
-              "incident_queries", "construction_queries", "model_queries", "kept_queries"):
+              "incident_queries", "construction_queries", "model_queries", "kept_queries", "layout_queries"):
         importlib.import_module(f"corridor.plans.{m}")

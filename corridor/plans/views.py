@@ -54,6 +54,15 @@ SELECT event_id AS snapshot_id,
   CASE WHEN event_id % 10 = 0 THEN NULL ELSE CAST(event_id % 350 AS DOUBLE) / 1e1 END AS temperature,
   CASE WHEN event_id % 4 = 0 THEN NULL ELSE CAST(event_id % 80 AS DOUBLE) / 1e1 END AS rain_intensity,
   CASE WHEN event_id % 4 = 0 THEN CAST(event_id % 60 AS DOUBLE) / 1e1 ELSE NULL END AS precipitation,
+  ts AS observed_at FROM {events}""",
+    # Stations that nearly all stand at a place of their own, most of them in one city, the rest far and wide.
+    "weather_spread": """
+SELECT event_id AS snapshot_id,
+  CASE WHEN event_id % 7 = 0 THEN -8e1 + CAST(event_id * 7919 % 160001 AS DOUBLE) / 1e3
+       ELSE 377e-1 + CAST(event_id * 7919 % 100003 AS DOUBLE) / 8e5 END AS latitude,
+  CASE WHEN event_id % 7 = 0 THEN -17e1 + CAST(event_id * 104729 % 340007 AS DOUBLE) / 1e3
+       ELSE -1225e-1 + CAST(event_id * 104729 % 100019 AS DOUBLE) / 4e5 END AS longitude,
+  CAST(event_id % 350 AS DOUBLE) / 1e1 AS temperature, CAST(event_id % 80 AS DOUBLE) / 1e1 AS rain_intensity,
   ts AS observed_at FROM {events}""",
     "raw_incidents": """
 SELECT o_orderkey AS incident_id,

@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corridor.functions.curve import curve_key, point_key
 from corridor.operators.transform import keep_last
 from corridor.sinks.commits import CommitTable
 
@@ -131,16 +132,27 @@ def write_features(features: DataFrame, path: str, feature: str = "feature") ->
 
 
 def write_segments(segments: DataFrame, path: str, pts: str = "pts") -> None:
-    """Road segments as a new table version, with stored bbox columns.
+    """Road segments as a new table version, with stored bbox columns and curve key.
 
-    ``min_x..max_y`` next to the line make the viewport's bbox test a parquet
-    filter; sorting rows by their bbox corner inside each task (no shuffle)
-    keeps row-group min/max ranges narrow, which is what lets that filter
-    skip row groups.
+    ``min_x..max_y`` next to the line make the viewport's bbox test a Parquet
+    filter. Rows are dealt and sorted by ``curve``, so a row group or page holds a
+    neighbourhood, and a box, being a few key ranges, skips the others on both axes.
     """
     from corridor.functions.geometry import bbox
     out = segments
     if not {"min_x", "min_y", "max_x", "max_y"} <= set(out.columns):
         mnx, mny, mxx, mxy = bbox(F.col(pts))
         out = out.select("*", mnx.alias("min_x"), mny.alias("min_y"), mxx.alias("max_x"), mxy.alias("max_y"))
-    out.sortWithinPartitions("min_x", "min_y").write.mode("overwrite").parquet(path)
+    key = curve_key(*[F.col(c) for c in ("min_x", "min_y", "max_x", "max_y")])
+    _write_along(out.withColumn("curve", key), path)
+
+
+def write_points(points: DataFrame, path: str, x: str = "longitude", y: str = "latitude") -> None:
+    """Points (incidents, stations) as a new table version along the curve, for ``spatial.within_box``."""
+    _write_along(points.withColumn("curve", point_key(F.col(x), F.col(y))), path)
+
+
+def _write_along(df: DataFrame, path: str) -> None:
+    # Range bounds come from a sample of the keys; equal keys stay together, and a range can be split no further
+    # than one key, a cell of some 38 m.
+    df.repartitionByRange("curve").sortWithinPartitions("curve").write.mode("overwrite").parquet(path)

@@ -64,7 +64,7 @@ def test_knn_matches_brute_force(spark):
     pdf = spark.createDataFrame(points, "pid long, x double, y double")
     got = {r.pid: r.snapshot_id for r in
            spatial.nearest_join(pdf, sdf, "pid", "x", "y", ts="observed_at", tiebreak="snapshot_id",
-                                max_cell=4).collect()}
+                                broadcast_rows=0, leaf_rows=4).collect()}
     for pid, x, y in points:
         best = min(stations, key=lambda s: ((s[1] - x) * (s[1] - x) + (s[2] - y) * (s[2] - y),
                                             -s[3].timestamp(), s[0]))
@@ -116,8 +116,7 @@ def test_rnd_half_away_from_zero(spark, values):
 
 
 def test_knn_far_pass_is_exact(spark):
-    """With tiny cells almost every point misses its 3x3 block and goes
-    through the far pass (coarse upper bound, then fine cells within it)."""
+    """With a station per leaf almost every point's bound crosses into other leaves."""
     rnd = random.Random(3)
     base = dt.datetime(2024, 1, 1)
     stations = [(sid, rnd.uniform(0, 10), rnd.uniform(0, 10), base, 0.0) for sid in range(30)]
@@ -126,7 +125,7 @@ def test_knn_far_pass_is_exact(spark):
                                           "observed_at timestamp, temperature double")
     pdf = spark.createDataFrame(points, "pid long, x double, y double")
     got = {r.pid: r.snapshot_id for r in spatial.nearest_join(
-        pdf, sdf, "pid", "x", "y", ts="observed_at", tiebreak="snapshot_id", cell=0.05).collect()}
+        pdf, sdf, "pid", "x", "y", ts="observed_at", tiebreak="snapshot_id", broadcast_rows=0, leaf_rows=1).collect()}
     assert len(got) == len(points)
     for pid, x, y in points:
         best = min(stations, key=lambda s: ((s[1] - x) ** 2 + (s[2] - y) ** 2, s[0]))
@@ -134,7 +133,7 @@ def test_knn_far_pass_is_exact(spark):
 
 
 def test_knn_dense_cluster_and_remote_points(spark):
-    """A dense cluster forces small cells (max_cell=4); remote points and
+    """A dense cluster in small leaves (leaf_rows=4); remote points and
     points just outside the cluster are still answered exactly."""
     rnd = random.Random(11)
     base = dt.datetime(2024, 1, 1)
@@ -146,7 +145,7 @@ def test_knn_dense_cluster_and_remote_points(spark):
     sdf = spark.createDataFrame(stations, "snapshot_id long, longitude double, latitude double, observed_at timestamp")
     pdf = spark.createDataFrame(points, "pid long, x double, y double")
     got = {r.pid: r.snapshot_id for r in spatial.nearest_join(
-        pdf, sdf, "pid", "x", "y", ts="observed_at", tiebreak="snapshot_id", max_cell=4).collect()}
+        pdf, sdf, "pid", "x", "y", ts="observed_at", tiebreak="snapshot_id", broadcast_rows=0, leaf_rows=4).collect()}
     assert len(got) == len(points)
     for pid, x, y in points:
         best = min(stations, key=lambda s: ((s[1] - x) * (s[1] - x) + (s[2] - y) * (s[2] - y),
