@@ -136,7 +136,7 @@ def test_language_of_many(spark):
 
 
 def test_bytes_learned_from_are_bounded(spark, monkeypatch):
-    docs = spark.createDataFrame([(i, t + f" {i} " * 50, "en", "x", "x") for i, t in enumerate(texts())], DOCS)
+    docs = spark.createDataFrame([(i, r[1] + f" {i} " * 50, *r[2:]) for i, r in enumerate(texts())], DOCS)
     labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, quality int")
     seen = []
     real = ftrl.fit
