@@ -1,11 +1,16 @@
 """Approximate nearest neighbours with a hierarchical k-means tree.
 
-The tree is fitted on a bounded sample; every row is then assigned to a leaf.
+The tree grows with the table. Its top is fitted on a bounded sample; where a leaf of
+the top holds more rows than that, a subtree is fitted on rows of that leaf, each
+in a task of its own. Leaves aim at LEAF_ROWS rows, until the centres take TREE_BYTES, the bound
+of what is broadcast. Every row is then assigned to a leaf.
+
 A query walks the tree best bin first: a priority queue of branches by the
-distance to their centre. How many leaves it visits is calibrated: on sample
-queries the visits widen until their neighbours in the sample are found with
-the target recall; where the leaves visited hold fewer rows than asked for, it
-goes on. Visited leaves are compared exactly, in blocks of bounded
+distance to their centre. How many leaves it visits is calibrated: for QUERIES
+rows the exact neighbours among all rows are found, and the visits widen until the target
+recall is reached; where the leaves visited hold fewer rows than asked for, it
+goes on. Neighbouring leaves lie together in bins, so that a query is sent once
+per bin with the leaves it visits there. Their rows are compared exactly, in blocks of bounded
 size, with distances from the original vectors in double precision.
 
 Defined results: vectors that are null, zero, of another length than most,
@@ -18,6 +23,7 @@ are all returned; an empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,8 +34,12 @@ from pyspark.sql import functions as F
 
 from corridor.llm.storage import materialise
 
-SAMPLE_ROWS = 20_000       # rows the tree is fitted on, at most
-LEAF_ROWS = 400            # rows aimed at per leaf
+SAMPLE_ROWS = 20_000       # rows that the top, or one subtree, is fitted on, about
+LEAF_ROWS = 16             # rows aimed at per leaf
+BIN_ROWS = 2_048           # rows aimed at per bin of neighbouring leaves
+TREE_BYTES = 64 << 20      # of all leaves' centres; more rows make larger leaves, not a larger tree
+QUERIES = 300              # rows whose exact neighbours calibrate the visits
+TARGET_RECALL = 0.96
 BRANCH = 8
 BLOCK_ROWS, BLOCK_QUERIES = 4_096, 1_024
 
@@ -43,6 +53,7 @@ class KMeansTree:
     leaf_no: list[int] = field(default_factory=list)
     leaves: int = 0
     visits: int = 1
+    leaf_rows: int = 1
 
     def assign(self, x: np.ndarray) -> np.ndarray:
         """Leaf of each row, by the nearest centre at every level."""
@@ -59,6 +70,42 @@ class KMeansTree:
             todo += [(kid, rows[near == k]) for k, kid in enumerate(self.kids[node])]
         return out
 
+    def bins(self, leaf_rows: int) -> np.ndarray:
+        """For every leaf its bin: the leaves below the largest node of about BIN_ROWS rows."""
+        below = np.array([int(not k) for k in self.kids])
+        for node in range(len(self.kids) - 1, -1, -1):          # kids come after their parent
+            below[node] += sum(below[k] for k in self.kids[node])
+        out, todo = np.zeros(self.leaves, np.int64), [(0, -1)]
+        while todo:
+            node, held = todo.pop()
+            if held < 0 and (not self.kids[node] or below[node] * leaf_rows <= BIN_ROWS):
+                held = node
+            if not self.kids[node]:
+                out[self.leaf_no[node]] = held
+            todo += [(k, held) for k in self.kids[node]]
+        return out
+
+    def graft(self, subtrees: dict[int, "KMeansTree"]) -> "KMeansTree":
+        """The tree with a subtree in place of some of its leaves."""
+        out = KMeansTree()
+        todo = [(self, 0, None)]
+        while todo:
+            tree, node, up = todo.pop()
+            if not tree.kids[node] and tree is self and self.leaf_no[node] in subtrees:
+                tree, node = subtrees[self.leaf_no[node]], 0
+            at = len(out.kids)
+            out.centers.append(tree.centers[node])
+            out.kids.append([])
+            out.leaf_no.append(-1)
+            if up is not None:
+                out.kids[up[0]][up[1]] = at
+            if not tree.kids[node]:
+                out.leaf_no[at] = out.leaves
+                out.leaves += 1
+            out.kids[at] = [-1] * len(tree.kids[node])
+            todo += [(tree, kid, (at, k)) for k, kid in enumerate(tree.kids[node])]
+        return out
+
     def best_bins(self, q: np.ndarray, visits: int, least: int = 0, rows: np.ndarray | None = None,
                   own: dict[int, int] | None = None) -> list[int]:
         """The first ``visits`` leaves that the priority queue reaches, and more until they hold ``least`` rows.
@@ -127,25 +174,6 @@ def fit_tree(x: np.ndarray, leaf_rows: int, seed: int = 3) -> KMeansTree:
     return tree
 
 
-def calibrate(tree: KMeansTree, x: np.ndarray, k: int, target: float, queries: int = 300, seed: int = 5) -> int:
-    """Leaf visits at which sample queries find ``target`` of their k nearest sample rows."""
-    if len(x) < 2:
-        return tree.leaves
-    rng = np.random.default_rng(seed)
-    leaf = tree.assign(x)
-    needed: list[int] = []
-    for i in rng.choice(len(x), min(queries, len(x)), replace=False):
-        d = ((x - x[i]) ** 2).sum(axis=1)
-        d[i] = np.inf
-        near = np.argpartition(d, min(k, len(x) - 1) - 1)[:min(k, len(x) - 1)]
-        place = {leaf_no: p for p, leaf_no in enumerate(tree.best_bins(x[i], tree.leaves))}
-        needed += [place[int(leaf[j])] + 1 for j in near]
-    visits = 1
-    while visits < tree.leaves and np.mean(np.array(needed) <= visits) < target:
-        visits += 1
-    return visits
-
-
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     """(vec_id, v): rows that take part, as arrays of double."""
     v = F.col("v")
@@ -165,63 +193,152 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
 
 
-def fit(rows: DataFrame, k: int = 10, target_recall: float = 0.99, sample_rows: int = SAMPLE_ROWS) -> KMeansTree:
-    """Fit and calibrate on at most about ``sample_rows`` rows chosen by a hash of the id."""
+def _picked(rows: DataFrame, wanted: int, n: int, salt: int = 0) -> DataFrame:
+    """About ``wanted`` of ``n`` rows, by a hash of the id."""
+    return rows if wanted >= n else rows.where(
+        F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(1_000_003)) < int(wanted / n * 1_000_003) + 1)
+
+
+def _subtrees(rows: DataFrame, top: KMeansTree, sample_rows: int, leaf_rows: int) -> dict[int, KMeansTree]:
+    """A subtree for every leaf of the top that holds more than ``leaf_rows`` rows, fitted on about ``sample_rows`` of them."""
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast(top)
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = shared.value.assign(_matrix(b.column(1))) if len(b) else []
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at, pa.int64())], ["vec_id", "v", "top"])
+
+    placed = materialise(rows.mapInArrow(assign, "vec_id long, v array<double>, top long"), "top")
+    held = placed.groupBy("top").count().collect()                 # a row per leaf of the top: some thousands at most
+    large = [(r["top"], r["count"], int(min(1.0, sample_rows / r["count"]) * 1_000_003) + 1) for r in held if r["count"] > leaf_rows]
+    if not large:
+        return {}
+    shares = F.broadcast(spark.createDataFrame(large, "top long, held long, share long"))
+    some = placed.join(shares, "top").where(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(1_000_003)) < F.col("share"))
+
+    def grow(key: tuple, group: pa.Table) -> pa.Table:
+        order = np.argsort(group.column("vec_id").to_numpy(), kind="stable")
+        x = _matrix(group.column("v"))[order]
+        least = max(1, int(leaf_rows * len(x) / group.column("held")[0].as_py()))
+        return pa.table({"top": pa.array([key[0].as_py()], pa.int64()), "tree": pa.array([pickle.dumps(fit_tree(x, least))])})
+
+    grown = some.select("top", "held", "vec_id", "v").groupBy("top").applyInArrow(grow, "top long, tree binary")
+    return {r["top"]: pickle.loads(r["tree"]) for r in grown.collect()}
+
+
+def _exact(rows: DataFrame, asked: np.ndarray, ids: np.ndarray, tree: KMeansTree, k: int) -> DataFrame:
+    """(query, leaf): the leaves of the ``k`` exact nearest rows of each of the asked vectors, among all rows."""
+    shared = rows.sparkSession.sparkContext.broadcast((asked, ids, tree))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q, own, tree = shared.value
+        for b in batches:
+            for at in range(0, len(b), BLOCK_ROWS):
+                part = b.slice(at, BLOCK_ROWS)
+                x, names = _matrix(part.column(1)), part.column(0).to_numpy()
+                d = (q * q).sum(axis=1)[:, None] + (x * x).sum(axis=1) - 2 * q @ x.T
+                d[own[:, None] == names] = np.inf
+                few = min(k, len(x))
+                near = np.argpartition(d, few - 1, axis=1)[:, :few]
+                leaf = tree.assign(x[near.ravel()]).reshape(near.shape)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(np.arange(len(q)), few)), pa.array(np.take_along_axis(d, near, 1).ravel()),
+                     pa.array(names[near.ravel()]), pa.array(leaf.ravel())], ["query", "d", "vec_id", "leaf"])
+
+    found = rows.mapInArrow(run, "query long, d double, vec_id long, leaf long").where(F.col("d") < float("inf"))
+    best = Window.partitionBy("query").orderBy("d", "vec_id")
+    return found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k).select("query", "leaf")
+
+
+def calibrate(rows: DataFrame, tree: KMeansTree, k: int, target: float, n: int, queries: int = QUERIES) -> int:
+    """Leaf visits at which about ``queries`` rows find ``target`` of their ``k`` nearest among all rows."""
+    held = _picked(rows, queries, n, 2).orderBy("vec_id").limit(2 * queries).collect() or [rows.first()]
+    x, ids = np.array([r.v for r in held]), np.array([r.vec_id for r in held])
+    shared = rows.sparkSession.sparkContext.broadcast((x, tree))
+    truth = _exact(rows, x, ids, tree, k).groupBy("query").agg(F.collect_list("leaf").alias("leaves"))
+
+    def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q, tree = shared.value
+        for b in batches:
+            out = []
+            for i, leaves in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                place = np.empty(tree.leaves, np.int64)
+                place[tree.best_bins(q[i], tree.leaves)] = np.arange(tree.leaves)
+                out += (place[leaves] + 1).tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], ["visits"])
+
+    needed = np.sort([r.visits for r in truth.repartition(32).mapInArrow(visits, "visits long").collect()])
+    return int(needed[min(len(needed) - 1, int(np.ceil(target * len(needed))) - 1)]) if len(needed) else tree.leaves
+
+
+def fit(rows: DataFrame, k: int = 10, target_recall: float = TARGET_RECALL, sample_rows: int = SAMPLE_ROWS,
+        leaf_rows: int = LEAF_ROWS) -> KMeansTree:
+    """Fit the tree and calibrate its visits; rows are sampled by a hash of the id."""
     n = rows.count()
     if n == 0:
         return KMeansTree()
-    share = min(1.0, sample_rows / n)
-    picked = rows if share == 1 else rows.where(
-        F.pmod(F.xxhash64("vec_id"), F.lit(1_000_003)) < int(share * 1_000_003))
-    x = np.array([r.v for r in picked.orderBy("vec_id").limit(2 * sample_rows).collect()])
+    x = np.array([r.v for r in _picked(rows, sample_rows, n).orderBy("vec_id").limit(2 * sample_rows).collect()])
     if not len(x):
         x = np.array([rows.first().v])
-    tree = fit_tree(x, max(8, int(LEAF_ROWS * len(x) / n)))
-    tree.visits = calibrate(tree, x, k, target_recall)
+    leaf_rows = max(leaf_rows, -(-n * x.shape[1] * 8 // TREE_BYTES))
+    if n <= sample_rows:
+        tree = fit_tree(x, leaf_rows)
+    else:
+        top = fit_tree(x, max(8, int(sample_rows / 2 * len(x) / n)))
+        tree = top.graft(_subtrees(rows, top, sample_rows, leaf_rows))
+    tree.leaf_rows = leaf_rows
+    tree.visits = calibrate(rows, tree, k, target_recall, n)
     return tree
 
 
 def build_index(rows: DataFrame, tree: KMeansTree) -> DataFrame:
-    """Every row with its leaf, written to the shared folder."""
-    shared = rows.sparkSession.sparkContext.broadcast(tree)
+    """Every row with its bin and leaf, written to the shared folder."""
+    shared = rows.sparkSession.sparkContext.broadcast((tree, tree.bins(tree.leaf_rows)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, bins = shared.value
         for b in batches:
-            leaf = shared.value.assign(_matrix(b.column(1))) if len(b) else []
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(leaf, pa.int64())], ["vec_id", "v", "leaf"])
+            leaf = tree.assign(_matrix(b.column(1))) if len(b) else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bins[leaf]), pa.array(leaf, pa.int64())],
+                                             ["vec_id", "v", "bin", "leaf"])
 
-    return materialise(rows.mapInArrow(run, "vec_id long, v array<double>, leaf long"), "index")
+    return materialise(rows.mapInArrow(run, "vec_id long, v array<double>, bin long, leaf long"), "index")
 
 
 def _visits(queries: DataFrame, index: DataFrame, tree: KMeansTree, k: int) -> DataFrame:
-    """(query_no, query_id, q, leaf): each query with the leaves it visits.
+    """(query_no, query_id, q, bin, leaves): each query with the leaves it visits, by bin.
 
     Leaves of few rows are not enough after the calibrated visits: a query goes on until
     ``k`` rows of other ids are reached or no leaf is left.
     """
-    held = index.groupBy("leaf").count().collect()
+    held = index.groupBy("leaf").count().collect()          # at most as many rows as the tree has leaves
     rows = np.zeros(tree.leaves, np.int64)
     for r in held:
         rows[r["leaf"]] = r["count"]
     asking = queries.select(F.col("query_id").alias("vec_id")).distinct()
     own = index.select("vec_id", "leaf").join(asking, "vec_id", "left_semi").groupBy("vec_id", "leaf").agg(
         F.count("*").alias("n")).groupBy(F.col("vec_id").alias("query_id")).agg(F.collect_list(F.struct("leaf", "n")).alias("own"))
-    shared = queries.sparkSession.sparkContext.broadcast((tree, rows))
+    shared = queries.sparkSession.sparkContext.broadcast((tree, rows, tree.bins(tree.leaf_rows)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, rows = shared.value
+        tree, rows, bins = shared.value
         for b in batches:
             for at in range(0, len(b), 256):
                 part = b.slice(at, 256)
-                leaves = [tree.best_bins(q, tree.visits, k, rows, {x["leaf"]: x["n"] for x in mine or ()})
-                          for q, mine in zip(_matrix(part.column(2)), part.column(3).to_pylist())]
-                again = pa.array(np.repeat(np.arange(len(part)), [len(x) for x in leaves]))
+                again, places, visited = [], [], []
+                for i, (q, mine) in enumerate(zip(_matrix(part.column(2)), part.column(3).to_pylist())):
+                    leaves = np.array(tree.best_bins(q, tree.visits, k, rows, {x["leaf"]: x["n"] for x in mine or ()}))
+                    for place in np.unique(bins[leaves]):
+                        again.append(i)
+                        places.append(place)
+                        visited.append(np.sort(leaves[bins[leaves] == place]))
                 yield pa.RecordBatch.from_arrays(
-                    [*(c.take(again) for c in part.columns[:3]), pa.array([x for xs in leaves for x in xs], pa.int64())],
-                    ["query_no", "query_id", "q", "leaf"])
+                    [*(c.take(pa.array(again, pa.int64())) for c in part.columns[:3]), pa.array(places, pa.int64()),
+                     pa.array(visited, pa.list_(pa.int64()))], ["query_no", "query_id", "q", "bin", "leaves"])
 
     return (queries.join(own, "query_id", "left").select("query_no", "query_id", "q", "own")
-            .mapInArrow(run, "query_no long, query_id long, q array<double>, leaf long"))
+            .mapInArrow(run, "query_no long, query_id long, q array<double>, bin long, leaves array<long>"))
 
 
 def nearest_in_block(ids: np.ndarray, x: np.ndarray, own: int, q: np.ndarray, k: int) -> list[tuple[float, int]]:
@@ -241,35 +358,40 @@ def nearest_in_block(ids: np.ndarray, x: np.ndarray, own: int, q: np.ndarray, k:
 def search(index: DataFrame, queries: DataFrame, tree: KMeansTree, k: int = 10) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest found; ``queries`` has vec_id and v.
 
-    A leaf with many rows or visits is cut into blocks on both sides, so
+    A bin with many rows or visits is cut into blocks on both sides, so
     no task holds more than one block of each.
     """
     q = queries.dropDuplicates().select(F.xxhash64("vec_id", "v").alias("query_no"),
                                         F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
     visits = materialise(_visits(q, index, tree, k), "visits")
-    cuts = lambda df, n, name: df.groupBy("leaf").agg(F.ceil(F.count("*") / n).alias(name))
-    sizes = cuts(index, BLOCK_ROWS, "row_blocks").join(cuts(visits, BLOCK_QUERIES, "query_blocks"), "leaf")
+    cuts = lambda df, n, name: df.groupBy("bin").agg(F.ceil(F.count("*") / n).alias(name))
+    sizes = cuts(index, BLOCK_ROWS, "row_blocks").join(cuts(visits, BLOCK_QUERIES, "query_blocks"), "bin")
     every = lambda name: F.explode(F.expr(f"sequence(0, {name} - 1)"))
     mine = lambda col, name: F.pmod(F.xxhash64(col), F.col(name))
-    rows = index.join(sizes, "leaf").select(
-        "leaf", mine("vec_id", "row_blocks").alias("row_block"), every("query_blocks").alias("query_block"), "vec_id", "v")
-    asked = visits.join(sizes, "leaf").select(
-        "leaf", every("row_blocks").alias("row_block"), mine("query_no", "query_blocks").alias("query_block"),
-        "query_no", "query_id", "q")
+    rows = index.join(sizes, "bin").select(
+        "bin", mine("vec_id", "row_blocks").alias("row_block"), every("query_blocks").alias("query_block"), "leaf", "vec_id", "v")
+    asked = visits.join(sizes, "bin").select(
+        "bin", every("row_blocks").alias("row_block"), mine("query_no", "query_blocks").alias("query_block"),
+        "query_no", "query_id", "q", "leaves")
 
     def compare(block: pa.Table, asking: pa.Table) -> pa.Table:
         out = ([], [], [], [])
         if len(block) and len(asking):
-            ids, x = block.column("vec_id").to_numpy(), _matrix(block.column("v"))
-            for no, own, vec in zip(asking.column("query_no").to_pylist(), asking.column("query_id").to_pylist(),
-                                    _matrix(asking.column("q"))):
-                for score, vec_id in nearest_in_block(ids, x, own, vec, k):
+            leaf = block.column("leaf").to_numpy()
+            order = np.argsort(leaf, kind="stable")
+            leaf, ids, x = leaf[order], block.column("vec_id").to_numpy()[order], _matrix(block.column("v"))[order]
+            for no, own, vec, leaves in zip(asking.column("query_no").to_pylist(), asking.column("query_id").to_pylist(),
+                                            _matrix(asking.column("q")), asking.column("leaves")):
+                seen = leaves.values.to_numpy()
+                from_, to = np.searchsorted(leaf, seen), np.searchsorted(leaf, seen, "right")
+                at = np.repeat(to - np.cumsum(to - from_), to - from_) + np.arange((to - from_).sum())
+                for score, vec_id in nearest_in_block(ids[at], x[at], own, vec, k):
                     for column, value in zip(out, (no, own, vec_id, score)):
                         column.append(value)
         return pa.table([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.float64()))],
                         names=["query_no", "query_id", "vec_id", "score"])
 
-    key = ["leaf", "row_block", "query_block"]
+    key = ["bin", "row_block", "query_block"]
     found = (rows.groupBy(*key).cogroup(asked.groupBy(*key))
              .applyInArrow(compare, "query_no long, query_id long, vec_id long, score double"))
     order = Window.partitionBy("query_id", "query_no").orderBy("score", "vec_id")
@@ -278,7 +400,7 @@ def search(index: DataFrame, queries: DataFrame, tree: KMeansTree, k: int = 10)
 
 
 def nearest_neighbours(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", embedding: str = "embedding",
-                       k: int = 10, target_recall: float = 0.99) -> DataFrame:
+                       k: int = 10, target_recall: float = TARGET_RECALL) -> DataFrame:
     """Fit, index every row and search for the rows that ``is_query`` (a condition on vec_id) picks."""
     rows = usable(vectors, vec_id, embedding)
     tree = fit(rows, k, target_recall)

@@ -12,13 +12,18 @@ join of the classes goes:
 3. *Clusters.* Two linked sets share a shingle among the first ``n - need + 1``
    of either. The classes that share such a shingle go to the cluster of
    their smallest member, so a class travels once per cluster and not per shingle.
-4. *Trie join.* A cluster is cut into shards of bounded size. In each one the
+4. *Trie join.* A cluster that is too large for one trie is cut into bands of set
+   sizes first: sets link only if their sizes are close, so each band goes with
+   the next one. What is still too large is cut into shards of bounded size. In each one the
    ordered sets are stored in a trie; a set walks it, shares the overlap counted
    along common paths, and leaves subtrees whose remaining length cannot reach
    the threshold. Sets already known to be connected are not compared again.
 5. *Between shards.* Only sets outside the component of their cluster's smallest
    member can still gain a link; they visit the other shards of the cluster.
 
+``link_components`` stops comparing sets once they are known to be connected. ``class_links``
+lists every link between different sets over the same clusters and bands.
+
 Defined results: null, empty or word-less texts have an empty set and link
 with nothing; repeated rows are equal sets and share a component; a component
 is named by its smallest non-null id; an empty table gives an empty result.
@@ -27,11 +32,13 @@ Shingles and sets are compared by 64-bit hashes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corridor.llm.components import connected_components
@@ -41,6 +48,7 @@ from corridor.llm.storage import discard, materialise, scratch_path, small_side
 EXTRA = 0.05               # share of a set by which the first filter's prefix is longer
 COUNTERS = 1 << 22         # counters behind the global order: the broadcast is this many bytes times two
 SHARD_TOKENS = 200_000     # shingles of the sets that meet in one trie
+_PARTS = 512               # first-level groups when tasks' counters are added up
 
 # A-Z lowered; space, tab, line feed, vertical tab, form feed and carriage return separate words.
 _TABLE = bytes(32 if c == 32 or 9 <= c <= 13 else c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -158,8 +166,9 @@ def _counters(sets: DataFrame) -> np.ndarray:
                 np.add.at(total, (flat[at:at + (1 << 20)] & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
         if total.any():
             blocks = np.minimum(total, 65535).astype(np.uint16).reshape(-1, block)
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()),
-                                              pa.array([x.tobytes() for x in blocks], pa.binary())], ["block", "counts"])
+            part = TaskContext.get().partitionId() % _PARTS
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array([part] * len(blocks), pa.int32()),
+                                              pa.array([x.tobytes() for x in blocks], pa.binary())], ["block", "part", "counts"])
 
     def add(key: tuple, parts: pa.Table) -> pa.Table:
         total = np.zeros(block, np.uint32)
@@ -168,8 +177,10 @@ def _counters(sets: DataFrame) -> np.ndarray:
         out = np.minimum(total, 65535).astype(np.uint16)
         return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([out.tobytes()], pa.binary())})
 
-    rows = (sets.select("tokens").mapInArrow(run, "block int, counts binary")
-            .groupBy("block").applyInArrow(add, "block int, counts binary").collect())
+    # In two levels, so that a group holds the blocks of a share of the tasks, or _PARTS sums.
+    told = "block int, counts binary"
+    rows = (sets.select("tokens").mapInArrow(run, "block int, part int, counts binary")
+            .groupBy("block", "part").applyInArrow(add, told).groupBy("block").applyInArrow(add, told).collect())
     out = np.zeros(COUNTERS, np.uint16)
     for r in rows:
         out[r.block * block:(r.block + 1) * block] = np.frombuffer(r.counts, np.uint16)
@@ -316,8 +327,8 @@ def trie_links(sets: list[list[int]], groups: list[int], percent: int) -> list[t
     return out
 
 
-def _join_units(units: DataFrame, sets: DataFrame, counts, percent: int) -> DataFrame:
-    """Links (a, b) found in each unit; ``units`` has center, shard, other, member and group_id."""
+def _join_units(units: DataFrame, sets: DataFrame, counts, percent: int, every: bool = False) -> DataFrame:
+    """Links (a, b) found in each unit, as far as components need or ``every`` one; ``units`` has center, shard, other, member and group_id."""
 
     def run(unit: pa.Table) -> pa.Table:
         members = {k: (g, _tokens(x)) for k, g, x in zip(unit.column("member").to_pylist(),
@@ -331,7 +342,7 @@ def _join_units(units: DataFrame, sets: DataFrame, counts, percent: int) -> Data
             by_order[np.searchsorted(distinct, at)] = np.arange(len(distinct))
             cuts = np.cumsum([len(t) for t in tokens])[:-1]
             sets_ = [np.sort(x).tolist() for x in np.split(by_order[rank], cuts)]
-            for i, j in trie_links(sets_, groups, percent):
+            for i, j in all_links(sets_, percent) if every else trie_links(sets_, groups, percent):
                 a.append(keys[i])
                 z.append(keys[j])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(z, pa.int64())})
@@ -341,39 +352,114 @@ def _join_units(units: DataFrame, sets: DataFrame, counts, percent: int) -> Data
     return full.groupBy("center", "shard", "other").applyInArrow(run, "a long, b long")
 
 
-def _links(docs: DataFrame, base: DataFrame, chosen: DataFrame, words: int, percent: int, shard_tokens: int) -> DataFrame:
-    """Links between classes that give all components."""
+def _banded(clusters: DataFrame, percent: int, shard_tokens: int) -> DataFrame:
+    """(center, member, n): clusters over ``shard_tokens`` cut into bands of set sizes, each with the next band.
+
+    Sizes of linked sets differ by a factor of at most 100 / ``percent``, the width of a band
+    (a little more, for rounding), so linked sets lie in one band or in two next to each other.
+    """
+    large = materialise(clusters.groupBy("center").agg(F.sum("n").alias("size")).where(F.col("size") > shard_tokens)
+                        .select(F.col("center").alias("c")), "large-clusters")
+    n = large.count()
+    if not n:
+        return clusters
+    few = small_side(large, n)
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent) * 1.0001))
+    cut = (clusters.join(few, F.col("center") == F.col("c"), "left_semi")
+           .select("center", "member", "n", F.explode(F.array(band - 1, band)).alias("band"))
+           .select(F.xxhash64("center", "band").alias("center"), "member", "n"))
+    return materialise(clusters.join(few, F.col("center") == F.col("c"), "left_anti").unionByName(cut).distinct(), "bands")
+
+
+def _salt(n: Column) -> Column:
+    return F.pmod(F.xxhash64("member", F.lit(17)), n)
+
+
+def _spread(clusters: DataFrame, shard_tokens: int) -> tuple[DataFrame, int]:
+    """Clusters with their number of ``shards`` and each member's ``shard``, and how many have more than one."""
+    sizes = materialise(clusters.groupBy("center").agg(F.ceil(F.sum("n") / shard_tokens).alias("cut"))
+                        .where("cut > 1").withColumnRenamed("center", "c"), "sizes")
+    n = sizes.count()
+    # Only clusters of several shards are joined: a counted few, so a hot cluster is not shuffled by its key.
+    spread = clusters.join(small_side(sizes, n), F.col("center") == F.col("c"), "left").select(
+        "center", "member", "n", F.coalesce("cut", F.lit(1)).alias("shards"))
+    return spread.withColumn("shard", _salt(F.col("shards"))), n
+
+
+def _prepared(docs: DataFrame, base: DataFrame, chosen: DataFrame, words: int, percent: int, shard_tokens: int):
+    """The sets that can link, the broadcast counters, and the clusters in bands."""
     sets = materialise(_whole_sets(docs, base, chosen, words), "sets")
     counts = docs.sparkSession.sparkContext.broadcast(_counters(sets))
     clusters = materialise(_clusters(sets, chosen, counts, percent), "clusters")
-    sizes = clusters.groupBy("center").agg(
-        F.ceil(F.sum("n") / shard_tokens).alias("shards")).withColumnRenamed("center", "c")
-    salt = lambda n: F.pmod(F.xxhash64("member", F.lit(17)), n)
-    spread = clusters.join(sizes, F.col("center") == F.col("c")).select(
-        "center", "member", "n", "shards", salt(F.col("shards")).alias("shard"))
+    return sets, counts, _banded(clusters, percent, shard_tokens)
+
+
+def _links(docs: DataFrame, base: DataFrame, chosen: DataFrame, words: int, percent: int, shard_tokens: int) -> DataFrame:
+    """Links between classes that give all components."""
+    sets, counts, clusters = _prepared(docs, base, chosen, words, percent, shard_tokens)
+    spread, n_large = _spread(clusters, shard_tokens)
     first = spread.select("center", "shard", F.lit(0).cast("long").alias("other"), "member",
                           F.col("member").alias("group_id"))
     inside = materialise(_join_units(first, sets, counts, percent), "links")
-    large = spread.where("shards > 1")
-    if large.isEmpty():
+    if not n_large:
         return inside
+    large = spread.where("shards > 1")
     comps = connected_components(inside)
     root = F.coalesce(F.col("component"), F.col("member"))
     placed = large.join(comps, F.col("member") == F.col("node"), "left").select(
         "center", "member", "n", "shards", "shard", root.alias("group_id"))
-    main = placed.where("center = member").select(F.col("center").alias("c"), F.col("group_id").alias("main"))
-    placed = placed.join(main, F.col("center") == F.col("c")).drop("c")
     placed = materialise(placed, "placed")
-    apart = placed.where("group_id <> main")
-    n_apart = apart.groupBy("center").agg(F.ceil(F.sum("n") / shard_tokens).alias("others")).withColumnRenamed("center", "c")
-    apart = apart.join(n_apart, F.col("center") == F.col("c")).drop("c")
-    stay = (placed.join(n_apart, F.col("center") == F.col("c"))
+    # One row per cluster of several shards: the same counted few as in _spread.
+    main = placed.groupBy(F.col("center").alias("c")).agg(F.min_by("group_id", "member").alias("main"))
+    apart = placed.join(small_side(main, n_large), F.col("center") == F.col("c")).where("group_id <> main").drop("c")
+    n_apart = materialise(apart.groupBy(F.col("center").alias("c")).agg(F.ceil(F.sum("n") / shard_tokens).alias("others")), "apart")
+    few = small_side(n_apart, n_large)
+    apart = apart.join(few, F.col("center") == F.col("c")).drop("c")
+    stay = (placed.join(few, F.col("center") == F.col("c"))
             .select("center", "shard", F.explode(F.expr("sequence(0, others - 1)")).alias("other"), "member", "group_id"))
     visit = apart.select("center", F.explode(F.expr("sequence(0, shards - 1)")).alias("shard"),
-                         salt(F.col("others")).alias("other"), "member", "group_id")
+                         _salt(F.col("others")).alias("other"), "member", "group_id")
     return inside.unionByName(_join_units(stay.unionByName(visit).distinct(), sets, counts, percent))
 
 
+def all_links(sets: list[list[int]], percent: int) -> list[tuple[int, int]]:
+    """Every pair of the sets whose similarity reaches the threshold, by walking the trie with each set."""
+    trie, gone = Trie(sets), [False] * len(sets)
+    return [(i, j) for i in range(len(sets)) for j in trie.links(i, percent, gone) if i < j]
+
+
+def class_links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, percent: int = 85,
+                shard_tokens: int = SHARD_TOKENS) -> tuple[DataFrame, DataFrame]:
+    """(links, members): every link (a, b), a < b, between different sets, and (doc_id, set_key, n_shingles) per document.
+
+    Equal sets are one class and link with each other; they are not listed as pairs. Clusters of several shards
+    meet shard by shard. The links of a class with all its partners can be many: the result is as
+    large as the true links between different sets, never as their copies.
+    """
+    slim = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    base, chosen = _classes(slim, words, percent)
+    some = base.where("n > 0")
+    sets, counts, clusters = _prepared(slim, some, chosen, words, percent, shard_tokens)
+    spread, _ = _spread(clusters, shard_tokens)
+    # Units (shard, other) with shard <= other: each member visits the units of its shard.
+    units = spread.select("center", "member", "shards", "shard", F.explode(F.expr("sequence(0L, shards - 1)")).alias("with")).select(
+        "center", F.least("shard", "with").alias("shard"), F.greatest("shard", "with").alias("other"), "member",
+        F.col("member").alias("group_id")).distinct()
+    found = _join_units(units, sets, counts, percent, every=True)
+    links = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return links, base.select("doc_id", F.when(F.col("n") > 0, F.col("set_key")).alias("set_key"), F.col("n").alias("n_shingles"))
+
+
+def _classes(slim: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, set_key, n) of every document, and (set_key, n) of the classes that can link with another."""
+    low = scratch_path(slim.sparkSession, "low")
+    sampled = materialise(_sampled(slim, words, percent), "low", low)
+    base = materialise(sampled.drop("low"), "classes")
+    chosen = materialise(_linkable(sampled.where("n > 0"), percent), "linkable")
+    discard(slim.sparkSession, low)
+    return base, chosen
+
+
 def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, percent: int = 85,
                     shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """One row per document: doc_id, n_shingles and component_id.
@@ -381,13 +467,8 @@ def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Documents link when 100 * intersection >= ``percent`` * union of their
     sets of ``words``-word shingles; the component is named by its smallest id.
     """
-    spark = docs.sparkSession
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    low = scratch_path(spark, "low")
-    sampled = materialise(_sampled(slim, words, percent), "low", low)
-    base = materialise(sampled.drop("low"), "classes")
-    chosen = materialise(_linkable(sampled.where("n > 0"), percent), "linkable")
-    discard(spark, low)
+    base, chosen = _classes(slim, words, percent)
     some = base.where("n > 0")
     comps = connected_components(_links(slim, some, chosen, words, percent, shard_tokens))
     classes = some.groupBy("set_key").agg(F.min("doc_id").alias("first_id"))

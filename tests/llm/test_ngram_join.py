@@ -126,3 +126,43 @@ def test_low_prefix_guarantee():
         low = lambda s: s[:len(s) - J.need(len(s), 85) + max(1, int(J.EXTRA * len(s)))]
         for s in (a, b):
             assert len(np.intersect1d(low(a), low(b))) >= max(1, int(J.EXTRA * 0.85 * len(s)))
+
+
+def brute_links(rows, percent=85):
+    sets = {}
+    for d, t in rows:
+        if s := frozenset(plain_set(t)):
+            sets.setdefault(s, []).append(d)
+    keys = list(sets)
+    return {frozenset((min(sets[a]), min(sets[b]))) for i, a in enumerate(keys) for b in keys[:i]
+            if 100 * len(a & b) >= percent * len(a | b)}
+
+
+@pytest.mark.parametrize("seed, shard_tokens", [(1, 200_000), (4, 250)])
+def test_every_link_is_listed(spark, seed, shard_tokens):
+    rows = corpus(seed) + [(1, None), (2, "")]
+    rows += [(9000 + i, t) for i, (_, t) in enumerate(rows[:5])]
+    links, members = J.class_links(spark.createDataFrame(rows, "doc_id long, text string"), shard_tokens=shard_tokens)
+    held = {}
+    for r in members.collect():
+        held.setdefault(r.set_key, []).append(r.doc_id)
+    assert sorted(d for k, ds in held.items() if k is not None for d in ds) == sorted(d for d, t in rows if plain_set(t))
+    found = [(min(held[r.a]), min(held[r.b])) for r in links.collect()]
+    assert len(found) == len(set(found)) and {frozenset(p) for p in found} == brute_links(rows) != set()
+
+
+def test_bands_keep_linked_sizes_together(spark, monkeypatch):
+    """Sets of one cluster and all sizes: every two sizes within the threshold meet, far ones do not."""
+    rows = [(1, n, n) for n in range(1, 400)]
+    out = J._banded(spark.createDataFrame(rows, "center long, member long, n long"), 85, 100).collect()
+    at = {}
+    for r in out:
+        at.setdefault(r.member, set()).add(r.center)
+    assert all(len(c) == 2 for c in at.values())
+    for a in range(1, 400):
+        for b in range(a, 400):
+            if 100 * a >= 85 * b:
+                assert at[a] & at[b], (a, b)
+            if 100 * 100 * a < 84 * 84 * b:
+                assert not at[a] & at[b]
+    assert J._banded(spark.createDataFrame(rows, "center long, member long, n long"), 85, 10**9).count() == 399
