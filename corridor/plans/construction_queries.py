@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corridor.functions.normalize import ZONE_STATUSES, normalize_geometry_type
-from corridor.operators import integrity, transform, validate
+from corridor.operators import integrity, kpis, transform, validate
 from corridor.plans.catalog import register
 from corridor.plans.views import construction_feed, duck_with
 
@@ -120,8 +120,4 @@ def _feed_counts_sql() -> str:
 def q_feed_status_counts(spark, sf):
     """Rows per (feed, status) for the incident and construction tables."""
     from corridor.plans.incident_queries import incident_table
-    a = incident_table(spark, sf).groupBy("status").agg(F.count(F.lit(1)).alias("n")) \
-        .select(F.lit("incidents").alias("feed"), "status", "n")
-    b = loaded_zones(spark, sf).groupBy("status").agg(F.count(F.lit(1)).alias("n")) \
-        .select(F.lit("construction").alias("feed"), "status", "n")
-    return a.unionByName(b)
+    return kpis.status_counts(incidents=incident_table(spark, sf), construction=loaded_zones(spark, sf))

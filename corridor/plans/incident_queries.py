@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corridor.operators import incidents as inc
-from corridor.operators import spatial, transform, validate
+from corridor.operators import kpis, spatial, transform, validate
 from corridor.plans.catalog import register
 from corridor.plans.views import duck_with, view
 
@@ -142,8 +142,4 @@ def q_incident_geojson(spark, sf):
           "CAST(COUNT(*) FILTER (WHERE status = 'cleared') AS BIGINT) AS cleared FROM it")
 def q_incident_kpis(spark, sf):
     """Dashboard incident counters in one aggregate: active, active critical, cleared."""
-    t = incident_table(spark, sf)
-    active = F.col("status") == "active"
-    return t.agg(F.count_if(active).cast("long").alias("active"),
-                 F.count_if(active & (F.col("severity") == "critical")).cast("long").alias("critical"),
-                 F.count_if(F.col("status") == "cleared").cast("long").alias("cleared"))
+    return kpis.incident_kpis(incident_table(spark, sf))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corridor.functions.numeric import rnd
+from corridor.operators import kpis
 from corridor.plans import catalog, model_queries, reading_queries, segment_queries  # noqa: F401 - their SQL
 from corridor.plans.catalog import register
 from corridor.plans.views import duck_with, view
@@ -58,6 +59,13 @@ def q_traffic_trends_segment_kept(spark: SparkSession, sf: str) -> DataFrame:
     return _cells(spark, sf).report(by=["segment_id"])
 
 
+@register("network_kpis_kept", catalog.ORACLE["network_kpis"])
+def q_network_kpis_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """The network counters from the kept tables."""
+    latest = _fill(kept.latest_readings(spark, scratch_path(spark, "latest"), ts="reading_ts"), view(spark, sf, "readings"), "reading_id")
+    return kpis.network_kpis_kept(latest.read(), _cells(spark, sf).read())
+
+
 @register("model_fit_kept", catalog.ORACLE["model_fit"])
 def q_model_fit_kept(spark: SparkSession, sf: str) -> DataFrame:
     """The fit from sums kept per batch of training rows."""

@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corridor.functions import geometry as geo
-from corridor.functions.levels import congestion_level
-from corridor.functions.numeric import exact_avg, rnd
-from corridor.operators import integrity, latest, segments as sg, spatial
+from corridor.functions.numeric import rnd
+from corridor.operators import integrity, kpis, latest, segments as sg, spatial
 from corridor.operators.incidents import line_feature
 from corridor.plans.catalog import avg_sql, register, rnd_sql
 from corridor.plans.views import duck_ctes, duck_with, view
@@ -277,13 +276,4 @@ def q_prediction_log(spark, sf):
           "FROM lr")
 def q_network_kpis(spark, sf):
     """Network-wide speed/congestion over each segment's latest reading, plus volume."""
-    r = view(spark, sf, "readings")
-    per_seg = r.groupBy("segment_id").agg(
-        F.max(F.struct("reading_ts", "reading_id", "current_speed", "congestion_score")).alias("l"),
-        F.count(F.lit(1)).alias("n"))
-    c = F.col("l.congestion_score")
-    return per_seg.agg(rnd(exact_avg(F.col("l.current_speed")), 2).alias("avg_speed"),
-                       rnd(exact_avg(c), 3).alias("avg_congestion"),
-                       F.count(F.lit(1)).alias("segment_count"),
-                       F.sum("n").alias("reading_count"),
-                       congestion_level(exact_avg(c)).alias("congestion_level"))
+    return kpis.network_kpis(view(spark, sf, "readings"))
