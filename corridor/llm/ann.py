@@ -35,11 +35,11 @@ from pyspark.sql import functions as F
 from corridor.llm.storage import materialise
 
 SAMPLE_ROWS = 20_000       # rows that the top, or one subtree, is fitted on, about
-LEAF_ROWS = 16             # rows aimed at per leaf
+LEAF_ROWS = 8              # rows aimed at per leaf
 BIN_ROWS = 2_048           # rows aimed at per bin of neighbouring leaves
 TREE_BYTES = 64 << 20      # of all leaves' centres; more rows make larger leaves, not a larger tree
 QUERIES = 300              # rows whose exact neighbours calibrate the visits
-TARGET_RECALL = 0.96
+TARGET_RECALL = 0.965
 BRANCH = 8
 BLOCK_ROWS, BLOCK_QUERIES = 4_096, 1_024
 
