@@ -257,11 +257,15 @@ def _groups(column: pa.Array, chars: int = 1 << 21) -> Iterator[list[str]]:
 
 
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: ``doc_id`` and ``ids``, the whole text's token ids."""
+    """One row per document: ``doc_id`` and ``ids``, the whole text's token ids.
+
+    Only the driver reads the file at ``path``; the parsed vocabulary is broadcast (some MB, by its size).
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(load(path))
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(load(path), packed)
+        encoder = Encoder(shared.value, packed)
         for b in batches:
             at = 0
             for texts in _groups(b.column(1)):
@@ -281,12 +285,13 @@ def encode_decode_digest(docs: DataFrame, path: str, doc_id: str = "doc_id", tex
 
     Both strings are joined by spaces over tokens, so they are joined from the words' own.
     """
+    shared = docs.sparkSession.sparkContext.broadcast(load(path))
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = (f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, n_tokens long, "
               "ids_sha256 string, decoded_sha256 string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = load(path)
+        vocab = shared.value
         encoder = Encoder(vocab, lambda ids: (len(ids), " ".join(map(str, ids)), decode(vocab, ids)))
         sha = lambda words: hashlib.sha256(" ".join(words).encode("utf-8", "surrogatepass")).hexdigest()
         for b in batches:

@@ -149,6 +149,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
     load = lambda df: [(bytes(r.window), list(r["items"])) for r in df.collect()]
     if shards <= 1:
         return _scan(slim, load(wins))
+    wins = materialise(wins, "windows")
     # Rows get a number of their own, so that repeated ids stay apart while shards are united. They are written out
     # once: numbers drawn again in another row order would join hits to other rows.
     keyed = materialise(slim.select(F.struct(F.monotonically_increasing_id().alias("n"), "doc_id").alias("doc_id"), "text"),

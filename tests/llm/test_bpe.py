@@ -1,3 +1,4 @@
+import os
 import hashlib
 import random
 import sys
@@ -90,3 +91,15 @@ def test_vocabulary_without_order_is_refused(tmp_path):
     p.write_text(json.dumps(bad))
     with pytest.raises(ValueError):
         bpe.Vocabulary(str(p))
+
+
+def test_only_the_driver_reads_the_file(spark, tmp_path):
+    """The tasks run after the file is gone."""
+    import shutil
+    path = str(tmp_path / "tokenizer.json")
+    shutil.copy(PATH, path)
+    bpe._LOADED.pop(path, None)
+    df = spark.createDataFrame([(1, "a small text"), (2, None)], "doc_id long, text string")
+    lazy = bpe.encode(df, path)
+    os.remove(path)
+    assert {r.doc_id: r.ids for r in lazy.collect()} == {1: encoded(["a small text"])[0], 2: []}
