@@ -181,4 +181,42 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
 FROM t
 """
 
-ORACLE = {"op2_ngram_join": _OP2, "op3_chat": _OP3, "op5_decontaminate": _OP5, "op6_warc": _OP6}
+# All words that repeat with a period, by brute force: a run of period q holds three multiples of q in a row at which a word
+# equals the one q later, so only such (document, q) are compared word by word.
+_OP11 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+    xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+      lambda c: CAST(ascii(c) AS UBIGINT))), lambda crc, b: list_reduce(list_prepend(xor(crc, b),
+        list_transform(range(8), lambda i: CAST(i AS UBIGINT))),
+        lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, CAST(3988292384 AS UBIGINT)) ELSE x >> 1 END)),
+      CAST(4294967295 AS UBIGINT)) AS h
+  FROM documents),
+e AS (SELECT r, doc_id, ws, len(ws) AS n, CAST(h AS BIGINT) AS h, CAST(h // 10 AS BIGINT) AS g FROM d),
+f AS (SELECT *, g % n AS a, 1 + (n - g % n) // (3 + g % 8) AS p FROM e),
+t AS (
+  SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN
+    list_transform(range(n), lambda i: ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE ws END AS ws FROM f),
+c AS (
+  SELECT r, q FROM t, unnest(range(1, n // 4 + 1)) AS u(q)
+  WHERE contains(array_to_string(list_transform(range((n - 1) // q),
+    lambda k: CASE WHEN ws[k * q + 1] = ws[(k + 1) * q + 1] THEN '1' ELSE '0' END), ''), '111')),
+m AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island
+  FROM c JOIN t USING (r), unnest(range(n - q)) AS u(i) WHERE ws[i + 1] = ws[i + q + 1]),
+s AS (SELECT r, q, min(i) AS start, count(*) + q AS length FROM m GROUP BY r, q, island),
+runs AS (SELECT r, start, length, min(q) AS period FROM s WHERE length >= greatest(6, 4 * q) GROUP BY r, start, length),
+told AS (
+  SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+    first({'s': start, 'l': length, 'p': period} ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) AS best
+  FROM runs GROUP BY r),
+gone AS (SELECT DISTINCT r, i FROM runs, unnest(range(start + period, start + length)) AS u(i)),
+kept AS (
+  SELECT r, string_agg(ws[i + 1], ' ' ORDER BY i) AS words
+  FROM (SELECT t.r, ws, i FROM told JOIN t USING (r), unnest(range(n)) AS u(i)) x ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(best.s AS BIGINT) AS start, CAST(best.l AS BIGINT) AS length,
+  CAST(best.p AS BIGINT) AS period, CAST(1000 * best.l // best.p AS BIGINT) AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(words, array_to_string(ws, ' '))) AS collapsed_sha256
+FROM t LEFT JOIN told USING (r) LEFT JOIN kept USING (r)
+"""
+
+ORACLE = {"op11_runs": _OP11, "op2_ngram_join": _OP2, "op3_chat": _OP3, "op5_decontaminate": _OP5, "op6_warc": _OP6}
