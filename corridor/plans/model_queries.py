@@ -93,6 +93,32 @@ def q_predict_custom(spark, sf):
     return valid.select("l_orderkey", "l_linenumber", *[v.alias(k) for k, v in r.items()])
 
 
+_REASON = """concat_ws(';', CASE WHEN length IS NULL OR length <= 0 THEN 'length_invalid' END,
+  CASE WHEN speed_limit IS NULL OR speed_limit <= 0 THEN 'speed_limit_invalid' END,
+  CASE WHEN congestion_score IS NULL OR congestion_score < 0 OR congestion_score > 1 THEN 'congestion_score_invalid' END,
+  CASE WHEN rain_intensity < 0 THEN 'rain_intensity_invalid' END)"""
+
+
+@register("predict_requests", duck_with("requests").rstrip() + f""",
+req AS (SELECT l_orderkey, l_linenumber, length, speed_limit, congestion_score,
+    COALESCE(rain_intensity, 0e0) AS rain_intensity, COALESCE(temperature, 2e1) AS temperature FROM requests WHERE {_REASON} = '')
+SELECT l_orderkey, l_linenumber, {_PRED} AS predicted_time_seconds FROM req""")
+def q_predict_requests(spark, sf):
+    """Predictions of the well-formed among requests of which many are not."""
+    valid, _ = validate.validate_prediction_request(view(spark, sf, "requests"), keep=("l_orderkey", "l_linenumber"))
+    r = model.predict_response(F.col("length"), F.col("speed_limit"), F.col("congestion_score"),
+                               F.col("rain_intensity"), F.col("temperature"))
+    return valid.select("l_orderkey", "l_linenumber", r["predicted_time_seconds"].alias("predicted_time_seconds"))
+
+
+@register("predict_request_rejects", duck_with("requests") +
+          f"SELECT l_orderkey, l_linenumber, {_REASON} AS reason FROM requests WHERE {_REASON} <> ''")
+def q_predict_request_rejects(spark, sf):
+    """Requests that are refused, with every reason."""
+    _, rejected = validate.validate_prediction_request(view(spark, sf, "requests"), keep=("l_orderkey", "l_linenumber"))
+    return rejected.select("l_orderkey", "l_linenumber", "reason")
+
+
 def _fit_sql() -> str:
     w, lr = _W, model.LEARNING_RATE
     g = ("g AS (SELECT COUNT(*) AS n, SUM(x1) AS s1, SUM(x2) AS s2, SUM(x3) AS s3, SUM(x1 * x1) AS s11, "

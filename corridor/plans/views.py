@@ -88,6 +88,15 @@ SELECT l_orderkey, l_linenumber, l_quantity * 1e2 AS length,
   CASE WHEN l_returnflag = 'R' THEN NULL
        ELSE l_quantity * 1e2 / (CAST(30 + 10 * (l_suppkey % 9) AS DOUBLE) / 36e-1)
             * (12e-1 + 25e-1 * l_discount * 1e1 + 1e-1 * l_tax * 1e2) END AS actual_time
+FROM {lineitem}""",
+    # Prediction requests, some with a value missing or outside its range.
+    "requests": """
+SELECT l_orderkey, l_linenumber,
+  CASE WHEN l_orderkey % 11 = 0 THEN NULL WHEN l_orderkey % 13 = 0 THEN 0e0 ELSE l_quantity * 1e2 END AS length,
+  CASE WHEN l_partkey % 17 = 0 THEN -3e1 ELSE CAST(30 + 10 * (l_suppkey % 9) AS DOUBLE) END AS speed_limit,
+  CASE WHEN l_partkey % 7 = 0 THEN l_discount * 1e1 + 1e0 ELSE l_discount * 1e1 END AS congestion_score,
+  CASE WHEN l_suppkey % 5 = 0 THEN NULL WHEN l_suppkey % 19 = 0 THEN -1e0 ELSE l_tax * 1e2 END AS rain_intensity,
+  CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE CAST(l_partkey % 35 AS DOUBLE) END AS temperature
 FROM {lineitem}""",
     # An upsert batch keyed by osm_id: keys repeat (s % 60), so keep-last by
     # `ordinal` matters; about half the keys exist in `segments`.
