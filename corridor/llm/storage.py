@@ -36,9 +36,20 @@ def materialise(df: DataFrame, label: str, path: str | None = None) -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, rows: int, limit: int = 500_000) -> DataFrame:
-    """Mark a side for broadcast only if its counted rows stay under ``limit``."""
-    return F.broadcast(df) if rows <= limit else df
+def small_side(df: DataFrame, rows: int, limit: int = 500_000, max_bytes: int = 64 << 20) -> DataFrame:
+    """Mark a side for broadcast only if its counted rows stay under ``limit`` and their measured text under ``max_bytes``.
+
+    Columns of fixed width need no measuring; ``df`` should be a written table, as others are summed up here.
+    """
+    if rows > limit:
+        return df
+    fixed = ("bigint", "int", "smallint", "tinyint", "double", "float", "boolean", "date", "timestamp")
+    loose = [c for c, kind in df.dtypes if kind not in fixed]
+    if loose and rows:
+        size = df.agg(F.sum(sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in loose), F.lit(0)))).first()[0]
+        if (size or 0) > max_bytes:
+            return df
+    return F.broadcast(df)
 
 
 def learnable(doc_id: Column) -> Column:
