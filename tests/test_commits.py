@@ -131,7 +131,7 @@ def test_compaction_keeps_rows_and_bounds_files(spark, tmpdir_path):
     rng = random.Random(3)
     table = tables.committed(spark, f"{tmpdir_path}/t", "traffic_readings")
     want = []
-    for k in range(14):
+    for k in range(10):
         df = readings(spark, rng, 20, first=100 * k).withColumn("dt", F.to_date("timestamp"))
         table.write(df, k, "s")
         want += rows_of(df)
@@ -171,8 +171,8 @@ def test_kept_summaries_equal_the_full_history(spark, tmpdir_path):
     rng = random.Random(11)
     out = f"{tmpdir_path}/o"
     summaries = kept.ReadingSummaries(spark, out)
-    batches = {(s, k): readings(spark, rng, 30, first=1000 * k + 100 * (s == "b")) for s in "ab" for k in range(5)}
-    order = [(s, k) for s in "ab" for k in range(5)]
+    batches = {(s, k): readings(spark, rng, 30, first=1000 * k + 100 * (s == "b")) for s in "ab" for k in range(3)}
+    order = [(s, k) for s in "ab" for k in range(3)]
     for s, k in order[::-1]:                               # newest first: all later ones are late
         summaries.add(batches[s, k], k, s)
         if (s, k) in (("b", 1), ("a", 2)):
@@ -191,10 +191,10 @@ def test_kept_summaries_equal_the_full_history(spark, tmpdir_path):
         assert rows_of(summaries.cells.report(first_day=day, last_day=day)) == rows_of(
             traffic_trends(every.where(F.to_date("timestamp") == F.lit(day)), ts="timestamp"))
     same()
-    summaries.compact(fan=3)
+    summaries.compact(fan=2)
     same()
-    batches["a", 4] = readings(spark, rng, 12, first=9000)
-    summaries.add(batches["a", 4], 4, "a")                 # the stream's last batch, after compaction
+    batches["a", 2] = readings(spark, rng, 12, first=9000)
+    summaries.add(batches["a", 2], 2, "a")                 # the stream's last batch, after compaction
     every = batches["a", 0]
     for key in order[1:]:
         every = every.unionByName(batches[key])
