@@ -26,6 +26,7 @@ import heapq
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -114,18 +115,29 @@ class KMeansTree:
         """
         out: list[int] = []
         reached = 0
+        for leaf in self.in_order(q):
+            if len(out) >= visits and reached >= least:
+                break
+            out.append(leaf)
+            if least:
+                reached += int(rows[leaf]) - own.get(leaf, 0)
+        return out
+
+    def in_order(self, q: np.ndarray) -> Iterator[int]:
+        """All leaves in the order in which the priority queue reaches them."""
         queue = [(0.0, 0)]
-        while queue and (len(out) < visits or reached < least):
+        while queue:
             _, node = heapq.heappop(queue)
             if not self.kids[node]:
-                out.append(self.leaf_no[node])
-                if least:
-                    reached += int(rows[out[-1]]) - own.get(out[-1], 0)
+                yield self.leaf_no[node]
                 continue
-            d = ((self.centers[node] - q) ** 2).sum(axis=1)
-            for k, kid in enumerate(self.kids[node]):
-                heapq.heappush(queue, (float(d[k]), kid))
-        return out
+            # The squared distance less that of the query to the origin, which all branches share.
+            for near, kid in zip((self.squares[node] - 2 * (self.centers[node] @ q)).tolist(), self.kids[node]):
+                heapq.heappush(queue, (near, kid))
+
+    @cached_property
+    def squares(self) -> list[np.ndarray]:
+        return [(c * c).sum(axis=1) for c in self.centers]
 
 
 def _nearest(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
@@ -263,9 +275,13 @@ def calibrate(rows: DataFrame, tree: KMeansTree, k: int, target: float, n: int,
         for b in batches:
             out = []
             for i, leaves in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                place = np.empty(tree.leaves, np.int64)
-                place[tree.best_bins(q[i], tree.leaves)] = np.arange(tree.leaves)
-                out += (place[leaves] + 1).tolist()
+                left = set(leaves)
+                for place, leaf in enumerate(tree.in_order(q[i]), 1):
+                    if leaf in left:
+                        left.remove(leaf)
+                        out += [place] * leaves.count(leaf)
+                        if not left:
+                            break
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], ["visits"])
 
     needed = np.sort([r.visits for r in truth.repartition(32).mapInArrow(visits, "visits long").collect()])
