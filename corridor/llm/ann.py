@@ -353,7 +353,9 @@ def _visits(queries: DataFrame, index: DataFrame, tree: KMeansTree, k: int) -> D
                     [*(c.take(pa.array(again, pa.int64())) for c in part.columns[:3]), pa.array(places, pa.int64()),
                      pa.array(visited, pa.list_(pa.int64()))], ["query_no", "query_id", "q", "bin", "leaves"])
 
-    return (queries.join(own, "query_id", "left").select("query_no", "query_id", "q", "own")
+    # A walk of the tree takes far longer than its few bytes tell: the queries are dealt to all tasks, not joined to few.
+    tasks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (queries.join(own, "query_id", "left").select("query_no", "query_id", "q", "own").repartition(tasks, "query_no")
             .mapInArrow(run, "query_no long, query_id long, q array<double>, bin long, leaves array<long>"))
 
 
