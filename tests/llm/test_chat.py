@@ -112,3 +112,26 @@ def test_full_texts_spread_a_conversation(spark):
         totals[r.conv_id] = totals.get(r.conv_id, 0) + len(r.text)
     assert {r.conv_id: r.formatted_chars for r in chat.digest_columns(examples).collect()} == totals
     assert "Window" not in full._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_examples_hold_their_whole_text(spark):
+    """Every example is its whole context and its reply, whatever the blocks, and the digests need nothing but the texts."""
+    rows = conversations() + [(None, t, "assistant", f"n{t}") for t in range(5)] + [(99, t, "user", "u") for t in range(4)]
+    rows += [(98, t, ["user", "assistant"][t % 2], f"<s>{t}") for t in range(16)]
+    want = {}
+    for c in {r[0] for r in rows}:
+        turns = sorted(((t, r or "", x or "") for cc, t, r, x in rows if cc == c))
+        text, no = "", 0
+        for i, (_, r, x) in enumerate(turns):
+            text += f"<|turn|>{esc(r)}<|says|>{esc(x)}<|end|>"
+            if r == "assistant" or i == len(turns) - 1:
+                no += 1
+                want[c, no] = (text, esc(x) if r == "assistant" else None, i == len(turns) - 1)
+    df = spark.createDataFrame(rows, SCHEMA)
+    for sizes in ({}, {"block_examples": 2}, {"block_examples": 1, "block_turns": 3}):
+        examples = chat.format_examples(df, **sizes)
+        got = {(r.conv_id, r.example_no): (r.text, r.text[r.loss_start:r.loss_end] if r.has_target else None, r.complete)
+               for r in examples.collect()}
+        assert got == want
+        texts = examples.select("conv_id", "example_no", "has_target", "text", "loss_start", "loss_end", "complete")
+        assert digests(texts) == brute(rows)
