@@ -19,7 +19,8 @@ join of the classes goes:
    along common paths, and leaves subtrees whose remaining length cannot reach
    the threshold. Sets already known to be connected are not compared again.
 5. *Between shards.* Only sets outside the component of their cluster's smallest
-   member can still gain a link; they visit the other shards of the cluster.
+   member can still gain a link; they visit the other shards of the cluster. What
+   they find links components, which are then joined.
 
 ``link_components`` stops comparing sets once they are known to be connected. ``class_links``
 lists every link between different sets over the same clusters and bands.
@@ -328,7 +329,7 @@ def trie_links(sets: list[list[int]], groups: list[int], percent: int) -> list[t
 
 
 def _join_units(units: DataFrame, sets: DataFrame, counts, percent: int, every: bool = False) -> DataFrame:
-    """Links (a, b) found in each unit, as far as components need or ``every`` one; ``units`` has center, shard, other, member and group_id."""
+    """Links (a, b) between the groups of a unit, as far as components need or ``every`` one; ``units`` has center, shard, other, member and group_id."""
 
     def run(unit: pa.Table) -> pa.Table:
         members = {k: (g, _tokens(x)) for k, g, x in zip(unit.column("member").to_pylist(),
@@ -343,8 +344,8 @@ def _join_units(units: DataFrame, sets: DataFrame, counts, percent: int, every:
             cuts = np.cumsum([len(t) for t in tokens])[:-1]
             sets_ = [np.sort(x).tolist() for x in np.split(by_order[rank], cuts)]
             for i, j in all_links(sets_, percent) if every else trie_links(sets_, groups, percent):
-                a.append(keys[i])
-                z.append(keys[j])
+                a.append(groups[i])
+                z.append(groups[j])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(z, pa.int64())})
 
     units = materialise(units, "units")
@@ -352,11 +353,12 @@ def _join_units(units: DataFrame, sets: DataFrame, counts, percent: int, every:
     return full.groupBy("center", "shard", "other").applyInArrow(run, "a long, b long")
 
 
-def _banded(clusters: DataFrame, percent: int, shard_tokens: int) -> DataFrame:
+def _banded(clusters: DataFrame, percent: int, shard_tokens: int, lean: bool = False) -> DataFrame:
     """(center, member, n): clusters over ``shard_tokens`` cut into bands of set sizes, each with the next band.
 
     Sizes of linked sets differ by a factor of at most 100 / ``percent``, the width of a band
-    (a little more, for rounding), so linked sets lie in one band or in two next to each other.
+    (a little more, for rounding), so linked sets lie in one band or in two next to each other. ``lean``
+    leaves out pairs of bands that lie within another one because one of the two is empty.
     """
     large = materialise(clusters.groupBy("center").agg(F.sum("n").alias("size")).where(F.col("size") > shard_tokens)
                         .select(F.col("center").alias("c")), "large-clusters")
@@ -365,8 +367,17 @@ def _banded(clusters: DataFrame, percent: int, shard_tokens: int) -> DataFrame:
         return clusters
     few = small_side(large, n)
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent) * 1.0001))
-    cut = (clusters.join(few, F.col("center") == F.col("c"), "left_semi")
-           .select("center", "member", "n", F.explode(F.array(band - 1, band)).alias("band"))
+    rows = clusters.join(few, F.col("center") == F.col("c"), "left_semi").withColumn("band", band)
+    units = F.array(F.col("band") - 1, F.col("band"))
+    if lean:
+        # One row per large cluster with its bands, of which there are as many as the logarithm of its sizes.
+        filled = materialise(rows.select(F.col("center").alias("c"), "band").distinct().groupBy("c").agg(
+            F.collect_list("band").alias("bands")), "filled")
+        rows = rows.join(small_side(filled, n), F.col("center") == F.col("c"))
+        below, above = (F.array_contains("bands", F.col("band") + at) for at in (-1, 1))
+        units = F.array_compact(F.array(F.when(below, F.col("band") - 1), F.when(above | ~below, F.col("band"))))
+    cut = (rows
+           .select("center", "member", "n", F.explode(units).alias("band"))
            .select(F.xxhash64("center", "band").alias("center"), "member", "n"))
     return materialise(clusters.join(few, F.col("center") == F.col("c"), "left_anti").unionByName(cut).distinct(), "bands")
 
@@ -391,20 +402,20 @@ def _prepared(docs: DataFrame, base: DataFrame, chosen: DataFrame, words: int, p
     sets = materialise(_whole_sets(docs, base, chosen, words), "sets")
     counts = docs.sparkSession.sparkContext.broadcast(_counters(sets))
     clusters = materialise(_clusters(sets, chosen, counts, percent), "clusters")
-    return sets, counts, _banded(clusters, percent, shard_tokens)
+    return sets, counts, _banded(clusters, percent, shard_tokens, lean=True)
 
 
-def _links(docs: DataFrame, base: DataFrame, chosen: DataFrame, words: int, percent: int, shard_tokens: int) -> DataFrame:
-    """Links between classes that give all components."""
+def _connected(docs: DataFrame, base: DataFrame, chosen: DataFrame, words: int, percent: int, shard_tokens: int) -> DataFrame:
+    """(node, component) of the classes with links, for all components."""
     sets, counts, clusters = _prepared(docs, base, chosen, words, percent, shard_tokens)
     spread, n_large = _spread(clusters, shard_tokens)
     first = spread.select("center", "shard", F.lit(0).cast("long").alias("other"), "member",
                           F.col("member").alias("group_id"))
-    inside = materialise(_join_units(first, sets, counts, percent), "links")
+    comps = connected_components(_join_units(first, sets, counts, percent))
     if not n_large:
-        return inside
+        return comps
+    comps = materialise(comps, "components")
     large = spread.where("shards > 1")
-    comps = connected_components(inside)
     root = F.coalesce(F.col("component"), F.col("member"))
     placed = large.join(comps, F.col("member") == F.col("node"), "left").select(
         "center", "member", "n", "shards", "shard", root.alias("group_id"))
@@ -419,7 +430,12 @@ def _links(docs: DataFrame, base: DataFrame, chosen: DataFrame, words: int, perc
             .select("center", "shard", F.explode(F.expr("sequence(0, others - 1)")).alias("other"), "member", "group_id"))
     visit = apart.select("center", F.explode(F.expr("sequence(0, shards - 1)")).alias("shard"),
                          _salt(F.col("others")).alias("other"), "member", "group_id")
-    return inside.unionByName(_join_units(stay.unionByName(visit).distinct(), sets, counts, percent))
+    # Links between shards connect whole components, so only these are joined once more.
+    joined = connected_components(_join_units(stay.unionByName(visit).distinct(), sets, counts, percent))
+    joined = joined.select(F.col("node").alias("was"), F.col("component").alias("now"))
+    nodes = comps.unionByName(joined.select(F.col("was").alias("node"), F.col("was").alias("component"))).distinct()
+    return nodes.join(joined, F.col("component") == F.col("was"), "left").select(
+        "node", F.coalesce("now", "component").alias("component"))
 
 
 def all_links(sets: list[list[int]], percent: int) -> list[tuple[int, int]]:
@@ -470,7 +486,7 @@ def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     base, chosen = _classes(slim, words, percent)
     some = base.where("n > 0")
-    comps = connected_components(_links(slim, some, chosen, words, percent, shard_tokens))
+    comps = _connected(slim, some, chosen, words, percent, shard_tokens)
     classes = some.groupBy("set_key").agg(F.min("doc_id").alias("first_id"))
     named = classes.join(comps, F.col("set_key") == F.col("node"), "left").select(
         "set_key", "first_id", F.coalesce("component", "set_key").alias("root"))

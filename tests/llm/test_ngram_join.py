@@ -166,3 +166,36 @@ def test_bands_keep_linked_sizes_together(spark, monkeypatch):
             if 100 * 100 * a < 84 * 84 * b:
                 assert not at[a] & at[b]
     assert J._banded(spark.createDataFrame(rows, "center long, member long, n long"), 85, 10**9).count() == 399
+
+
+def test_lean_bands_leave_out_nested_units(spark):
+    """Where a band has no neighbour its sets are in one unit; linked sizes still meet, and no unit lies within another."""
+    rows = [(1, n, n) for n in (1, 2, 3, 5, 40, 41, 200, 230, 260, 300, 1000, 1001)] + [(2, n, 700 + n % 20) for n in range(50)]
+    out = J._banded(spark.createDataFrame(rows, "center long, member long, n long"), 85, 100, lean=True).collect()
+    units = {}
+    for r in out:
+        units.setdefault(r.center, set()).add((r.member, r.n))
+    assert {x for u in units.values() for x in u} == {(m, n) for _, m, n in rows}
+    found = list(units.values())
+    assert not any(a <= b for i, a in enumerate(found) for j, b in enumerate(found) if i != j)
+    for c in (1, 2):
+        for _, a, x in (r for r in rows if r[0] == c):
+            for _, b, y in (r for r in rows if r[0] == c):
+                assert min(x, y) * 100 < 85 * max(x, y) or any({(a, x), (b, y)} <= u for u in found)
+
+
+def test_components_stop_at_stars(spark, monkeypatch):
+    """Links that are stars already take no step; chains, circles and repeated links still give the smallest node."""
+    from corridor.llm import components as C
+    steps = []
+    write = C.materialise
+    monkeypatch.setattr(C, "materialise", lambda df, label, *a: (steps.append(label), write(df, label, *a))[1])
+
+    def parts(links):
+        df = spark.createDataFrame(links, "a long, b long")
+        return {r.node: r.component for r in C.connected_components(df).collect()}
+    assert parts([(5, 1), (1, 6), (7, 1), (9, 8), (9, 8), (3, 3)]) == {1: 1, 5: 1, 6: 1, 7: 1, 8: 8, 9: 8}
+    assert parts([]) == {}
+    assert steps == ["links", "links"]
+    assert parts([(i, i + 1) for i in range(20)] + [(30, 31), (31, 32), (32, 30), (32, 40)]) == {
+        **{i: 0 for i in range(21)}, **{i: 30 for i in (30, 31, 32, 40)}}
